@@ -20,19 +20,18 @@ from rowferry.session import cut_lineage
 _SEGMENTS = 32
 
 
-def _order_value(order_by: Sequence[str]) -> Column:
-    return F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by)
-
-
 def _pick(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], chooser) -> DataFrame:
     payload = [name for name in df.columns if name not in keys]
     if not payload:
         return df.distinct()
-    by = F.struct(*order_by)
-    if len(payload) == 1:
-        picked = chooser(F.struct(payload[0]), by)
-    else:
-        picked = chooser(F.struct(*payload), by)
+    if len(payload) == 1 and len(order_by) == 1:
+        # Plain columns keep the buffer fixed-width, so this stays a hash aggregate.
+        return (
+            df.groupBy(*keys)
+            .agg(chooser(payload[0], order_by[0]).alias(payload[0]))
+            .select(*df.columns)
+        )
+    picked = chooser(F.struct(*payload), F.struct(*order_by))
     return (
         df.groupBy(*keys)
         .agg(picked.alias("_row"))
