@@ -11,7 +11,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowferry.operators.project import quoted
 from rowferry.operators.ranking import first_per_key, with_cells
 
 # A free condition is tested against every row of the other table. That table must be small.
@@ -86,9 +85,10 @@ def by_comparison(
     equal ours and whose value compares as asked, for example ``("limit", "<=", "amount")``
     for their ``limit <= `` our ``amount``. ``on`` may be empty.
 
-    No pairs are made. Both tables are laid out along the compared value, and each row takes
-    the smallest order seen so far: within its cell by a window, before it by a running
-    minimum over one row per cell.
+    No pairs are made. The distinct values of both tables are laid out along the compared
+    value, and each asked value takes the smallest order seen so far: within its cell by a
+    window, before it by a running minimum over one row per cell. The rows then fetch the
+    answer to their own value.
     """
     theirs, op, ours = compare
     if op not in ("<=", "<", ">=", ">"):
@@ -96,24 +96,23 @@ def by_comparison(
     sign = 1 if op in ("<=", "<") else -1
     other_first = op in ("<=", ">=")
     best = F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order_by)], F.col(value).alias("v"))
-    key = F.struct(F.lit(1).alias("k"), *[F.col(t).alias(f"k{i}") for i, (_, t) in enumerate(on)])
+    their_key = F.struct(F.lit(1).alias("k"), *[F.col(t).alias(f"k{i}") for i, (_, t) in enumerate(on)])
     our_key = F.struct(F.lit(1).alias("k"), *[F.col(o).alias(f"k{i}") for i, (o, _) in enumerate(on)])
-    row = F.struct(*[F.col(quoted(c)) for c in df.columns])
-    candidates = other.na.drop(subset=[theirs, *[t for _, t in on]]).select(
-        key.alias("_key"),
-        (F.col(theirs).cast("double") * sign).alias("_at"),
-        F.lit(0 if other_first else 1).alias("_side"),
-        best.alias("_best"),
-        F.lit(None).cast(df.select(row.alias("r")).schema["r"].dataType).alias("_row"),
+    candidates = (
+        other.na.drop(subset=[theirs, *[t for _, t in on]])
+        .select(their_key.alias("_key"), (F.col(theirs).cast("double") * sign).alias("_at"), best.alias("_best"))
+        .groupBy("_key", "_at")
+        .agg(F.min("_best").alias("_best"))
+        .withColumn("_side", F.lit(0 if other_first else 1))
     )
-    asking = df.select(
-        our_key.alias("_key"),
-        (F.col(ours).cast("double") * sign).alias("_at"),
-        F.lit(1 if other_first else 0).alias("_side"),
-        F.lit(None).cast(candidates.schema["_best"].dataType).alias("_best"),
-        row.alias("_row"),
+    wanted = df.na.drop(subset=[ours, *[o for o, _ in on]])
+    asked = (
+        wanted.select(our_key.alias("_key"), (F.col(ours).cast("double") * sign).alias("_at"))
+        .distinct()
+        .withColumn("_best", F.lit(None).cast(candidates.schema["_best"].dataType))
+        .withColumn("_side", F.lit(1 if other_first else 0))
     )
-    line = with_cells(candidates.unionByName(asking), ["_at"], "_cell", cells)
+    line = with_cells(candidates.unionByName(asked), ["_at"], "_cell", cells)
     upto = Window.partitionBy("_key", "_cell").orderBy("_at", "_side")
     upto = upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = line.withColumn("_local", F.min("_best").over(upto))
@@ -121,14 +120,15 @@ def by_comparison(
     carried = (
         line.groupBy("_key", "_cell")
         .agg(F.min("_best").alias("_min"))
-        .select(F.col("_key").alias("_ck"), F.col("_cell").alias("_cc"), F.min("_min").over(earlier).alias("_carry"))
+        .select("_key", "_cell", F.min("_min").over(earlier).alias("_carry"))
     )
-    joined = local.where("_row IS NOT NULL").join(
-        carried, F.col("_key").eqNullSafe(F.col("_ck")) & (F.col("_cell") == F.col("_cc")), "left"
+    answers = (
+        local.where(F.col("_side") == (1 if other_first else 0))
+        .join(carried, ["_key", "_cell"])
+        .select("_key", "_at", F.least("_local", "_carry").getField("v").alias(name))
     )
-    # A null on our side of the comparison is never true.
-    hit = F.when(F.col("_at").isNotNull(), F.least("_local", "_carry"))
-    return joined.select("_row.*", hit.getField("v").alias(name))
+    asking = df.withColumn("_key", our_key).withColumn("_at", F.col(ours).cast("double") * sign)
+    return asking.join(answers, ["_key", "_at"], "left").select(*df.columns, name)
 
 
 def by_condition(
