@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import ast
 import functools
-import operator
 import re
 from collections.abc import Sequence
 
@@ -151,8 +150,7 @@ def mask_flags(df: DataFrame, chosen: dict[str, MockField]) -> dict[str, Column]
         excluded = test(excl, value) if excl else F.lit(False)
         included = test(incl, value) if incl else F.lit(False)
         if incl and incl_row:
-            # Counts only where no earlier field has taken the row out.
-            row_included = row_included | (included & ~row_excluded)
+            row_included = row_included | included
         if excl and excl_row:
             row_excluded = row_excluded | excluded
         own[name] = ~excluded & (included if incl else F.lit(True))
@@ -178,10 +176,8 @@ def apply(df: DataFrame, mocks: Sequence[MockField], id_column: str, order_by: S
     positions: dict[str, str] = {}
     for name, mock in chosen.items():
         if _call(mock.pattern)[0] in ("c_seq_number", "c_seq_date"):
-            # Fields that are always mocked share one numbering.
-            same = "_pos" if not mock.included and not mock.excluded and len(flags) == 1 else f"_pos_{name}"
-            positions[name] = same
-            out = rank_rows(out, [f"_mock_{name}"], order_by, same)
+            positions[name] = f"_pos_{name}"
+            out = rank_rows(out, [f"_mock_{name}"], order_by, positions[name])
     seed = [F.col(quoted(id_column))]
     values = {}
     for name, mock in chosen.items():
@@ -213,7 +209,3 @@ def apply_counts(df: DataFrame, mocks: Sequence[MockField], id_column: str) -> D
     pairs = F.array(*[F.struct(F.lit(n).alias("field"), F.col(f"_m_{n}").alias("rows")) for n in flags])
     return df.agg(*[F.count_if(flag).alias(f"_m_{n}") for n, flag in flags.items()]).select(F.inline(pairs))
 
-
-def any_of(flags: dict[str, Column]) -> Column:
-    """True where at least one field of the row is mocked."""
-    return functools.reduce(operator.or_, flags.values())
