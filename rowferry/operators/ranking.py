@@ -139,19 +139,21 @@ def rank_rows(
     cells: int | None = None,
 ) -> DataFrame:
     """Exact ``row_number`` per key, or over all rows when ``keys`` is empty."""
-    celled = with_cells(df, order_by, "_cell", cells)
+    celled = with_cells(df, order_by, "_rank_cell", cells)
     key = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(1).alias("all"))
-    celled = celled.withColumn("_key", key)
-    local = F.row_number().over(Window.partitionBy("_key", "_cell").orderBy(*order_by))
+    celled = celled.withColumn("_rank_key", key)
+    local = F.row_number().over(Window.partitionBy("_rank_key", "_rank_cell").orderBy(*order_by))
     ranked = celled.withColumn("_local", local)
-    earlier = Window.partitionBy("_key").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("_rank_key").orderBy("_rank_cell")
+    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
     before = (
-        celled.groupBy("_key", "_cell")
+        celled.groupBy("_rank_key", "_rank_cell")
         .count()
-        .select("_key", "_cell", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_before"))
+        .withColumn("_before", F.coalesce(F.sum("count").over(earlier), F.lit(0)))
+        .drop("count")
     )
     return (
-        ranked.join(before, ["_key", "_cell"])
+        ranked.join(before, ["_rank_key", "_rank_cell"])
         .withColumn(name, F.col("_local") + F.col("_before"))
         .select(*df.columns, name)
     )

@@ -329,7 +329,15 @@ def m15(t: Tables) -> DataFrame:
     return persons.both_passes(people(t), "IsPersonAccount", "Id", ["Id", "Name", "FirstName", "LastName"])
 
 
-@case("m18_size_bound_batches")
+@case(
+    "m18_size_bound_batches",
+    """WITH RECURSIVE o AS (SELECT doc_id, n_chars, row_number() OVER (ORDER BY doc_id) AS rn FROM documents),
+  g AS (SELECT rn, doc_id, n_chars, CAST(0 AS BIGINT) AS batch, n_chars AS fill FROM o WHERE rn = 1
+    UNION ALL
+    SELECT o.rn, o.doc_id, o.n_chars, CASE WHEN g.fill + o.n_chars > 50000 THEN g.batch + 1 ELSE g.batch END,
+      CASE WHEN g.fill + o.n_chars > 50000 THEN o.n_chars ELSE g.fill + o.n_chars END FROM g JOIN o ON o.rn = g.rn + 1)
+  SELECT doc_id, n_chars, batch FROM g""",
+)
 def m18(t: Tables) -> DataFrame:
     return size_batches(t.documents.select("doc_id", "n_chars"), [], ["doc_id"], "n_chars", 50_000)
 
