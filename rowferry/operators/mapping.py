@@ -197,14 +197,10 @@ def compute(df: DataFrame, column: str, expression: str) -> DataFrame:
 def rule_hits(df: DataFrame, table: str, rules: Sequence[ValueRule], columns: Sequence[str]) -> DataFrame:
     """A5: rows per applied rule, as (object, field, rule, rows). Rules without a hit give 0."""
     mapped = map_values(df, table, rules, columns, hits=True)
-    listed = [
-        F.transform(
-            f"{name}__rules",
-            lambda rule, name=name: F.struct(F.lit(name).alias("field"), rule.alias("rule")),
-        )
-        for name in columns
-        if f"{name}__rules" in mapped.columns
-    ]
+    def tagged(name: str) -> Column:
+        return F.transform(f"{name}__rules", lambda rule: F.struct(F.lit(name).alias("field"), rule.alias("rule")))
+
+    listed = [tagged(name) for name in columns if f"{name}__rules" in mapped.columns]
     counted = (
         mapped.select(F.explode(F.concat(*listed)).alias("h"))
         .groupBy(F.col("h.field").alias("field"), F.col("h.rule").alias("rule"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,14 +31,22 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return tune(spark).read.parquet(f"{folder}/{table}.parquet")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Writes ``df`` to the checkpoint folder and returns a frame that reads it back.
-
-    The folder is the session's own. Only where a session names none (a local test) a
-    temporary one is set.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder of the session. Only where a session names none (a local test)
+    a temporary one is set."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, for a table that is written and read back."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Writes ``df`` to the checkpoint folder and returns a frame that reads it back."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
