@@ -6,8 +6,10 @@ keyed hash of the value. Equal values get equal tokens under one seed, whatever
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import hmac
+import operator
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
@@ -31,6 +33,8 @@ QUERY_MARKS = (
     "sourcerecordsfilter",
 )
 RULE_MARKS = ("value mapping rules:", 'value mapping rule "')
+SECRET_MARKS = ("token", "clientsecret", "password", "authorization", "sessionid")
+DOMAIN_MARKS = (".com", ".net", ".org", ".io", ".dev", ".app", ".cloud", ".local")
 RECORD_ID = r"^[A-Za-z0-9]{15}(?:[A-Za-z0-9]{3})?$"
 
 SECRET_DOUBLE_QUOTED = rf'(?i)("?({SECRET_KEYS})"?\s*[:=]\s*")([^"]*)(")'
@@ -47,10 +51,11 @@ IN_LIST = r"(?i)(\bIN\s*\()([^)]*)(\))"
 FIELD_COMPARISON = (
     r"(?i)(\b[A-Za-z_][A-Za-z0-9_.]*(?:__c|__r(?:\.[A-Za-z_][A-Za-z0-9_]*)?)\b"
     r"\s*(?:=|!=|<>|LIKE|NOT\s+LIKE)\s*)"
-    r"""('(?:\\.|[^'])*'|"(?:\\.|[^"])*")"""
+    r"""('(?:[^'\\]++|\\.|\\)*'|"(?:[^"\\]++|\\.|\\)*")"""
 )
-QUOTED_SINGLE = r"'((?:\\.|[^'])*)'"
-QUOTED_DOUBLE = r'"((?:\\.|[^"])*)"'
+# Runs between backslashes are taken whole. One step per character would use up the stack.
+QUOTED_SINGLE = r"'((?:[^'\\]++|\\.|\\)*)'"
+QUOTED_DOUBLE = r'"((?:[^"\\]++|\\.|\\)*)"'
 VALUE_PAIR = r"(\]\s\{[^}]+\}\s+-\s*[^:]{1,200}:\s*)(.+?)(\.)?\z"
 SELECT_FROM = r"(?i)\bselect\b[\s\S]*\bfrom\b"
 STACK_LINE = r"\n\s*at\s+"
@@ -88,15 +93,23 @@ def token_unless_id(label: str, value: Column, seed: str) -> Column:
     return F.when(trimmed.rlike(RECORD_ID), trimmed).otherwise(token(label, trimmed, seed))
 
 
-def replace_hits(text: Column, pattern: str, swap: Callable[[Column], Column]) -> Column:
-    """The text with ``swap(hit)`` in place of every hit of ``pattern``."""
+def holds_any(text: Column, marks: Sequence[str]) -> Column:
+    return functools.reduce(operator.or_, [text.contains(mark) for mark in marks])
+
+
+def replace_hits(text: Column, pattern: str, swap: Callable[[Column], Column], likely: Column | None = None) -> Column:
+    """The text with ``swap(hit)`` in place of every hit of ``pattern``.
+
+    ``likely`` is a cheap test that every text with a hit passes; it spares the others the pattern.
+    """
     pattern = ascii_bounds(pattern)
     pieces = F.split(text, pattern, -1)
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     merged = F.zip_with(
         pieces, hits, lambda piece, hit: F.concat(piece, F.coalesce(swap(hit), F.lit("")))
     )
-    return F.when(text.rlike(pattern), F.array_join(merged, "")).otherwise(text)
+    found = text.rlike(pattern) if likely is None else likely & text.rlike(pattern)
+    return F.when(found, F.array_join(merged, "")).otherwise(text)
 
 
 def _group(hit: Column, pattern: str, number: int) -> Column:
@@ -113,62 +126,61 @@ def mask_known(text: Column, entries: Sequence[tuple[str, str]], seed: str) -> C
     return text
 
 
-def mask_double_quoted_secrets(text: Column, seed: str) -> Column:
+def mask_double_quoted_secrets(text: Column, seed: str, likely: Column | None = None) -> Column:
     p = SECRET_DOUBLE_QUOTED
-    return replace_hits(
-        text,
-        p,
-        lambda hit: F.concat(
-            _group(hit, p, 1), token(_group(hit, p, 2), _group(hit, p, 3), seed), F.lit('"')
-        ),
-    )
+
+    def swap(hit: Column) -> Column:
+        return F.concat(_group(hit, p, 1), token(_group(hit, p, 2), _group(hit, p, 3), seed), F.lit('"'))
+
+    return replace_hits(text, p, swap, likely)
 
 
-def mask_single_quoted_secrets(text: Column, seed: str) -> Column:
+def mask_single_quoted_secrets(text: Column, seed: str, likely: Column | None = None) -> Column:
     p = SECRET_SINGLE_QUOTED
-    return replace_hits(
-        text,
-        p,
-        lambda hit: F.concat(_group(hit, p, 1), token("secret", _group(hit, p, 2), seed), F.lit("'")),
-    )
 
+    def swap(hit: Column) -> Column:
+        return F.concat(_group(hit, p, 1), token("secret", _group(hit, p, 2), seed), F.lit("'"))
+
+    return replace_hits(text, p, swap, likely)
 
-def mask_bare_secrets(text: Column, seed: str) -> Column:
+
+def mask_bare_secrets(text: Column, seed: str, likely: Column | None = None) -> Column:
     p = SECRET_BARE
-    return replace_hits(
-        text,
-        p,
-        lambda hit: F.concat(_group(hit, p, 1), token(_group(hit, p, 2), _group(hit, p, 3), seed)),
-    )
 
+    def swap(hit: Column) -> Column:
+        return F.concat(_group(hit, p, 1), token(_group(hit, p, 2), _group(hit, p, 3), seed))
+
+    return replace_hits(text, p, swap, likely)
 
-def mask_bearer(text: Column, seed: str) -> Column:
-    return replace_hits(
-        text, BEARER, lambda hit: F.concat(F.lit("Bearer "), token("bearer", _group(hit, BEARER, 1), seed))
-    )
 
+def mask_bearer(text: Column, seed: str, likely: Column | None = None) -> Column:
+    def swap(hit: Column) -> Column:
+        return F.concat(F.lit("Bearer "), token("bearer", _group(hit, BEARER, 1), seed))
 
-def mask_emails(text: Column, seed: str) -> Column:
-    return replace_hits(text, EMAIL, lambda hit: token("email", hit, seed))
+    return replace_hits(text, BEARER, swap, likely)
 
 
-def mask_urls(text: Column, seed: str) -> Column:
-    return replace_hits(text, URL, lambda hit: token("url", hit, seed))
+def mask_emails(text: Column, seed: str, likely: Column | None = None) -> Column:
+    return replace_hits(text, EMAIL, lambda hit: token("email", hit, seed), likely)
 
 
-def mask_domains(text: Column, seed: str) -> Column:
-    return replace_hits(text, DOMAIN, lambda hit: token("domain", hit, seed))
+def mask_urls(text: Column, seed: str, likely: Column | None = None) -> Column:
+    return replace_hits(text, URL, lambda hit: token("url", hit, seed), likely)
 
 
-def mask_drive_paths(text: Column, seed: str) -> Column:
-    return replace_hits(text, DRIVE_PATH, lambda hit: token("path", hit, seed))
+def mask_domains(text: Column, seed: str, likely: Column | None = None) -> Column:
+    return replace_hits(text, DOMAIN, lambda hit: token("domain", hit, seed), likely)
 
 
-def mask_share_paths(text: Column, seed: str) -> Column:
-    return replace_hits(text, SHARE_PATH, lambda hit: token("path", hit, seed))
+def mask_drive_paths(text: Column, seed: str, likely: Column | None = None) -> Column:
+    return replace_hits(text, DRIVE_PATH, lambda hit: token("path", hit, seed), likely)
 
 
-def mask_prompt_answers(text: Column, seed: str) -> Column:
+def mask_share_paths(text: Column, seed: str, likely: Column | None = None) -> Column:
+    return replace_hits(text, SHARE_PATH, lambda hit: token("path", hit, seed), likely)
+
+
+def mask_prompt_answers(text: Column, seed: str, likely: Column | None = None) -> Column:
     """What a person typed at a prompt."""
 
     def swap(hit: Column) -> Column:
@@ -176,17 +188,17 @@ def mask_prompt_answers(text: Column, seed: str) -> Column:
         masked = F.concat(_group(hit, PROMPT, 1), token_unless_id("prompt", answer, seed))
         return F.when(strip(answer) == "", hit).otherwise(masked)
 
-    return replace_hits(text, PROMPT, swap)
+    return replace_hits(text, PROMPT, swap, likely)
 
 
-def mask_value_pairs(text: Column, seed: str) -> Column:
+def mask_value_pairs(text: Column, seed: str, likely: Column | None = None) -> Column:
     """The value of a ``] {object} - name: value.`` line."""
 
     def swap(hit: Column) -> Column:
         value = token_unless_id("value", _group(hit, VALUE_PAIR, 2), seed)
         return F.concat(_group(hit, VALUE_PAIR, 1), value, _group(hit, VALUE_PAIR, 3))
 
-    return replace_hits(text, VALUE_PAIR, swap)
+    return replace_hits(text, VALUE_PAIR, swap, likely)
 
 
 def _mask_quoted(text: Column, pattern: str, quote: str, seed: str) -> Column:
@@ -199,32 +211,30 @@ def _mask_quoted(text: Column, pattern: str, quote: str, seed: str) -> Column:
     )
 
 
-def holds_query(text: Column) -> Column:
+def holds_query(text: Column, lower: Column | None = None) -> Column:
     """Lines whose literals are masked."""
-    lower = F.lower(text)
-    marked = F.lit(False)
-    for mark in QUERY_MARKS:
-        marked = marked | lower.contains(mark)
-    return marked | text.rlike(ascii_bounds(SELECT_FROM))
+    lower = F.lower(text) if lower is None else lower
+    selects = lower.contains("select") & lower.contains("from") & text.rlike(ascii_bounds(SELECT_FROM))
+    return holds_any(lower, QUERY_MARKS) | selects
 
 
-def _mask_list_quotes(text: Column, pattern: str, quote: str, seed: str) -> Column:
+def _mask_list_quotes(text: Column, pattern: str, quote: str, seed: str, likely: Column | None) -> Column:
     def swap(hit: Column) -> Column:
         body = _mask_quoted(_group(hit, IN_LIST, 2), pattern, quote, seed)
         return F.concat(_group(hit, IN_LIST, 1), body, F.lit(")"))
 
-    return F.when(holds_query(text), replace_hits(text, IN_LIST, swap)).otherwise(text)
+    return replace_hits(text, IN_LIST, swap, holds_query(text) if likely is None else likely)
 
 
-def mask_in_lists_single(text: Column, seed: str) -> Column:
-    return _mask_list_quotes(text, QUOTED_SINGLE, "'", seed)
+def mask_in_lists_single(text: Column, seed: str, likely: Column | None = None) -> Column:
+    return _mask_list_quotes(text, QUOTED_SINGLE, "'", seed, likely)
 
 
-def mask_in_lists_double(text: Column, seed: str) -> Column:
-    return _mask_list_quotes(text, QUOTED_DOUBLE, '"', seed)
+def mask_in_lists_double(text: Column, seed: str, likely: Column | None = None) -> Column:
+    return _mask_list_quotes(text, QUOTED_DOUBLE, '"', seed, likely)
 
 
-def mask_comparisons(text: Column, seed: str) -> Column:
+def mask_comparisons(text: Column, seed: str, likely: Column | None = None) -> Column:
     """Literals compared with custom fields."""
     p = FIELD_COMPARISON
 
@@ -234,7 +244,7 @@ def mask_comparisons(text: Column, seed: str) -> Column:
         value = F.substring(literal, F.lit(2), F.length(literal) - 2)
         return F.concat(_group(hit, p, 1), quote, token_unless_id("soql", value, seed), quote)
 
-    return F.when(holds_query(text), replace_hits(text, p, swap)).otherwise(text)
+    return replace_hits(text, p, swap, holds_query(text) if likely is None else likely)
 
 
 def bypasses(text: Column) -> Column:
@@ -243,26 +253,42 @@ def bypasses(text: Column) -> Column:
     bypass = text.contains(BYPASS_MARKER) | text.contains("[STACK TRACE]")
     for mark in RULE_MARKS:
         bypass = bypass | lower.contains(mark)
-    return bypass | text.rlike(STACK_LINE) | text.rlike(STACK_CALL)
+    calls = text.contains("(") & text.contains(")") & text.rlike(STACK_CALL)
+    return bypass | text.rlike(STACK_LINE) | calls
 
 
 def without_marker(text: Column) -> Column:
     return F.replace(text, F.lit(BYPASS_MARKER), F.lit(""))
 
 
-#: The order in which the masks run.
-STAGES: tuple[Callable[[Column, str], Column], ...] = (
-    mask_double_quoted_secrets,
-    mask_single_quoted_secrets,
-    mask_bare_secrets,
-    mask_bearer,
-    mask_emails,
-    mask_urls,
-    mask_domains,
-    mask_drive_paths,
-    mask_share_paths,
-    mask_in_lists_single,
-    mask_in_lists_double,
-    mask_comparisons,
-    mask_value_pairs,
+def signs(text: Column, lower: Column) -> dict[str, Column]:
+    """Plain searches that tell which masks a text can need, by name."""
+    return {
+        "secret": holds_any(lower, SECRET_MARKS),
+        "bearer": lower.contains("bearer"),
+        "email": text.contains("@"),
+        "url": text.contains("://"),
+        "domain": holds_any(lower, DOMAIN_MARKS),
+        "drive": holds_any(text, (":\\", ":/")),
+        "share": text.contains("\\\\"),
+        "query": holds_query(text, lower),
+        "pair": text.contains("]") & text.contains("{"),
+    }
+
+
+#: The order in which the masks run, each with the sign it needs.
+STAGES: tuple[tuple[Callable[..., Column], str], ...] = (
+    (mask_double_quoted_secrets, "secret"),
+    (mask_single_quoted_secrets, "secret"),
+    (mask_bare_secrets, "secret"),
+    (mask_bearer, "bearer"),
+    (mask_emails, "email"),
+    (mask_urls, "url"),
+    (mask_domains, "domain"),
+    (mask_drive_paths, "drive"),
+    (mask_share_paths, "share"),
+    (mask_in_lists_single, "query"),
+    (mask_in_lists_double, "query"),
+    (mask_comparisons, "query"),
+    (mask_value_pairs, "pair"),
 )

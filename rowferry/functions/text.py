@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import re
 import unicodedata
 from collections.abc import Sequence
 
@@ -11,12 +13,16 @@ from pyspark.sql import functions as F
 from rowferry.functions.cells import strip
 
 _WORD = "[A-Za-z0-9_]"
-#: ``\b`` over ASCII letters, digits and underscore. The JVM's own takes accented letters too.
+#: ``\\b`` over ASCII letters, digits and underscore. The JVM's own takes accented letters too.
 ASCII_BOUNDARY = f"(?:(?<={_WORD})(?!{_WORD})|(?<!{_WORD})(?={_WORD}))"
+_BEFORE_WORD = f"(?<!{_WORD})"
+_AFTER_WORD = f"(?!{_WORD})"
 
 
 def ascii_bounds(pattern: str) -> str:
-    """The pattern with every ``\\b`` over ASCII."""
+    """The pattern with every ``\\b`` over ASCII, in the short form where a letter stands next to it."""
+    pattern = re.sub(r"\\b(?=[A-Za-z])", lambda _: _BEFORE_WORD, pattern)
+    pattern = re.sub(r"(?<=(?<!\\)[A-Za-z])\\b", lambda _: _AFTER_WORD, pattern)
     return pattern.replace(r"\b", ASCII_BOUNDARY)
 
 
@@ -52,9 +58,27 @@ def expand_words(words: Sequence[str]) -> list[str]:
     return expanded
 
 
+def _edges(word: str) -> tuple[str, str]:
+    """What must stand before and after a word, so that it begins and ends at a boundary."""
+
+    def edge(char: str, outside: str, inside: str) -> str:
+        if char.isascii() and (char.isalnum() or char == "_"):
+            return outside
+        return inside if char.isalpha() else ASCII_BOUNDARY
+
+    return edge(word[0], _BEFORE_WORD, f"(?<={_WORD})"), edge(word[-1], _AFTER_WORD, f"(?={_WORD})")
+
+
 def words_pattern(words: Sequence[str]) -> str:
     """Whole-word pattern over the words and their accent-free forms, any case."""
-    return ascii_bounds(r"(?i)\b(" + "|".join(expand_words(words)) + r")\b")
+    runs = itertools.groupby(expand_words(words), key=_edges)
+    return "(?i)(" + "|".join(f"{pre}(?:{'|'.join(run)}){post}" for (pre, post), run in runs) + ")"
+
+
+def plain_words(words: Sequence[str]) -> tuple[list[str], list[str]]:
+    """Words of ASCII letters, digits and underscore in lower case, and the others."""
+    plain = [w for w in expand_words(words) if re.fullmatch(_WORD + "+", w)]
+    return sorted({w.lower() for w in plain}), [w for w in expand_words(words) if w not in plain]
 
 
 def highlight(text: Column, words: Sequence[str]) -> Column:

@@ -10,6 +10,7 @@ from rowferry.operators.batches import size_batches
 from rowferry.operators.matching import match
 from rowferry.plans import apply as A
 from rowferry.plans import migrate, persons, upsert
+from rowferry.session import scratch_folder
 from rowferry.spec import LookupSpec, MigrationSpec, TableSpec
 from suite import fixtures as X
 from suite.registry import Tables, case
@@ -351,3 +352,17 @@ def o3(t: Tables) -> DataFrame:
     rows = t.orders.where("o_orderstatus = 'F'")
     plan = upsert.delete_plan(rows, "o_orderkey")
     return upsert.ordered_deletes(plan, rows, "o_orderkey", ["o_orderdate", "o_orderkey"])
+
+
+@case(
+    "m14_all_or_none",
+    """SELECT 'refused' AS run, count(*) AS rows FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT 'applied', count(*) FROM orders""",
+)
+def m14(t: Tables) -> DataFrame:
+    outcome = []
+    for run, error in (("refused", "o_totalprice > 0"), ("applied", "o_totalprice < 0")):
+        path = scratch_folder(t.spark, "m14")
+        A.replace_table(t.orders.where("o_orderstatus = 'F'"), path)
+        A.apply_all_or_none(t.orders, t.orders.where(error), path)
+        outcome.append(t.spark.read.parquet(path).agg(F.count("*").alias("rows")).select(F.lit(run).alias("run"), "rows"))
+    return outcome[0].unionByName(outcome[1])
