@@ -9,22 +9,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowferry.functions.cells import strip
+from rowferry.functions.names import quoted
 
 SEPARATOR = ";"
 
 
-def path(name: str) -> Column:
-    """A column by name. A dot walks into a struct, backticks name a flat column."""
-    return F.col(name)
-
-
 def key_text(parts: Sequence[Column | str], strict: bool = False) -> Column:
     """K9: the non-empty parts joined with ``;``, null when nothing is left.
 
     Dropping empty parts makes ("A", "") and ("", "A") one key, as users of such keys expect.
     ``strict`` keeps every part in its place instead.
     """
-    texts = [(path(p) if isinstance(p, str) else p).cast("string") for p in parts]
+    texts = [(F.col(p) if isinstance(p, str) else p).cast("string") for p in parts]
     if strict:
         filled = [F.coalesce(text, F.lit("")) for text in texts]
         joined = F.concat_ws(SEPARATOR, *filled)
@@ -60,7 +56,7 @@ def _number_text(value: Column) -> Column:
 def _normalised(df: DataFrame, exclude: Iterable[str]) -> list[Column]:
     left_out = set(exclude)
     names = sorted(name for name in df.columns if name not in left_out)
-    return [_hash_text(F.col(f"`{name}`"), df.schema[name].dataType) for name in names]
+    return [_hash_text(F.col(quoted(name)), df.schema[name].dataType) for name in names]
 
 
 def row_hash(df: DataFrame, exclude: Iterable[str] = ()) -> Column:

@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowferry.functions.names import every
+
 from rowferry.operators.ranking import with_cells
 
 _STEPS = "_group string, _cell long, lo double, hi double, exit double, opened long, total double, fresh boolean"
@@ -132,7 +134,7 @@ def size_batches(
         .applyInPandas(number, f"_group string, {fields}, _batch long")
     )
     keys = celled.withColumns({n: F.col(o) for n, o in zip(orders, order_by)})
-    return keys.join(numbered, ["_group", *orders]).withColumn(name, F.col("_batch")).select(*df.columns, name)
+    return keys.join(numbered, ["_group", *orders]).withColumn(name, F.col("_batch")).select(*every(df), name)
 
 
 def block_batches(df: DataFrame, order_by: Sequence[str], text: str, limit: int, block_rows: int, name: str = "chunk") -> DataFrame:
@@ -145,4 +147,4 @@ def block_batches(df: DataFrame, order_by: Sequence[str], text: str, limit: int,
     blocked = chunks(df, order_by, block_rows, "_block")
     sizes = blocked.groupBy("_block").agg(F.sum(F.octet_length(text) + 1).alias("_bytes"))
     packed = size_batches(sizes, [], ["_block"], "_bytes", limit, name).select("_block", name)
-    return blocked.join(packed, "_block").select(*df.columns, name)
+    return blocked.join(packed, "_block").select(*every(df), name)

@@ -8,6 +8,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowferry.functions.names import every
+
 from rowferry.session import cut_lineage
 
 # Tables that are never used to select others.
@@ -46,7 +48,7 @@ def children_of(
             return child.join(ids, F.col(column) == F.col("_p0"), "left_semi")
         out = out.join(ids, F.col(column) == F.col(f"_p{i}"), "left")
         marks.append(F.col(f"_p{i}").isNotNull())
-    return out.where(functools.reduce(lambda a, b: a | b, marks)).select(*child.columns)
+    return out.where(functools.reduce(lambda a, b: a | b, marks)).select(*every(child))
 
 
 def referenced_ids(children: Iterable[tuple[DataFrame, str]]) -> DataFrame:

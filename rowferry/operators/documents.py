@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowferry.functions.names import every
+
 from rowferry.functions.cells import strip
 from rowferry.functions.text import as_base64, safe_file_name
 from rowferry.operators.matching import SOURCE_ID, TARGET_ID
@@ -179,7 +181,7 @@ def file_names(
     number = F.lpad(F.col("_rn").cast("string"), 4, "0")
     # Past 9999 the number is longer, it is never cut.
     number = F.when(F.col("_rn") > 9999, F.col("_rn").cast("string")).otherwise(number)
-    return ranked.withColumn(name, F.concat("_base", F.lit("-"), number, "_ext")).select(*df.columns, name)
+    return ranked.withColumn(name, F.concat("_base", F.lit("-"), number, "_ext")).select(*every(df), name)
 
 
 def transfer_counts(parents: DataFrame, counted: dict[str, tuple[DataFrame, str]]) -> DataFrame:

@@ -11,6 +11,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rowferry.functions.names import every
+
 from rowferry.operators.ranking import first_per_key, with_cells
 
 # A free condition is tested against every row of the other table. That table must be small.
@@ -33,7 +35,7 @@ def from_parent(
         out = out.join(slim, F.col(lookup) == F.col(f"_i{i}"), "left")
         found.append(F.when(F.col(lookup).isNotNull(), F.coalesce(f"_v{i}", F.struct(_null_like(parent, value)))))
     last = F.coalesce(*reversed(found))
-    return out.withColumn(name, last.getField("v")).select(*df.columns, name)
+    return out.withColumn(name, last.getField("v")).select(*every(df), name)
 
 
 def _null_like(df: DataFrame, column: str) -> Column:
@@ -128,7 +130,7 @@ def by_comparison(
         .select("_key", "_at", F.least("_local", "_carry").getField("v").alias(name))
     )
     asking = df.withColumn("_key", our_key).withColumn("_at", F.col(ours).cast("double") * sign)
-    return asking.join(answers, ["_key", "_at"], "left").select(*df.columns, name)
+    return asking.join(answers, ["_key", "_at"], "left").select(*every(df), name)
 
 
 def by_condition(
@@ -153,7 +155,7 @@ def by_condition(
     )
     listed = df.withColumn("_entries", entries.scalar())
     hits = F.filter("_entries", lambda entry: condition(entry["r"]))
-    return listed.withColumn(name, F.get(hits, F.lit(0))["r"][value]).select(*df.columns, name)
+    return listed.withColumn(name, F.get(hits, F.lit(0))["r"][value]).select(*every(df), name)
 
 
 def constant(df: DataFrame, other: DataFrame, value: str, order_by: Sequence[str], name: str, condition: Column | str | None = None) -> DataFrame:

@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowferry.functions.keys import key_text, row_id
+from rowferry.functions.names import column as column_of
+from rowferry.functions.names import every, quoted
 from rowferry.operators.matching import SOURCE_ID, TARGET_ID
-from rowferry.operators.project import quoted
 from rowferry.operators.ranking import first_per_key, last_per_key
 
 # The columns and texts of an issue row.
@@ -85,7 +86,7 @@ def missing_parents(
     if reference and reference in child.columns:
         value = F.coalesce(F.nullif(F.col(quoted(reference)).cast("string"), F.lit("")), value)
     return orphans.select(
-        F.col(id_column).cast("string").alias("Record Id"),
+        F.col(quoted(id_column)).cast("string").alias("Record Id"),
         F.lit(column).alias("Lookup field name"),
         F.lit(reference).cast("string").alias("Lookup reference field name"),
         F.lit(table).alias("sObject name"),
@@ -110,14 +111,14 @@ def polymorphic(
         pairs = xref.select(F.col(SOURCE_ID).alias(f"{prefix}s"), F.col(TARGET_ID).alias(f"{prefix}t"))
         out = out.join(pairs, F.col(quoted(column)) == F.col(f"{prefix}s"), "left")
         found.append(F.col(f"{prefix}t"))
-    return out.withColumn(name, F.coalesce(*found)).select(*child.columns, name)
+    return out.withColumn(name, F.coalesce(*found)).select(*every(child), name)
 
 
 def value_to_id(child: DataFrame, column: str, reference: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """External value of a parent to its id as the children have it; the last value wins."""
-    order = [F.col(o).alias(f"_o{i}") for i, o in enumerate(order_by)]
+    order = [column_of(child, o).alias(f"_o{i}") for i, o in enumerate(order_by)]
     slim = child.select(
-        key_text([F.col(quoted(r)) for r in reference]).alias("lookup_value"),
+        key_text([column_of(child, r) for r in reference]).alias("lookup_value"),
         F.col(quoted(column)).alias("lookup_id"),
         *order,
     ).where("lookup_value IS NOT NULL AND lookup_id IS NOT NULL")
@@ -134,7 +135,7 @@ def relink(child: DataFrame, column: str, reference: str, parents: DataFrame) ->
     return (
         child.join(renamed, F.col(quoted(reference)) == F.col("_v"), "left")
         .withColumn(column, F.coalesce("_i", F.col(quoted(column))))
-        .select(*[F.col(quoted(c)) for c in child.columns])
+        .select(*every(child))
     )
 
 
@@ -146,11 +147,11 @@ def parent_columns(
     if not needed:
         return child
     slim = parent.select(
-        F.col(parent_id).alias("_pid"), *[F.col(quoted(f)).alias(f"_p{i}") for i, f in enumerate(needed)]
+        column_of(parent, parent_id).alias("_pid"), *[column_of(parent, f).alias(f"_p{i}") for i, f in enumerate(needed)]
     )
     joined = child.join(slim, F.col(quoted(column)) == F.col("_pid"), "left")
     added = [F.col(f"_p{i}").alias(f"{relation}.{f}") for i, f in enumerate(needed)]
-    return joined.select(*[F.col(quoted(c)) for c in child.columns], *added)
+    return joined.select(*every(child), *added)
 
 
 @dataclass(frozen=True)
@@ -162,10 +163,10 @@ class ParentKeys:
 
 
 def parent_keys(parent: DataFrame, id_column: str, key: Sequence[str], order_by: Sequence[str]) -> ParentKeys:
-    order = [F.col(o).alias(f"_o{i}") for i, o in enumerate(order_by)]
+    order = [column_of(parent, o).alias(f"_o{i}") for i, o in enumerate(order_by)]
     names = [f"_o{i}" for i in range(len(order_by))]
     slim = parent.select(
-        F.col(quoted(id_column)).alias("_id"), key_text([F.col(quoted(k)) for k in key]).alias("_ref"), *order
+        column_of(parent, id_column).alias("_id"), key_text([column_of(parent, k) for k in key]).alias("_ref"), *order
     )
     by_id = first_per_key(slim.where("_id IS NOT NULL"), ["_id"], names)
     by_key = last_per_key(slim.where("_ref IS NOT NULL"), ["_ref"], names)
@@ -262,7 +263,7 @@ def fill_lookup_id(
     if not generate:
         return child.withColumn(column, F.lit(None).cast("string"))
     if reference not in child.columns:
-        made = row_id(f"{parent}|{column}", *[F.col(quoted(c)) for c in child.columns])
+        made = row_id(f"{parent}|{column}", *every(child))
         return child.withColumn(column, made).withColumn(reference, made)
     text = F.col(quoted(reference)).cast("string")
     made = F.lit(None).cast("string") if self_lookup else row_id(parent, F.col(quoted(reference)))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowferry.functions.cells import strip
-from rowferry.operators.project import quoted
+from rowferry.functions.names import every, quoted
 from rowferry.spec import ValueRule
 
 # Fixed values.
@@ -130,7 +130,10 @@ def _map_column(df: DataFrame, name: str, rules: FieldRules, hits: bool) -> Data
         out = out.withColumn("_regex", F.lit(False)).withColumn("_new", F.lit(""))
 
     lookup = _lookup_map if len(rules.literal) <= MAX_INLINE_RULES else _lookup_join
-    out = lookup(out, rules, "_new", "_by_new")
+    if rules.pattern:
+        out = lookup(out, rules, "_new", "_by_new")
+    else:
+        out = out.withColumn("_by_new", F.lit(None).cast("struct<v:string>"))
     out = lookup(out, rules, "_raw", "_by_raw")
     result = (
         F.when((F.col("_new") != "") & F.col("_by_new").isNotNull(), F.col("_by_new.v"))
@@ -190,7 +193,7 @@ def compute(df: DataFrame, column: str, expression: str) -> DataFrame:
     raw = strip(F.coalesce(F.col(quoted(column)).cast("string"), F.lit("")))
     out = df.withColumn("_raw", raw)
     return out.withColumn(column, _evaluated(out, f"eval({expression})")).select(
-        *[F.col(quoted(c)) for c in df.columns]
+        *every(df)
     )
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowferry.functions.names import every
+
 from rowferry.functions import masking as M
 
 
@@ -32,7 +34,7 @@ def anonymize(
     for stage, sign in M.STAGES:
         out = out.withColumn("_masked", stage(F.col("_masked"), seed, F.col(f"_is_{sign}") & ~F.col("_keep")))
     result = F.when(F.col("_keep"), F.col("_text")).otherwise(F.col("_masked"))
-    return out.withColumn(column, result).select(*df.columns)
+    return out.withColumn(column, result).select(*every(df))
 
 
 def anonymize_values(df: DataFrame, column: str, seed: str, *stages) -> DataFrame:
@@ -43,4 +45,4 @@ def anonymize_values(df: DataFrame, column: str, seed: str, *stages) -> DataFram
     out = out.withColumns({f"_is_{name}": signs[name] for name in dict.fromkeys(wanted[s] for s in stages)})
     for stage in stages:
         out = out.withColumn(column, stage(F.col(column), seed, F.col(f"_is_{wanted[stage]}")))
-    return out.select(*df.columns)
+    return out.select(*every(df))

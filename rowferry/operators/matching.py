@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowferry.functions.keys import key_text
+from rowferry.functions.names import column, quoted
 from rowferry.operators.ranking import last_per_key
 
 SOURCE_ID = "source_id"
@@ -24,12 +25,12 @@ def keyed(
     strict: bool = False,
 ) -> DataFrame:
     """One row per external key: the last one, as later rows overwrite earlier ones."""
-    order = [F.col(name).alias(f"_o{i}") for i, name in enumerate(order_by)]
+    order = [column(df, name).alias(f"_o{i}") for i, name in enumerate(order_by)]
     slim = df.select(
-        key_text(key, strict).alias("_key"),
-        F.col(id_column).alias(id_name),
+        key_text([column(df, part) for part in key], strict).alias("_key"),
+        column(df, id_column).alias(id_name),
         *order,
-        *[F.col(name).alias(f"_t_{name}") for name in payload],
+        *[column(df, name).alias(f"_t_{name}") for name in payload],
     ).where(F.col("_key").isNotNull() & F.col(id_name).isNotNull())
     last = last_per_key(slim, ["_key"], [f"_o{i}" for i in range(len(order_by))])
     return last.drop(*[f"_o{i}" for i in range(len(order_by))])
@@ -75,19 +76,21 @@ def target_subset(
     target: DataFrame, target_key: str, source: DataFrame, source_key: str
 ) -> DataFrame:
     """Target rows whose single-column key occurs in the source."""
-    keys = source.select(F.col(source_key).alias("_in")).where("_in IS NOT NULL").distinct()
-    return target.join(keys, F.col(target_key) == F.col("_in"), "left_semi")
+    keys = source.select(column(source, source_key).alias("_in")).where("_in IS NOT NULL").distinct()
+    return target.join(keys, column(target, target_key) == F.col("_in"), "left_semi")
 
 
 def merge_by_id(first: DataFrame, second: DataFrame, id_column: str) -> DataFrame:
     """Rows of the first result, replaced where the second has the same id."""
     values = [c for c in first.columns if c != id_column]
     newer = second.select(
-        F.col(id_column).alias("_id"), F.lit(True).alias("_hit"), *[F.col(c).alias(f"_n_{c}") for c in values]
+        F.col(id_column).alias("_id"), F.lit(True).alias("_hit"), *[F.col(quoted(c)).alias(f"_n_{c}") for c in values]
     )
     return first.join(newer, F.col(id_column) == F.col("_id"), "left").select(
         *[
-            F.col(c) if c == id_column else F.when(F.col("_hit"), F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c)
+            F.col(quoted(c))
+            if c == id_column
+            else F.when(F.col("_hit"), F.col(quoted(f"_n_{c}"))).otherwise(F.col(quoted(c))).alias(c)
             for c in first.columns
         ]
     )

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowferry.functions.text import ascii_bounds
-from rowferry.operators.project import INTERNAL, quoted
+from rowferry.functions.names import quoted
+from rowferry.operators.project import INTERNAL
 from rowferry.operators.ranking import rank_rows
 from rowferry.spec import MockField
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowferry.functions.names import column, flat, quoted
+
 ERRORS = "Errors"
 OLD_ID = "Old Id"
 INTERNAL = ("_src_id", "_ord", "_processed")
@@ -30,13 +32,8 @@ COMPOUNDS = {
 }
 
 
-def quoted(name: str) -> str:
-    """A column name that may hold dots or blanks."""
-    return "`" + name.replace("`", "``") + "`"
-
-
 def _select(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    return df.select(*[F.col(quoted(name)) for name in names])
+    return df.select(*flat(names))
 
 
 def project(
@@ -108,7 +105,7 @@ def known_columns(df: DataFrame, wanted: Sequence[str], *others: DataFrame) -> l
     for name in wanted:
         lower = name.lower()
         everywhere = lower in spelled and all(
-            lower in {column.lower() for column in other.columns} for other in others
+            lower in {c.lower() for c in other.columns} for other in others
         )
         if everywhere:
             found.append(spelled[lower])
@@ -162,13 +159,13 @@ def rename_map(
     An empty column renames the table. The first row for a name counts.
     """
     target, columns = table, {}
-    for rule_table, column, to in rules:
+    for rule_table, field, to in rules:
         if rule_table.lower() != table.lower():
             continue
-        if not column:
+        if not field:
             target = to if target == table else target
         else:
-            columns.setdefault(column, to)
+            columns.setdefault(field, to)
     return target, columns
 
 
@@ -199,7 +196,7 @@ def rename_back(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
 def relationship(df: DataFrame, paths: Sequence[str]) -> DataFrame:
     """``Parent.Field`` paths through structs, each as a flat column of that name."""
-    return df.select(*[F.col(path).alias(path) for path in paths])
+    return df.select(*[column(df, path).alias(path) for path in paths])
 
 
 def ordered_columns(columns: Sequence[str], keep_order: bool = False) -> list[str]:
@@ -264,15 +261,15 @@ def clone(df: DataFrame, include: Sequence[str] = (), exclude_: Sequence[str] =
     return _select(df, names)
 
 
-def flatten_lists(df: DataFrame, column: str, name: str) -> DataFrame:
+def flatten_lists(df: DataFrame, values_of: str, name: str) -> DataFrame:
     """One row per element of a list, or of a list of lists."""
-    kind = df.schema[column].dataType
+    kind = df.schema[values_of].dataType
     nested = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.ArrayType)
-    values = F.flatten(column) if nested else F.col(column)
-    return df.select(*[c for c in df.columns if c != column], F.explode(values).alias(name))
+    values = F.flatten(quoted(values_of)) if nested else F.col(quoted(values_of))
+    return df.select(*flat(c for c in df.columns if c != values_of), F.explode(values).alias(name))
 
 
 def joined_key(df: DataFrame, columns: Sequence[str], delimiter: str = "|"):
     """The columns as text, joined; nulls count as empty."""
-    return F.concat_ws(delimiter, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    return F.concat_ws(delimiter, *[F.coalesce(column(df, c).cast("string"), F.lit("")) for c in columns])
 

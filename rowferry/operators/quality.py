@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rowferry.functions.cells import strip
 from rowferry.functions.keys import key_text, row_id
 from rowferry.operators.lookups import MISSING_COLUMN, MISSING_TABLE
-from rowferry.operators.project import quoted
+from rowferry.functions.names import every, quoted
 from rowferry.operators.ranking import flag_first, rank_rows
 
 BLANK_VALUES = "BLANK VALUES"
@@ -125,10 +125,10 @@ def add_ids(df: DataFrame, table: str, id_column: str, identify_by: Sequence[str
         return df
     if identify_by:
         return df.withColumn(id_column, row_id(table, *[F.col(quoted(c)) for c in identify_by]))
-    digest = F.sha2(F.to_json(F.struct(*[F.col(quoted(c)) for c in df.columns])), 256)
+    digest = F.sha2(F.to_json(F.struct(*every(df))), 256)
     ranked = rank_rows(df.withColumn("_digest", digest), ["_digest"], ["_digest"])
     return ranked.withColumn(id_column, row_id(table, "_digest", "_rn")).select(
-        *[F.col(quoted(c)) for c in df.columns], id_column
+        *every(df), id_column
     )
 
 
@@ -146,6 +146,5 @@ def repair_ids(df: DataFrame, table: str, id_column: str, order_by: Sequence[str
     )
     made = row_id(table, "_trimmed", *[F.col(quoted(o)) for o in order_by], length=length)
     fixed = F.when(F.col("_first"), F.col("_trimmed")).otherwise(made)
-    return flagged.select(
-        *[fixed.alias(c) if c == id_column else F.col(quoted(c)) for c in df.columns]
-    )
+    kept = [fixed.alias(c) if c == id_column else F.col(quoted(c)) for c in df.columns]
+    return flagged.select(*kept)

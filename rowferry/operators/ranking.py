@@ -3,8 +3,9 @@
 Picking a row per key is written as an aggregate, not as a window. The aggregate keeps one
 row per key on the map side, so a key with a third of all rows costs one row per task.
 
-Ordinals need every row. ``rank_rows`` cuts the order into cells, ranks each (key, cell)
-on its own and adds the row count of the cells before it, so no task holds a whole key.
+Ordinals need every row. For a key that is too large for one task, ``rank_rows`` cuts the
+order into cells, ranks each (key, cell) on its own and adds the row count of the cells
+before it.
 """
 
 from __future__ import annotations
@@ -15,10 +16,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowferry.functions.names import column, every, flat, quoted
 from rowferry.session import cut_lineage
 
 _SEGMENTS = 32
 
+#: A key with more rows than this is not ranked by one task.
+HOT_ROWS = 1_000_000
+
 
 def _pick(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], chooser) -> DataFrame:
     payload = [name for name in df.columns if name not in keys]
@@ -27,16 +32,16 @@ def _pick(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], chooser)
     if len(payload) == 1 and len(order_by) == 1:
         # Plain columns keep the buffer fixed-width, so this stays a hash aggregate.
         return (
-            df.groupBy(*keys)
-            .agg(chooser(payload[0], order_by[0]).alias(payload[0]))
-            .select(*df.columns)
+            df.groupBy(*flat(keys))
+            .agg(chooser(quoted(payload[0]), quoted(order_by[0])).alias(payload[0]))
+            .select(*every(df))
         )
-    picked = chooser(F.struct(*payload), F.struct(*order_by))
+    picked = chooser(F.struct(*flat(payload)), F.struct(*flat(order_by)))
     return (
-        df.groupBy(*keys)
+        df.groupBy(*flat(keys))
         .agg(picked.alias("_row"))
-        .select(*keys, "_row.*")
-        .select(*df.columns)
+        .select(*flat(keys), "_row.*")
+        .select(*every(df))
     )
 
 
@@ -52,22 +57,20 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
 
 def _flag(df, keys, order_by, name, chooser) -> DataFrame:
     chosen = (
-        df.groupBy(*keys)
-        .agg(chooser(F.struct(*order_by)).alias("_chosen"))
-        .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                *[F.col("_chosen").getField(o).alias(f"_o{i}") for i, o in enumerate(order_by)],
-                F.lit(True).alias("_hit"))
+        df.groupBy(*flat(keys))
+        .agg(chooser(F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(flat(order_by))])).alias("_chosen"))
+        .select(*[c.alias(f"_k{i}") for i, c in enumerate(flat(keys))], "_chosen.*", F.lit(True).alias("_hit"))
     )
     # The order columns identify a row, so joining on them as well spreads a hot key.
     condition = F.lit(True)
     for i, k in enumerate(keys):
-        condition = condition & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+        condition = condition & F.col(quoted(k)).eqNullSafe(F.col(f"_k{i}"))
     for i, o in enumerate(order_by):
-        condition = condition & F.col(o).eqNullSafe(F.col(f"_o{i}"))
+        condition = condition & F.col(quoted(o)).eqNullSafe(F.col(f"_o{i}"))
     return (
         df.join(chosen, condition, "left")
         .withColumn(name, F.coalesce("_hit", F.lit(False)))
-        .select(*df.columns, name)
+        .select(*every(df), name)
     )
 
 
@@ -81,14 +84,14 @@ def flag_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], name:
     return _flag(df, keys, order_by, name, F.max)
 
 
-def _as_number(df: DataFrame, column: str) -> Column | None:
-    kind = df.schema[column].dataType
+def _as_number(df: DataFrame, name: str) -> Column | None:
+    kind, value = df.schema[name].dataType, F.col(quoted(name))
     if isinstance(kind, T.NumericType):
-        return F.col(column).cast("double")
+        return value.cast("double")
     if isinstance(kind, T.DateType):
-        return F.unix_date(column).cast("double")
+        return F.unix_date(value).cast("double")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.col(column).cast("timestamp").cast("double")
+        return value.cast("timestamp").cast("double")
     return None
 
 
@@ -122,7 +125,7 @@ def with_cells(
     wanted = cells or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     number = _as_number(df, order_by[0])
     if number is None:
-        ranged = df.repartitionByRange(wanted, *order_by)
+        ranged = df.repartitionByRange(wanted, *flat(order_by))
         return cut_lineage(ranged.withColumn(name, F.spark_partition_id().cast("long")))
     probabilities = [i / _SEGMENTS for i in range(_SEGMENTS + 1)]
     bounds = df.select(number.alias("_v")).approxQuantile("_v", probabilities, 0.005)
@@ -137,34 +140,53 @@ def rank_rows(
     order_by: Sequence[str],
     name: str = "_rn",
     cells: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Exact ``row_number`` per key, or over all rows when ``keys`` is empty."""
-    celled = with_cells(df, order_by, "_rank_cell", cells)
-    key = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(1).alias("all"))
-    celled = celled.withColumn("_rank_key", key)
-    local = F.row_number().over(Window.partitionBy("_rank_key", "_rank_cell").orderBy(*order_by))
+    """Exact ``row_number`` per key, or over all rows when ``keys`` is empty.
+
+    Keys of at most ``hot_rows`` rows are ranked by a plain window. Whether there are larger
+    ones is asked up front: a count per key, combined before the shuffle, over the key columns
+    alone. Only their rows are cut into cells.
+    """
+    if not keys:
+        key, hot = F.struct(F.lit(1).alias("all")), None
+    else:
+        key = F.struct(*flat(keys))
+        counted = df.select(key.alias("_hot_key")).groupBy("_hot_key").count()
+        hot = counted.where(F.col("count") > hot_rows).select("_hot_key")
+        if hot.isEmpty():
+            within = Window.partitionBy(*flat(keys)).orderBy(*flat(order_by))
+            return df.withColumn(name, F.row_number().over(within).cast("long"))
+    celled = with_cells(df, order_by, "_rank_cell", cells).withColumn("_rank_key", key)
+    if hot is not None:
+        # At most (rows / hot_rows) keys are this large, so the list is short by its making.
+        marked = celled.join(F.broadcast(hot), F.col("_rank_key") == F.col("_hot_key"), "left")
+        cell = F.when(F.col("_hot_key").isNotNull(), F.col("_rank_cell")).otherwise(F.lit(-2))
+        celled = marked.withColumn("_rank_cell", cell).drop("_hot_key")
+    local = F.row_number().over(Window.partitionBy("_rank_key", "_rank_cell").orderBy(*flat(order_by)))
     ranked = celled.withColumn("_local", local)
     earlier = Window.partitionBy("_rank_key").orderBy("_rank_cell")
     earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
     before = (
-        celled.groupBy("_rank_key", "_rank_cell")
+        celled.where("_rank_cell <> -2")
+        .groupBy("_rank_key", "_rank_cell")
         .count()
-        .withColumn("_before", F.coalesce(F.sum("count").over(earlier), F.lit(0)))
+        .withColumn("_before", F.sum("count").over(earlier))
         .drop("count")
     )
     return (
-        ranked.join(before, ["_rank_key", "_rank_cell"])
-        .withColumn(name, F.col("_local") + F.col("_before"))
-        .select(*df.columns, name)
+        ranked.join(before, ["_rank_key", "_rank_cell"], "left")
+        .withColumn(name, F.col("_local") + F.coalesce("_before", F.lit(0)))
+        .select(*every(df), name)
     )
 
 
 def duplicate_names(
-    df: DataFrame, column: str, order_by: Sequence[str], name: str = "_unique"
+    df: DataFrame, values_of: str, order_by: Sequence[str], name: str = "_unique"
 ) -> DataFrame:
     """The value for its first row, then ``value_0``, ``value_1`` and so on."""
-    ranked = rank_rows(df, [column], order_by, "_rn")
-    text = F.col(column).cast("string")
+    ranked = rank_rows(df, [values_of], order_by, "_rn")
+    text = column(df, values_of).cast("string")
     return ranked.withColumn(
         name,
         F.when(F.col("_rn") == 1, text).otherwise(

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from rowferry.functions.cells import cast_cell, normalize_cell, strip
 from rowferry.operators.filters import where
-from rowferry.operators.project import quoted
+from rowferry.functions.names import quoted
 from rowferry.plans.apply import path_exists, replace_table
 
 # Fixed values.

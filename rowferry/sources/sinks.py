@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from rowferry.functions.cells import WRITE_NULL, datetime_text
 from rowferry.operators.lookups import ISSUE_COLUMNS
-from rowferry.operators.project import audit_columns, ordered_columns, quoted, strip_ids
+from rowferry.functions.names import quoted
+from rowferry.operators.project import audit_columns, ordered_columns, strip_ids
 from rowferry.operators.sets import append
 from rowferry.sources.scan import PACKAGE, typed
 
