@@ -32,6 +32,8 @@ def keyed(
         *order,
         *[column(df, name).alias(f"_t_{name}") for name in payload],
     ).where(F.col("_key").isNotNull() & F.col(id_name).isNotNull())
+    if list(order_by) == [id_column] and not payload:
+        return slim.groupBy("_key").agg(F.max(id_name).alias(id_name))
     last = last_per_key(slim, ["_key"], [f"_o{i}" for i in range(len(order_by))])
     return last.drop(*[f"_o{i}" for i in range(len(order_by))])
 

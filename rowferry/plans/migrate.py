@@ -14,6 +14,7 @@ from rowferry.functions.cells import truncate
 from rowferry.operators import closure, filters, lookups, mapping, matching, mocking, project
 from rowferry.plans import apply as apply_
 from rowferry.plans import upsert
+from rowferry.session import cut_lineage
 from rowferry.spec import MigrationSpec, TableSpec
 
 Tables = Mapping[str, DataFrame]
@@ -106,12 +107,16 @@ def plan_run(
     targets: Tables,
     data_retrieved: Callable[[dict[str, DataFrame]], dict[str, DataFrame]] | None = None,
     lengths: Mapping[str, Mapping[str, int]] | None = None,
+    store_pairs: bool = False,
 ) -> dict[str, TableRun]:
     """The plan of every table (M6: nothing is written).
 
     Forward, in table order: plain columns and lookups to earlier tables (M3). Ids of inserts
     come from the source ids, so later tables can point to rows that do not exist yet.
     Then lookups to later tables and to the table itself are planned as updates (M4).
+
+    ``store_pairs`` writes the id pairs of every table that others look up to the checkpoint
+    folder, which pays off when several tables remap through them.
     """
     chosen = select_sources(spec, sources)
     if data_retrieved is not None:
@@ -150,15 +155,12 @@ def plan_run(
                 keep_target=[c for c in held if c in target.columns],
             )
             plan = upsert.with_new_ids(plan, table.name, table.id, target.schema[table.id].dataType)
-            xrefs[table.name] = upsert.pairs_after(plan, table.id)
-            if table.operation == "Update" or table.prepared_filter or table.record_filter:
-                # Rows that are filtered out still serve as parents where they are linked.
-                xrefs[table.name] = xrefs[table.name].unionByName(
-                    links.select(matching.SOURCE_ID, matching.TARGET_ID)
-                ).dropDuplicates([matching.SOURCE_ID])
+            xrefs[table.name] = _pairs(table, chosen[table.name], plan, links, target)
         else:
             plan = None
             xrefs[table.name] = links.select(matching.SOURCE_ID, matching.TARGET_ID)  # M11
+        if store_pairs and any(l.parent == table.name for other in spec.tables for l in other.lookups):
+            xrefs[table.name] = cut_lineage(xrefs[table.name])
         runs[table.name] = TableRun(table, plan, links, missing=missing)
         _plan_deletes(runs[table.name], chosen[table.name], target)
     for table in spec.tables:
@@ -169,6 +171,17 @@ def plan_run(
     return runs
 
 
+def _pairs(table: TableSpec, source: DataFrame, plan: DataFrame, links: DataFrame, target: DataFrame) -> DataFrame:
+    """Source and target ids of the rows that children may point to."""
+    known = links.select(matching.SOURCE_ID, matching.TARGET_ID)
+    if table.operation == "Update":
+        return known
+    if table.prepared_filter or table.record_filter or table.before_update:
+        # Not every row is written. Rows that are left out still serve where they are linked.
+        return upsert.pairs_after(plan, table.id).unionByName(known).dropDuplicates([matching.SOURCE_ID])
+    return upsert.pairs_of_all(source, links, table.name, table.id, target.schema[table.id].dataType)
+
+
 def _plan_deletes(run: TableRun, source: DataFrame, target: DataFrame) -> None:
     table = run.spec
     hard = table.hard_delete or table.operation == "HardDelete"

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from rowferry.functions.cells import differs, strip
 from rowferry.functions.keys import row_id
+from rowferry.functions.names import every, flat, quoted
 from rowferry.operators.matching import SOURCE_ID, TARGET_ID
 
 INSERT, UPDATE, SKIP = "insert", "update", "skip"
@@ -20,7 +21,7 @@ DELETE, HARD_DELETE = "delete", "hard_delete"
 
 def row_differs(columns: Mapping[str, T.DataType]) -> Column:
     """M2: true when a prepared value differs from the target's, compared as target type."""
-    checks = [differs(F.col(f"`{name}`"), F.col(f"`_t_{name}`"), kind) for name, kind in columns.items()]
+    checks = [differs(F.col(quoted(name)), F.col(quoted(f"_t_{name}")), kind) for name, kind in columns.items()]
     return functools.reduce(operator.or_, checks, F.lit(False))
 
 
@@ -41,7 +42,7 @@ def classify(
     as payload). A source row whose key a later row repeats is not linked, so it counts as new.
     The backward pass (M4) updates linked rows and nothing else.
     """
-    joined = prepared.join(links, F.col(source_id) == F.col(SOURCE_ID), "left")
+    joined = prepared.join(links, F.col(quoted(source_id)) == F.col(SOURCE_ID), "left")
     linked = F.col(TARGET_ID).isNotNull()
     can_insert = operation in ("Insert", "Upsert") and not backward
     can_update = operation in ("Update", "Upsert") or backward
@@ -59,31 +60,49 @@ def classify(
     staged = joined.withColumn("skip_reason", reason)
     action = F.when(F.col("skip_reason").isNotNull(), SKIP).when(~linked, INSERT).otherwise(UPDATE)
     return staged.withColumn("action", action).select(
-        *[F.col(f"`{c}`") for c in prepared.columns],
+        *every(prepared),
         TARGET_ID,
-        *[F.col(f"`_t_{c}`") for c in keep_target],
+        *flat(f"_t_{c}" for c in keep_target),
         "action",
         "skip_reason",
     )
 
 
-def with_new_ids(plan: DataFrame, table: str, source_id: str, id_type: T.DataType | None = None) -> DataFrame:
-    """M5, M6: inserts get the id they will have in the target, from table and source id.
+def new_id(table: str, source_id: str, id_type: T.DataType | None = None) -> Column:
+    """The id an inserted row will have in the target, from table and source id.
 
-    A dry run and a real run give the same ids. A target with numeric ids gets the number that
-    the first 15 hex digits stand for.
+    A target with numeric ids gets the number that the first 15 hex digits stand for.
     """
-    made = row_id(table, F.col(source_id).cast("string"))
-    if id_type is not None and isinstance(id_type, T.IntegralType):
-        made = F.conv(F.substring(made, 1, 15), 16, 10).cast("long")
-    return plan.withColumn(
-        TARGET_ID, F.when(F.col("action") == INSERT, made).otherwise(F.col(TARGET_ID))
-    )
+    made = row_id(table, F.col(quoted(source_id)).cast("string"))
+    if isinstance(id_type, T.IntegralType):
+        return F.conv(F.substring(made, 1, 15), 16, 10).cast("long")
+    return made
+
+
+def with_new_ids(plan: DataFrame, table: str, source_id: str, id_type: T.DataType | None = None) -> DataFrame:
+    """M5, M6: inserts get their ids. A dry run and a real run give the same ones."""
+    made = new_id(table, source_id, id_type)
+    return plan.withColumn(TARGET_ID, F.when(F.col("action") == INSERT, made).otherwise(F.col(TARGET_ID)))
 
 
 def pairs_after(plan: DataFrame, source_id: str) -> DataFrame:
     """M5: (source_id, target_id) of rows that were linked and of those just inserted."""
-    return plan.where(F.col(TARGET_ID).isNotNull()).select(F.col(source_id).alias(SOURCE_ID), TARGET_ID)
+    return plan.where(F.col(TARGET_ID).isNotNull()).select(F.col(quoted(source_id)).alias(SOURCE_ID), TARGET_ID)
+
+
+def pairs_of_all(
+    source: DataFrame, links: DataFrame, table: str, source_id: str, id_type: T.DataType | None = None
+) -> DataFrame:
+    """M5 where every source row is written: the same pairs, from ids alone.
+
+    Children remap their lookups through these. They need no column of the parent's plan, so
+    the plans of a deep hierarchy do not nest.
+    """
+    ids = source.select(F.col(quoted(source_id)).alias("_sid"))
+    known = links.select(SOURCE_ID, TARGET_ID)
+    joined = ids.join(known, F.col("_sid") == F.col(SOURCE_ID), "left")
+    made = new_id(table, "_sid", id_type)
+    return joined.select(F.col("_sid").alias(SOURCE_ID), F.coalesce(TARGET_ID, made).alias(TARGET_ID))
 
 
 def delete_plan(rows: DataFrame, id_column: str, hard: bool = False) -> DataFrame:

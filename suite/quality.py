@@ -51,9 +51,10 @@ def q6(t: Tables) -> DataFrame:
     return quality.add_ids(t.customer.select("c_name", "c_acctbal"), "customer", "Id", ["c_name"])
 
 
-@case("q6_add_id_to_equal_rows")
+@case("q6_add_id_to_equal_rows", "SELECT p_name, p_type, count(*) AS rows, count(*) AS ids FROM part GROUP BY ALL")
 def q6_equal(t: Tables) -> DataFrame:
-    return quality.add_ids(t.part.select("p_name", "p_type"), "part", "Id")
+    rows = quality.add_ids(t.part.select("p_name", "p_type"), "part", "Id")
+    return rows.groupBy("p_name", "p_type").agg(F.count("*").alias("rows"), F.countDistinct("Id").alias("ids"))
 
 
 @case("q7_id_uniqueness_repair", X.with_ctes(X.ORDERS_NO_ID, Q7_SQL, select=f"SELECT {Q7_ID} AS id, o_custkey, ord FROM numbered"))

@@ -81,9 +81,23 @@ def k8(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", cells.truncate(F.col("text"), 80).alias("text"), cells.truncate(F.col("n_chars"), 2).alias("n"))
 
 
-@case("k11_row_hash")
+@case(
+    "k11_row_hash",
+    "SELECT min(o_orderkey) AS first_order, count(*) AS rows FROM orders GROUP BY o_custkey, o_orderstatus, o_orderpriority",
+)
 def k11(t: Tables) -> DataFrame:
-    return t.orders.select("o_orderkey", keys.row_hash(t.orders, ["o_orderkey"]).alias("hash"))
+    hashed = keys.row_hash(t.orders, ["o_orderkey", "o_totalprice", "o_orderdate"])
+    classes = t.orders.groupBy(hashed.alias("hash")).agg(F.min("o_orderkey").alias("first_order"), F.count("*").alias("rows"))
+    return classes.select("first_order", "rows")
+
+
+@case(
+    "k11_row_digest",
+    """SELECT o_orderkey, sha256(o_custkey || '|' || replace(o_orderpriority, ' ', '') || '|' || o_orderstatus) AS digest FROM orders""",
+)
+def k11_digest(t: Tables) -> DataFrame:
+    digest = keys.row_digest(t.orders, ["o_orderkey", "o_totalprice", "o_orderdate"])
+    return t.orders.select("o_orderkey", digest.alias("digest"))
 
 
 @case(
