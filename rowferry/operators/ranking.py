@@ -95,19 +95,21 @@ def _as_number(df: DataFrame, name: str) -> Column | None:
     return None
 
 
-def _cell_of(value: Column, bounds: list[float], per_segment: int) -> Column:
+def _cell_of(name: str, bounds: list[float], per_segment: int) -> Column:
     """Order-preserving cell number, linear between neighbouring ``bounds``."""
 
-    def branch(low: int, high: int) -> Column:
+    def branch(low: int, high: int) -> str:
         if high - low == 1:
             start, end = bounds[low], bounds[high]
-            inside = F.lit(0.0) if end <= start else (value - start) / (end - start) * per_segment
-            step = F.least(F.greatest(F.floor(inside), F.lit(0)), F.lit(per_segment - 1))
-            return F.lit(low * per_segment) + step
+            if end <= start:
+                return str(low * per_segment)
+            scale = per_segment / (end - start)
+            step = f"floor(({name} - {start!r}D) * {scale!r}D)"
+            return f"{low * per_segment} + least(greatest({step}, 0), {per_segment - 1})"
         middle = (low + high) // 2
-        return F.when(value < bounds[middle], branch(low, middle)).otherwise(branch(middle, high))
+        return f"CASE WHEN {name} < {bounds[middle]!r}D THEN {branch(low, middle)} ELSE {branch(middle, high)} END"
 
-    return F.coalesce(branch(0, len(bounds) - 1).cast("long"), F.lit(-1))
+    return F.coalesce(F.expr(branch(0, len(bounds) - 1)).cast("long"), F.lit(-1))
 
 
 def with_cells(
@@ -128,10 +130,28 @@ def with_cells(
         ranged = df.repartitionByRange(wanted, *flat(order_by))
         return cut_lineage(ranged.withColumn(name, F.spark_partition_id().cast("long")))
     probabilities = [i / _SEGMENTS for i in range(_SEGMENTS + 1)]
-    bounds = df.select(number.alias("_v")).approxQuantile("_v", probabilities, 0.005)
+    finite = df.select(number.alias("_v")).where("_v IS NOT NULL AND abs(_v) < double('Infinity')")
+    bounds = finite.agg(F.percentile_approx("_v", probabilities, 2000).alias("b")).first()["b"]
     if not bounds:
         return df.withColumn(name, F.lit(0).cast("long"))
-    return df.withColumn(name, _cell_of(number, bounds, max(1, wanted // _SEGMENTS)))
+    cell = _cell_of("_cell_value", bounds, max(1, wanted // _SEGMENTS))
+    return df.withColumn("_cell_value", number).withColumn(name, cell).drop("_cell_value")
+
+
+_ZERO = {T.StringType: "", T.BooleanType: False}
+
+
+def _key_parts(df: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
+    """The keys as columns without nulls, so that plain equality compares them."""
+    parts: dict[str, Column] = {}
+    for i, key in enumerate(keys):
+        kind, value = df.schema[key].dataType, F.col(quoted(key))
+        if isinstance(kind, (T.StringType, T.BooleanType, T.NumericType)):
+            zero = F.lit(_ZERO.get(type(kind), 0)).cast(kind)
+            parts[f"_k{i}"], parts[f"_n{i}"] = F.coalesce(value, zero), value.isNull()
+        else:
+            parts[f"_k{i}"] = F.struct(value)
+    return parts
 
 
 def rank_rows(
@@ -146,36 +166,38 @@ def rank_rows(
 
     Keys of at most ``hot_rows`` rows are ranked by a plain window. Whether there are larger
     ones is asked up front: a count per key, combined before the shuffle, over the key columns
-    alone. Only their rows are cut into cells.
+    alone. The few keys found are checkpointed, and only their rows are cut into cells.
     """
-    if not keys:
-        key, hot = F.struct(F.lit(1).alias("all")), None
-    else:
-        key = F.struct(*flat(keys))
-        counted = df.select(key.alias("_hot_key")).groupBy("_hot_key").count()
-        hot = counted.where(F.col("count") > hot_rows).select("_hot_key")
+    parts = _key_parts(df, keys)
+    names = list(parts)
+    hot = None
+    if keys:
+        counted = df.select(*[c.alias(n) for n, c in parts.items()]).groupBy(*names).count()
+        hot = counted.where(F.col("count") > hot_rows).select(*[F.col(n).alias(f"_hot{n}") for n in names])
+        hot = cut_lineage(hot)
         if hot.isEmpty():
             within = Window.partitionBy(*flat(keys)).orderBy(*flat(order_by))
             return df.withColumn(name, F.row_number().over(within).cast("long"))
-    celled = with_cells(df, order_by, "_rank_cell", cells).withColumn("_rank_key", key)
+    celled = with_cells(df, order_by, "_rank_cell", cells).withColumns(parts)
     if hot is not None:
         # At most (rows / hot_rows) keys are this large, so the list is short by its making.
-        marked = celled.join(F.broadcast(hot), F.col("_rank_key") == F.col("_hot_key"), "left")
-        cell = F.when(F.col("_hot_key").isNotNull(), F.col("_rank_cell")).otherwise(F.lit(-2))
-        celled = marked.withColumn("_rank_cell", cell).drop("_hot_key")
-    local = F.row_number().over(Window.partitionBy("_rank_key", "_rank_cell").orderBy(*flat(order_by)))
+        same = [F.col(n) == F.col(f"_hot{n}") for n in names]
+        marked = celled.join(F.broadcast(hot), same, "left")
+        cell = F.when(F.col(f"_hot{names[0]}").isNotNull(), F.col("_rank_cell")).otherwise(F.lit(-2))
+        celled = marked.withColumn("_rank_cell", cell).drop(*hot.columns)
+    at = [*names, "_rank_cell"]
+    local = F.row_number().over(Window.partitionBy(*at).orderBy(*flat(order_by)))
     ranked = celled.withColumn("_local", local)
-    earlier = Window.partitionBy("_rank_key").orderBy("_rank_cell")
-    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*names).orderBy("_rank_cell").rowsBetween(Window.unboundedPreceding, -1)
     before = (
         celled.where("_rank_cell <> -2")
-        .groupBy("_rank_key", "_rank_cell")
+        .groupBy(*at)
         .count()
         .withColumn("_before", F.sum("count").over(earlier))
         .drop("count")
     )
     return (
-        ranked.join(before, ["_rank_key", "_rank_cell"], "left")
+        ranked.join(before, at, "left")
         .withColumn(name, F.col("_local") + F.coalesce("_before", F.lit(0)))
         .select(*every(df), name)
     )

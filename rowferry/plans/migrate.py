@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowferry.functions.cells import truncate
-from rowferry.operators import closure, filters, lookups, mapping, matching, mocking, project
+from rowferry.operators import closure, filters, lookups, mapping, matching, mocking, project, ranking
 from rowferry.plans import apply as apply_
 from rowferry.plans import upsert
 from rowferry.session import cut_lineage
@@ -33,12 +33,16 @@ class TableRun:
     source_deletes: DataFrame | None = None
 
 
+def _read_source(table: TableSpec, source: DataFrame) -> DataFrame:
+    """Rows with an id that the source filter keeps, each id once."""
+    rows = filters.with_id(filters.source_records_filter(source, table.source_filter), table.id)
+    return rows if table.unique_id else ranking.first_per_key(rows, [table.id], table.order)
+
+
 def select_sources(spec: MigrationSpec, sources: Tables) -> dict[str, DataFrame]:
     """Which source rows take part. Master tables and tables without lookups in full, the
     others as children (J5) and parents (J6) of what is selected, with self-references (J7)."""
-    read = {
-        t.name: filters.source_records_filter(sources[t.name], t.source_filter) for t in spec.tables
-    }
+    read = {t.name: _read_source(t, sources[t.name]) for t in spec.tables}
     chosen: dict[str, DataFrame] = {}
     for table in spec.tables:
         pivots = closure.allowed_lookups([(l.column, l.parent) for l in table.lookups])

@@ -60,6 +60,9 @@ class TableSpec:
     ``order_by`` replaces the row order that file and record-list tools take for granted. The
     columns must together identify a row, so that first-wins and last-wins give the same
     answer on every run.
+
+    ``unique_id=False`` says that ids may repeat; the first row of each is then kept. A table
+    that is not ``master`` takes part only as far as related rows are selected.
     """
 
     name: str
@@ -76,6 +79,7 @@ class TableSpec:
     delete_filter: str | None = None
     hard_delete: bool = False
     master: bool = True
+    unique_id: bool = True
     skip_existing: bool = False
     always_update: bool = False
     not_insertable: tuple[str, ...] = ()

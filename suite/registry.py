@@ -20,7 +20,9 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return load(self.spark, self.folder, name)
+        table = load(self.spark, self.folder, name)
+        setattr(self, name, table)
+        return table
 
 
 def case(name: str, sql: str | None = None):

@@ -125,6 +125,14 @@ def test_selection_follows_parents_children_and_self_references(spark):
     assert sorted(r["Id"] for r in chosen["b"].collect()) == ["b1", "b2", "b3"]
 
 
+def test_repeated_and_blank_ids(spark):
+    spec = MigrationSpec((TableSpec("t", "Id", ("Name",), ("Name",), "Insert", order_by=("o",), unique_id=False),))
+    source = spark.createDataFrame([("1", "late", 2), ("1", "early", 1), (" ", "blank", 3), (None, "none", 4)], "Id string, Name string, o int")
+    target = spark.createDataFrame([], "Id string, Name string")
+    plan = migrate.plan_run(spec, {"t": source}, {"t": target})["t"].plan.collect()
+    assert [(r["Id"], r["Name"], r["action"]) for r in plan] == [("1", "early", "insert")]
+
+
 def test_skip_counts(spark):
     source = spark.createDataFrame([("s1", "A"), ("s2", "B")], "Id string, Name string")
     links = spark.createDataFrame([("s1", "T1", "A")], "source_id string, target_id string, _t_Name string")
