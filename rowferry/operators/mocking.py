@@ -20,6 +20,7 @@ from rowferry.functions.text import ascii_bounds
 from rowferry.functions.names import quoted
 from rowferry.operators.project import INTERNAL
 from rowferry.operators.ranking import rank_rows
+from rowferry.operators.stats import changed_counts
 from rowferry.spec import MockField
 
 # Fixed values.
@@ -207,6 +208,5 @@ def apply(df: DataFrame, mocks: Sequence[MockField], id_column: str, order_by: S
 def apply_counts(df: DataFrame, mocks: Sequence[MockField], id_column: str) -> DataFrame:
     """Mocked rows per field."""
     flags = mask_flags(df, fields_to_mock(df, mocks, id_column))
-    pairs = F.array(*[F.struct(F.lit(n).alias("field"), F.col(f"_m_{n}").alias("rows")) for n in flags])
-    return df.agg(*[F.count_if(flag).alias(f"_m_{n}") for n, flag in flags.items()]).select(F.inline(pairs))
+    return changed_counts(df, flags)
 

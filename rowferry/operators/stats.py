@@ -45,8 +45,10 @@ def skip_counts(plan: DataFrame, action: str = "action", reason: str = "skip_rea
 
 def changed_counts(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
     """Rows changed per field, in one pass, as (field, rows)."""
-    counts = df.agg(*[F.count_if(condition).alias(name) for name, condition in conditions.items()])
-    pairs = F.array(*[F.struct(F.lit(n).alias("field"), F.col(n).alias("rows")) for n in conditions])
+    counts = df.agg(*[F.count_if(condition).alias(f"_n{i}") for i, condition in enumerate(conditions.values())])
+    pairs = F.array(
+        *[F.struct(F.lit(name).alias("field"), F.col(f"_n{i}").alias("rows")) for i, name in enumerate(conditions)]
+    )
     return counts.select(F.inline(pairs))
 
 

@@ -14,7 +14,6 @@ from rowferry.functions.cells import truncate
 from rowferry.operators import closure, filters, lookups, mapping, matching, mocking, project, ranking
 from rowferry.plans import apply as apply_
 from rowferry.plans import upsert
-from rowferry.session import cut_lineage
 from rowferry.spec import MigrationSpec, TableSpec
 
 Tables = Mapping[str, DataFrame]
@@ -111,7 +110,7 @@ def plan_run(
     targets: Tables,
     data_retrieved: Callable[[dict[str, DataFrame]], dict[str, DataFrame]] | None = None,
     lengths: Mapping[str, Mapping[str, int]] | None = None,
-    store_pairs: bool = False,
+    store: str | None = None,
 ) -> dict[str, TableRun]:
     """The plan of every table (M6: nothing is written).
 
@@ -119,8 +118,9 @@ def plan_run(
     come from the source ids, so later tables can point to rows that do not exist yet.
     Then lookups to later tables and to the table itself are planned as updates (M4).
 
-    ``store_pairs`` writes the id pairs of every table that others look up to the checkpoint
-    folder, which pays off when several tables remap through them.
+    ``store`` names a folder on shared storage. Plans and id pairs are then written there as
+    they are made and read back by what follows, so that each is worked out once: pairs that
+    several tables remap through, and the forward plan that the deferred one builds on.
     """
     chosen = select_sources(spec, sources)
     if data_retrieved is not None:
@@ -159,22 +159,33 @@ def plan_run(
                 keep_target=[c for c in held if c in target.columns],
             )
             plan = upsert.with_new_ids(plan, table.name, table.id, target.schema[table.id].dataType)
+            plan = _stored(plan, store, f"{table.name}/plan")
             xrefs[table.name] = _pairs(table, chosen[table.name], plan, links, target)
         else:
             plan = None
             xrefs[table.name] = links.select(matching.SOURCE_ID, matching.TARGET_ID)  # M11
-        if store_pairs and any(l.parent == table.name for other in spec.tables for l in other.lookups):
-            xrefs[table.name] = cut_lineage(xrefs[table.name])
+        if any(l.parent == table.name for other in spec.tables for l in other.lookups):
+            xrefs[table.name] = _stored(xrefs[table.name], store, f"{table.name}/pairs")
         runs[table.name] = TableRun(table, plan, links, missing=missing)
         _plan_deletes(runs[table.name], chosen[table.name], target)
     for table in spec.tables:
-        _plan_deferred(spec, table, runs[table.name], chosen[table.name], targets[table.name], xrefs)
+        run = runs[table.name]
+        _plan_deferred(spec, table, run, chosen[table.name], targets[table.name], xrefs)
+        if run.deferred is not None:
+            run.deferred = _stored(run.deferred, store, f"{table.name}/deferred")
     for table in spec.tables:
         if table.after_update is not None and runs[table.name].plan is not None:
             table.after_update(runs[table.name].plan)  # H4
     return runs
 
 
+def _stored(df: DataFrame, folder: str | None, name: str) -> DataFrame:
+    if folder is None:
+        return df
+    df.write.mode("overwrite").parquet(f"{folder}/{name}")
+    return df.sparkSession.read.parquet(f"{folder}/{name}")
+
+
 def _pairs(table: TableSpec, source: DataFrame, plan: DataFrame, links: DataFrame, target: DataFrame) -> DataFrame:
     """Source and target ids of the rows that children may point to."""
     known = links.select(matching.SOURCE_ID, matching.TARGET_ID)

@@ -85,6 +85,30 @@ def test_dry_run_ids_equal_real_ids(spark):
     assert ids[0] == ids[1] and all(len(i) == 18 for i in ids[0])
 
 
+def test_stored_run_equals_lazy_run(spark, tmp_path):
+    spec, (sources, targets) = people_spec(), people(spark)
+    lazy = migrate.plan_run(spec, sources, targets)
+    stored = migrate.plan_run(spec, sources, targets, store=str(tmp_path))
+    for name in lazy:
+        for part in ("plan", "deferred"):
+            a, b = getattr(lazy[name], part), getattr(stored[name], part)
+            assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.select(a.columns).collect()), key=repr)
+    assert {p.name for p in (tmp_path / "person").iterdir()} == {"plan", "pairs", "deferred"}
+
+
+def test_external_sink_gets_written_rows_only(spark, tmp_path):
+    plan = spark.createDataFrame([("1", "insert"), ("2", "skip"), ("3", "delete")], "target_id string, action string")
+    folder = str(tmp_path)
+
+    def send(rows):
+        for row in rows:
+            with open(f"{folder}/{row['target_id']}", "w") as file:
+                file.write(row["action"])
+
+    A.write_external(plan, send)
+    assert {p.name: p.read_text() for p in tmp_path.iterdir()} == {"1": "insert", "3": "delete"}
+
+
 def test_options_reach_the_rows(spark):
     spec = people_spec(
         mock=(MockField("Grade", "c_set_value(7)", excluded="^1$"),),

@@ -104,6 +104,30 @@ def test_csv_round_trip(spark, tmp_path):
     assert scan.read_text_csv(spark, path).columns == ["Id", "a", "b"]
 
 
+def test_binary_bodies(spark, tmp_path):
+    (tmp_path / "a.bin").write_bytes(b"\x00\x01abc")
+    (tmp_path / "b.txt").write_bytes(b"no")
+    rows = scan.read_bodies(spark, str(tmp_path), "*.bin").collect()
+    assert [(r["size"], r["body"]) for r in rows] == [(5, "AAFhYmM=")]
+
+
+def test_snapshot_reads_the_first_result(spark, tmp_path):
+    first = scan.snapshot(spark, str(tmp_path), "q", lambda: spark.range(3))
+    second = scan.snapshot(spark, str(tmp_path), "q", lambda: spark.range(9))
+    assert first.count() == second.count() == 3
+    assert scan.snapshot(spark, str(tmp_path), "other", lambda: spark.range(9)).count() == 9
+
+
+def test_descending_order_as_keys(spark):
+    from rowferry.operators import ordering
+
+    df = spark.createDataFrame([(1, 5), (2, None), (3, 7)], "i int, v int")
+    for order, expected in {"v DESC": [3, 1, 2], "v": [2, 1, 3], "v ASC NULLS LAST": [1, 3, 2], "v DESC NULLS FIRST": [2, 3, 1]}.items():
+        keyed, names = ordering.order_keys(df, order)
+        assert [r["i"] for r in keyed.orderBy(*names).collect()] == expected
+        assert [r["i"] for r in ordering.order_rows(df, order).collect()] == expected
+
+
 def test_user_group_split(spark):
     df = spark.createDataFrame([("005x", "u"), ("00Gy", "g"), ("001z", "a"), (" ", "b"), (None, "c")], "Id string, Name string")
     parts = scan.split_by_prefix(df, "Id")
