@@ -72,7 +72,7 @@ def _edges(word: str) -> tuple[str, str]:
 def words_pattern(words: Sequence[str]) -> str:
     """Whole-word pattern over the words and their accent-free forms, any case."""
     runs = itertools.groupby(expand_words(words), key=_edges)
-    return "(?i)(" + "|".join(f"{pre}(?:{'|'.join(run)}){post}" for (pre, post), run in runs) + ")"
+    return "(?iu)(" + "|".join(f"{pre}(?:{'|'.join(run)}){post}" for (pre, post), run in runs) + ")"
 
 
 def plain_words(words: Sequence[str]) -> tuple[list[str], list[str]]:

@@ -122,7 +122,7 @@ def _map_column(df: DataFrame, name: str, rules: FieldRules, hits: bool) -> Data
     raw = strip(F.coalesce(F.col(quoted(name)).cast("string"), F.lit("")))
     out = df.withColumn("_raw", raw)
     if rules.pattern:
-        pattern = f"(?i){rules.pattern}"
+        pattern = f"(?iu){rules.pattern}"
         swapped = F.regexp_replace(F.col("_raw"), F.lit(pattern), _evaluated(out, rules.replacement))
         matched = F.col("_raw").rlike(pattern)
         out = out.withColumn("_regex", matched).withColumn("_new", F.when(matched, swapped).otherwise(""))

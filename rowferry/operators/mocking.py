@@ -115,7 +115,7 @@ def test(expression: str, value: Column) -> Column:
         return text != ""
     if expression == NO_VALUE:
         return text == ""
-    return text.rlike(f"(?i){ascii_bounds(expression)}")
+    return text.rlike(f"(?iu){ascii_bounds(expression)}")
 
 
 def _pattern(text: str) -> tuple[str, bool]:

@@ -79,6 +79,8 @@ def test_bad_words(spark):
     df = spark.createDataFrame([("Bad foo", None), ("Good", "food"), (None, "FOO!")], "Name string, Description string")
     kept = filters.keep_words(df, ["Name", "Description"], ["foo"], mark=True).collect()
     assert sorted(map(tuple, kept), key=repr) == [("Bad ***foo***", None), (None, "***FOO***!")]
+    accents = spark.createDataFrame([("DU ÈÉONX",), ("xÉON.",), ("éon",)], "t string")
+    assert [r[0] for r in accents.select(filters.word_match(["t"], ["éon"])).collect()] == [False, True, False]
     many = [f"w{i}" for i in range(100)] + ["foo", "naïve"]
     texts = spark.createDataFrame([("a foo b",), ("food",), ("w7",), ("naive x",), ("so naïve.",), (None,)], "t string")
     long_list = [r[0] for r in texts.select(filters.word_match(["t"], many)).collect()]
