@@ -17,9 +17,9 @@ def flat(names: Iterable[str]) -> list[Column]:
     return [F.col(quoted(name)) for name in names]
 
 
-def every(df: DataFrame) -> list[Column]:
-    """All columns of a frame as they are."""
-    return flat(df.columns)
+def every(df: DataFrame) -> list[str]:
+    """All columns of a frame as they are, for a ``select``."""
+    return [quoted(name) for name in df.columns]
 
 
 def column(df: DataFrame, name: str | Column) -> Column:
