@@ -139,19 +139,22 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two full sets are similar enough."""
+    both = np.concatenate((x, y))
+    both.sort()
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets link."""
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
 
     def check(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        keep = []
-        for x, y in zip(batch.column(2), batch.column(3)):
-            x, y = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
-            both = np.concatenate((x, y))
-            both.sort()
-            common = int((both[1:] == both[:-1]).sum())
-            keep.append(100 * common >= percent * (len(x) + len(y) - common))
+        sides = zip(batch.column(2), batch.column(3))
+        keep = [_linked(np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U), percent) for x, y in sides]
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(over_batches(check), "a bigint, b bigint")
@@ -230,24 +233,26 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     labelled = buckets.join(labels.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select("key", "node", "members", mine.alias("label"))
     split = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select(F.col("key").alias("_key"))
     mixed = stored(labelled.join(split, F.col("key") == F.col("_key")).drop("_key"), "mixed")
-    groups = max(1, mixed.count() // 20_000)
+    groups = max(1, mixed.count() // 6000)
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     other = F.explode(F.sequence(F.lit(0), blocks - 1))
     # a block meets every other block of its bucket once, and itself
     dealt = mixed.withColumn("block", own).select("*", other.alias("_other")).withColumns({"low": F.least("block", "_other"), "high": F.greatest("block", "_other")})
-    dealt = dealt.join(reps.select(F.col("node").alias("_rep"), "n", "regs"), F.col("node") == F.col("_rep"))
+    dealt = dealt.join(sets.withColumnRenamed("node", "_rep"), F.col("node") == F.col("_rep"))
     dealt = dealt.withColumn("group", F.when(blocks == 1, F.pmod(F.xxhash64("key"), F.lit(groups))).otherwise(F.xxhash64("key", "low", "high").bitwiseOR(F.lit(1 << 62))))
 
     def across(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["key", "low", "high"], kind="stable")
-        regs = np.frombuffer(b"".join(pdf["regs"]), np.uint16).reshape(-1, _BUCKETS)
-        node, label, n, block = (pdf[c].to_numpy() for c in ("node", "label", "n", "block"))
+        node, label, block = (pdf[c].to_numpy() for c in ("node", "label", "block"))
+        full = [np.frombuffer(x, U) for x in pdf["hashes"]]
+        n = np.array([len(x) for x in full])
+        regs = registers(np.concatenate(full), n)
         meeting = pdf.groupby(["key", "low", "high"], sort=False).ngroup().to_numpy()
         keys = band_keys(regs).view(np.int64)
         one_block = (pdf["low"] == pdf["high"]).to_numpy()
         edge = np.flatnonzero(np.concatenate(([True], meeting[1:] != meeting[:-1], [True])))
-        first, second = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        found = []
         for lo, hi, key in zip(edge[:-1], edge[1:], pdf["key"].to_numpy()[edge[:-1]]):
             for i in range(lo, hi - 1):
                 rows = np.arange(i + 1, hi)
@@ -258,14 +263,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
                     continue
                 equal, filled = _compare(regs[rows], regs[i])
                 rows = rows[may_link(equal, filled, np.full(len(rows), float(n[i])), n[rows].astype(float), percent)]
-                # a pair that shares several bands is for the first of them
+                # a pair that shares several bands is looked at in the first of them
                 rows = rows[keys[i][(keys[rows] == keys[i]).argmax(1)] == key]
-                first.append(np.minimum(node[i], node[rows]))
-                second.append(np.maximum(node[i], node[rows]))
-        return pd.DataFrame({"a": np.concatenate(first), "b": np.concatenate(second)})
+                found += [(node[i], node[j]) for j in rows.tolist() if _linked(full[i], full[j], percent)]
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": pairs.min(1), "b": pairs.max(1)}) if len(pairs) else pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    likely = dealt.select("group", "key", "low", "high", "block", "node", "label", "n", "regs").groupBy("group").applyInPandas(across, "a bigint, b bigint")
-    more = stored(_verified(likely, sets, percent), "second-links")
+    more = dealt.select("group", "key", "low", "high", "block", "node", "label", "hashes").groupBy("group").applyInPandas(across, "a bigint, b bigint")
+    more = stored(more, "second-links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 
