@@ -34,7 +34,7 @@ LENGTH = 400
 GRAM = 32
 #: Bytes of segments in an index shard, about; segments of one anchor that are indexed.
 SHARD_BYTES = 1 << 21
-CROWD = 2000
+CROWD = 6000
 _SPANS = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
 _COPIES, _INDEX, _HASH = 0, 1, 2
 
@@ -146,6 +146,7 @@ class RunLengthIndex:
         sa = np.argsort(key, kind="stable")  # equal keys with terminators stay in the order of strings
         ordered = key[sa]
         new = np.concatenate(([True], ordered[1:] != ordered[:-1])) | (left[sa] < 7)
+        del key, ordered, symbol, left
         rank = np.empty(n, np.int64)
         rank[sa] = np.maximum.accumulate(np.where(new, here, 0))
         todo = np.flatnonzero(~(new & np.concatenate((new[1:], [True]))))
@@ -202,7 +203,7 @@ def remove_long_matches(docs: DataFrame, length: int = LENGTH, id_col: str = "do
     """
     batches_of_texts(docs.sparkSession)
     id_type = docs.select(docs[f"`{id_col}`"]).schema[0].dataType.simpleString()
-    keyed = pick(docs, doc_id=id_col, text=text_col).select("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("key"), F.xxhash64("text").alias("same"), "text")
+    keyed = pick(docs, doc_id=id_col, text=text_col).select("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("key"), F.hash("text").alias("same"), "text")
 
     def sample(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         keys, same, rows = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
@@ -212,7 +213,7 @@ def remove_long_matches(docs: DataFrame, length: int = LENGTH, id_col: str = "do
             content = span_hashes(texts.data, start, n + length - 1)
             yield record(anchor=anchor.view(np.int64), content=content.view(np.int64), twice=twice, key=keys[lo:hi][text], same=same[lo:hi][text])
 
-    found = stored(keyed.select("key", "same", "text").mapInArrow(over_batches(sample), "anchor bigint, content bigint, twice boolean, key bigint, same bigint"), "segments")
+    found = stored(keyed.select("key", "same", "text").mapInArrow(over_batches(sample), "anchor bigint, content bigint, twice boolean, key bigint, same int"), "segments")
     groups = found.groupBy("anchor").agg(F.count("*").alias("n"), (F.min("content") != F.max("content")).alias("mixed"), F.max("twice").alias("twice")).where("n > 1 or twice")
     way = F.when((F.col("n") > 1) & ~F.col("mixed"), _COPIES).when(F.col("n") <= crowd, _INDEX).otherwise(_HASH)
     recurring = stored(groups.select(F.col("anchor").alias("_anchor"), "n", way.alias("way")), "recurring")
@@ -267,7 +268,7 @@ def remove_long_matches(docs: DataFrame, length: int = LENGTH, id_col: str = "do
     located = stored(
         marked.mapInArrow(
             over_batches(locate),
-            f"doc_id {id_type}, key bigint, same bigint, n_bytes bigint, n_removed bigint, {spans}, kept binary, late binary, anchor array<bigint>, content array<bigint>, start array<bigint>, segment array<binary>, spot array<bigint>, hash1 array<bigint>, hash2 array<bigint>",
+            f"doc_id {id_type}, key bigint, same int, n_bytes bigint, n_removed bigint, {spans}, kept binary, late binary, anchor array<bigint>, content array<bigint>, start array<bigint>, segment array<binary>, spot array<bigint>, hash1 array<bigint>, hash2 array<bigint>",
         ),
         "located",
     )
