@@ -43,7 +43,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` to the shared checkpoint folder and reads it back: the lineage ends there,
     and a lost executor costs no more than the tasks it was running."""
     path = scratch_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -52,6 +52,13 @@ def crc_mod(column: str, modulus: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
 
 
+def sampled(rows: DataFrame, rank: str, size: int) -> DataFrame:
+    """The rows with the ``size`` smallest values of ``rank``, which is distinct per row but for
+    copies. Only the ranks are sorted; the rows themselves stay where they are."""
+    last = rows.select(rank).distinct().orderBy(rank).limit(size).agg(F.max(rank)).first()[0]
+    return rows.where(F.lit(False) if last is None else F.col(rank) <= last)
+
+
 def pick(docs: DataFrame, **columns: str) -> DataFrame:
     """The named columns under fixed names; all other columns, whatever their names, stay out."""
     return docs.select(*[docs[f"`{source}`"].alias(name) for name, source in columns.items()])

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowferry.llm.common import batches_of_texts, over_batches, pick, record
+from rowferry.llm.common import batches_of_texts, over_batches, pick, record, sampled
 from rowferry.llm.kernels import PLAIN, U, Words, chunks, mix, span_hashes
 
 BUCKETS = 1 << 18
@@ -76,7 +76,8 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     batches_of_texts(labelled.sparkSession)
     rows = pick(labelled, id=id_col, text=text_col, label=label_col).where(F.col("label").isNotNull() & F.col("text").isNotNull())
     order = F.xxhash64(F.col("id").cast("string"), "text")
-    sample = rows.select("text", F.col("label").cast("int").alias("label"), order.alias("rank")).orderBy("rank", "text", "label").limit(sample_rows)
+    ranked = rows.select("text", F.col("label").cast("int").alias("label"), order.alias("rank"))
+    sample = sampled(ranked, "rank", sample_rows).groupBy("rank", "label").agg(F.min("text").alias("text")).select("text", "label", "rank")
 
     def features(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts = batch.column(0).to_pylist()
@@ -90,7 +91,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
                 values.append((times * (SCALE / max(n, 1))).astype(np.float32))
         yield record(label=batch.column(1), rank=batch.column(2), bucket=pa.array(buckets, pa.list_(pa.int32())), value=pa.array(values, pa.list_(pa.float32())))
 
-    found = sample.repartition(F.col("rank")).mapInArrow(over_batches(features), "label int, rank bigint, bucket array<int>, value array<float>")
+    found = sample.mapInArrow(over_batches(features), "label int, rank bigint, bucket array<int>, value array<float>")
     examples = [(np.array(r["bucket"], np.int64), np.array(r["value"], np.float64), r["label"]) for r in sorted(found.collect(), key=lambda r: (r["rank"], r["label"], r["bucket"]))]
     return _follow(examples)
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowferry.llm.common import batches_of_texts, columns_of, over_batches, pick, record
+from rowferry.llm.common import batches_of_texts, columns_of, over_batches, pick, record, sampled
 from rowferry.llm.kernels import chunks
 
 # The patterns of the contract and the lengths below which a match is dropped.
@@ -105,8 +105,8 @@ def train(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOC
     Two transition tables are counted over the sample by the tasks and added up.
     """
     batches_of_texts(docs.sparkSession)
-    texts = pick(docs, text=text_col).where(F.col("text").isNotNull())
-    sample = texts.orderBy(F.xxhash64("text"), "text").limit(sample_docs)
+    texts = pick(docs, text=text_col).where(F.col("text").isNotNull()).withColumn("rank", F.xxhash64("text"))
+    sample = sampled(texts, "rank", sample_docs).groupBy("rank").agg(F.min("text").alias("text")).select("text")
     size = _STATES * _STATES
 
     def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

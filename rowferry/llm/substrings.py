@@ -5,9 +5,9 @@ A passage repeats where a window of ``WINDOW`` words also starts in a document w
 1. Sampling. Of the phrases of ``PHRASE`` words in a window the one with the smallest hash is the
    window's phrase, so equal windows have equal phrases. Consecutive windows with one phrase form a
    segment; a row per segment is what the corpus is searched with, not a row per word.
-2. Confirmation. Phrases of two documents or more recur. If all segments of a phrase are equal
-   (whole copies), the smallest id alone tells which are removed; otherwise their windows have to
-   be compared.
+2. Confirmation. Phrases of two documents or more recur. A segment that an earlier document has
+   word for word is removed as a whole; in the first documents of the different segments of a
+   phrase, windows have to be compared.
 3. Automata. Documents with recurring phrases are dealt into blocks. The phrases of a block are
    compiled into an Aho-Corasick automaton of word numbers, so automata are sharded with the
    documents, and none grows with the corpus. The block's documents are streamed through it, which
@@ -62,8 +62,11 @@ def _sampled(words: Words, window: int, phrase: int):
     return h, parts, full, low
 
 
-def _rows_of(words: Words) -> np.ndarray:
-    return np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
+def _contents(words: Words, low: np.ndarray, full: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last window of every segment, and a hash of its words."""
+    row = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))[: len(low)]
+    a, b = segments(low, row, inside(words.first, window, len(words.start)))
+    return a, b, mix(full[a] * U(3) + mix(full[b] + (b - a).astype(U)))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -78,30 +81,34 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE,
     spark = batches_of_texts(docs.sparkSession)
     id_type = docs.select(docs[f"`{id_col}`"]).schema[0].dataType.simpleString()
     chosen = pick(docs, doc_id=id_col, text=text_col)
-    keyed = chosen.select("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("key"), F.xxhash64("text").alias("same"), "text")
+    keyed = chosen.select("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("key"), F.hash("text").alias("same"), "text")
 
     def sample(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         keys, same, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
         for lo, hi in chunks(texts):
             words = Words(texts[lo:hi], PLAIN)
             _, _, full, low = _sampled(words, window, phrase)
-            row = _rows_of(words)[: len(low)]
-            a, b = segments(low, row, inside(words.first, window, len(words.start)))
-            content = mix(full[a] * U(3) + mix(full[b] + (b - a).astype(U)))
-            yield record(phrase=low[a].view(np.int64), content=content.view(np.int64), key=keys[lo:hi][row[a]], same=same[lo:hi][row[a]])
-
-    found = stored(keyed.select("key", "same", "text").mapInArrow(over_batches(sample), "phrase bigint, content bigint, key bigint, same bigint"), "segments")
-    groups = found.groupBy("phrase").agg(F.min("key").alias("first"), F.max("key").alias("last"), (F.min("content") != F.max("content")).alias("mixed"))
-    recurring = groups.where("first < last").select(F.col("phrase").alias("_phrase"), "first", "mixed")
-    # copies that only the first document of a phrase has, and nothing to compare with, need no look
-    wanted = found.select("phrase", "key", "same").join(recurring, F.col("phrase") == F.col("_phrase")).where("mixed or key > first")
-    lists = wanted.groupBy("key", "same").agg(F.collect_set(F.struct("phrase", F.col("mixed").alias("mixed"))).alias("phrases"))
-    lists = lists.select(F.col("key").alias("_key"), F.col("same").alias("_same"), F.transform("phrases", lambda p: p["phrase"]).alias("phrases"), F.transform("phrases", lambda p: p["mixed"]).alias("mixed"))
-    marked = keyed.join(lists, (F.col("key") == F.col("_key")) & (F.col("same") == F.col("_same")), "left").select("doc_id", "key", "same", "text", "phrases", "mixed")
+            a, _, content = _contents(words, low, full, window)
+            row = np.searchsorted(words.first, a, "right") - 1
+            yield record(phrase=low[a].view(np.int64), content=content.view(np.int64), key=keys[lo:hi][row], same=same[lo:hi][row])
+
+    found = stored(keyed.select("key", "same", "text").mapInArrow(over_batches(sample), "phrase bigint, content bigint, key bigint, same int"), "segments")
+    groups = found.groupBy("phrase").agg(F.min("key").alias("first"), F.max("key").alias("last"))
+    recurring = groups.where("first < last").select(F.col("phrase").alias("_phrase"))
+    # a segment that an earlier document has as well is removed as a whole; windows have to be
+    # compared only in the first document of each of several different segments of a phrase
+    wanted = stored(found.join(recurring, F.col("phrase") == F.col("_phrase")).select("phrase", "content", "key", "same"), "recurring")
+    firsts = wanted.groupBy("phrase", "content").agg(F.min("key").alias("owner"))
+    mixed = firsts.groupBy("phrase").agg((F.count("*") > 1).alias("mixed")).withColumnRenamed("phrase", "_phrase")
+    firsts = firsts.join(mixed, F.col("phrase") == F.col("_phrase")).select("_phrase", F.col("content").alias("_content"), "owner", "mixed")
+    wanted = wanted.join(firsts, (F.col("phrase") == F.col("_phrase")) & (F.col("content") == F.col("_content"))).where("mixed or key > owner")
+    lists = wanted.groupBy("key", "same").agg(F.collect_set(F.struct("phrase", "content", (F.col("key") == F.col("owner")).alias("compare"))).alias("s"))
+    lists = lists.select(F.col("key").alias("_key"), F.col("same").alias("_same"), "s.phrase", "s.content", "s.compare")
+    marked = keyed.join(lists, (F.col("key") == F.col("_key")) & (F.col("same") == F.col("_same")), "left").select("doc_id", "key", "same", "text", "phrase", "content", "compare")
 
     def locate(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        phrases = batch.column(4)
-        plain = batch.filter(pc.is_null(phrases))
+        has_phrases = pc.is_valid(batch.column(4))
+        plain = batch.filter(pc.invert(has_phrases))
         if plain.num_rows:  # no recurring phrase: nothing to locate
             split = [(t or "").encode("utf-8", "surrogatepass").split() for t in plain.column(3).to_pylist()]
             none = np.zeros(len(split) + 1, np.int32)
@@ -110,13 +117,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE,
                 spans=pa.array([[]] * len(split), _SPANS), kept_text=pa.array([b" ".join(w).decode("utf-8", "surrogatepass") for w in split], pa.string()), text=pa.nulls(len(split), pa.string()),
                 **{n: pa.ListArray.from_arrays(pa.array(none), pa.array([], t)) for n, t in (("place", pa.int32()), ("phrase", pa.int64()), ("content", pa.int64()))},
             )
-        batch = batch.filter(pc.is_valid(phrases))
+        batch = batch.filter(has_phrases)
         ids, keys, same = (batch.column(i) for i in range(3))
-        texts, phrases, mixed = (batch.column(i).to_pylist() for i in (3, 4, 5))
+        texts, listed = batch.column(3).to_pylist(), [batch.column(i).to_pylist() for i in (4, 5, 6)]
         for lo, hi in chunks(texts):
             words = Words(texts[lo:hi], PLAIN)
             n = hi - lo
-            removed, (at, p, w) = _stream(words, phrases[lo:hi], mixed[lo:hi], window, phrase)
+            removed, (at, p, w) = _stream(words, *[x[lo:hi] for x in listed], window, phrase)
             out = _result(words, removed, n)
             place = np.searchsorted(at, words.first)
             later = np.diff(place) > 0  # these texts are not ready
@@ -130,7 +137,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE,
 
     spans = "spans array<struct<first:bigint,last:bigint>>"
     located = stored(
-        marked.mapInArrow(over_batches(locate), f"doc_id {id_type}, key bigint, same bigint, n_words bigint, n_removed bigint, {spans}, kept_text string, text string, place array<int>, phrase array<bigint>, content array<bigint>"),
+        marked.mapInArrow(over_batches(locate), f"doc_id {id_type}, key bigint, same int, n_words bigint, n_removed bigint, {spans}, kept_text string, text string, place array<int>, phrase array<bigint>, content array<bigint>"),
         "located",
     )
     late = located.where(F.col("text").isNotNull())
@@ -162,10 +169,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE,
     return ready.unionByName(rest)
 
 
-def _stream(words: Words, phrases: list, mixed: list, window: int, phrase: int):
-    """Words that whole copies repeat, and the windows (place, phrase, content) still to compare.
+def _stream(words: Words, phrases: list, contents: list, compare: list, window: int, phrase: int):
+    """Words that repeat with whole segments, and the windows (place, phrase, content) to compare.
 
-    ``phrases`` lists the recurring phrases of each text, ``mixed`` whether their windows differ.
+    For each text its recurring segments are listed: the phrase, the content, and whether their
+    windows have to be compared.
     """
     removed = np.zeros(len(words.start), bool)
     h, parts, full, low = _sampled(words, window, phrase)
@@ -174,17 +182,17 @@ def _stream(words: Words, phrases: list, mixed: list, window: int, phrase: int):
     wanted = np.unique(np.concatenate([np.array(p, np.int64) for p in phrases])).view(U)
     order = np.argsort(parts, kind="stable")
     at = np.minimum(np.searchsorted(parts[order], np.sort(wanted)), len(order) - 1)
-    first = order[at]
-    for a in first.tolist():
+    for a in order[at].tolist():
         automaton.add_word(tuple(number[a : a + phrase]), int(parts[a]))
     automaton.make_automaton()
+    first, last, content = _contents(words, low, full, window)
+    content = content.view(np.int64)
     windows_at = []
     reach = window - phrase
     for i in range(len(phrases)):
         a, b = int(words.first[i]), int(words.first[i + 1])
         if b - a < window:
             continue
-        own = dict(zip(phrases[i], mixed[i]))
         hits = [(end - phrase + 1, value) for end, value in automaton.iter(tuple(number[a:b]))]
         place = np.array([h[0] for h in hits], np.int64)
         value = np.array([h[1] for h in hits], U)
@@ -193,15 +201,16 @@ def _stream(words: Words, phrases: list, mixed: list, window: int, phrase: int):
         value = np.repeat(value, reach + 1)
         ok = (start >= 0) & (start <= b - a - window)
         start, value = start[ok] + a, value[ok]
-        own_phrase = low[start] == value
-        start = np.unique(start[own_phrase])
-        kind = low[start].view(np.int64).tolist()
-        flags = np.array([own.get(k, None) for k in kind], object)
-        copy = start[flags == False]  # noqa: E712  (None: not listed for this text)
+        start = np.unique(start[low[start] == value])
+        segment = content[np.searchsorted(first, start, "right") - 1]
+        listed = np.array(contents[i], np.int64)
+        rank = np.argsort(listed)
+        spot = rank[np.minimum(np.searchsorted(listed[rank], segment), len(listed) - 1)]
+        known, open_ = listed[spot] == segment, np.array(compare[i], bool)[spot]
         marks = np.zeros(b - a, bool)
-        marks[copy - a] = True
+        marks[start[known & ~open_] - a] = True
         removed[a:b] = spread(marks, window, b - a)
-        windows_at.append(start[flags == True])  # noqa: E712
+        windows_at.append(start[known & open_])
     at = np.concatenate([np.empty(0, np.int64), *windows_at])
     return removed, (at, low[at], full[at])
 
