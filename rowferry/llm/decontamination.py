@@ -65,7 +65,7 @@ class FMIndex:
     """Backward search over an array of symbols from 0 to ``alphabet - 1``; 0 separates runs."""
 
     def __init__(self, text: np.ndarray, alphabet: int, sample: int = SAMPLE):
-        text = np.concatenate((text, [0])) if not len(text) or text[-1] else text
+        text, alphabet = np.concatenate((text + 1, [0])), alphabet + 1  # one end, smaller than all symbols
         self.n = len(text)
         sa = suffix_array(text)
         bwt = text[sa - 1]
@@ -112,7 +112,7 @@ class FMIndex:
             rows = rows[(k < length[rows]) & (low[rows] < high[rows])]
             if not len(rows):
                 break
-            symbol = patterns[rows, length[rows] - 1 - k]
+            symbol = patterns[rows, length[rows] - 1 - k] + 1
             low[rows] = self.first[symbol] + self.rank(symbol, low[rows])
             high[rows] = self.first[symbol] + self.rank(symbol, high[rows])
         return low, high
@@ -186,7 +186,7 @@ def _hits(words: Words, queries: Queries) -> tuple[np.ndarray, list[set]]:
     edge = np.flatnonzero(new[long[run]])
     text = np.insert(number[kept], edge, 0)  # a separator before every run
     place = np.insert(kept, edge, -1)
-    index = FMIndex(np.concatenate((text, [0])), len(queries.words) + 1)
+    index = FMIndex(text, len(queries.words) + 1)
     low, high = index.search(queries.patterns, queries.length)
     found = np.flatnonzero(high > low)
     count = (high - low)[found]
