@@ -72,28 +72,28 @@ def unseen(keys: DataFrame, seen: DataFrame, column: str) -> DataFrame:
 
 
 def with_self_references(
-    table: DataFrame, id_column: str, parent_column: str, selected: DataFrame, max_hops: int = 5
+    table: DataFrame, id_column: str, parent_column: str, selected: DataFrame, max_hops: int | None = None
 ) -> DataFrame:
-    """The selected rows and the rows they point to, over at most ``max_hops`` hops.
+    """The selected rows and all rows they point to, directly or over others.
 
-    Only ids move from hop to hop. Each frontier is checkpointed, since the next hop and the
-    result both read it; a frontier without new ids ends the walk. The rows are fetched once.
+    Only ids move. Every round doubles the distance: ids reached so far take a jump of as many
+    hops as they are apart, and jumps are joined with themselves, so a chain of h rows takes log(h)
+    rounds. A round without new ids ends the walk; rings end it as well. With ``max_hops`` the walk
+    goes hop by hop and stops there. The rows are fetched once.
     """
-    links = table.select(F.col(id_column).alias("_id"), F.col(parent_column).alias("_up"))
-    frontier = cut_lineage(selected.select(F.col(id_column).alias("_id")).distinct())
-    found = [frontier]
-    for _ in range(max_hops):
-        up = (
-            links.join(frontier, "_id", "left_semi")
-            .where("_up IS NOT NULL")
-            .select(F.col("_up").alias("_id"))
-            .distinct()
-        )
-        for seen in found:
-            up = up.join(seen, "_id", "left_anti")
-        frontier = cut_lineage(up)
+    links = table.select(F.col(id_column).alias("_id"), F.col(parent_column).alias("_up")).where("_id IS NOT NULL AND _up IS NOT NULL")
+    ids = frontier = cut_lineage(selected.select(F.col(id_column).alias("_id")).distinct())
+    jumps = cut_lineage(links.distinct())
+    hops = 0
+    while max_hops is None or hops < max_hops:
+        start = ids if max_hops is None else frontier
+        up = jumps.join(start, "_id", "left_semi").select(F.col("_up").alias("_id")).distinct()
+        frontier = cut_lineage(up.join(ids, "_id", "left_anti"))
         if frontier.isEmpty():
             break
-        found.append(frontier)
-    ids = functools.reduce(DataFrame.unionByName, found)
+        ids = cut_lineage(ids.unionByName(frontier))
+        hops += 1
+        if max_hops is None:
+            second = jumps.select(F.col("_id").alias("_up"), F.col("_up").alias("_far"))
+            jumps = cut_lineage(jumps.join(second, "_up").select("_id", F.col("_far").alias("_up")).distinct())
     return table.join(ids, F.col(id_column) == F.col("_id"), "left_semi")

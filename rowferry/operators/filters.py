@@ -12,12 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowferry.functions.cells import strip, truthy
-from rowferry.functions.text import highlight, plain_words, words_pattern
+from rowferry.functions.text import highlight, words_pattern
 
 log = logging.getLogger("rowferry")
 
 # Fixed values.
-MAX_FILE_SIZE = 38_797_312
 DEFAULT_GROUP_FILTER = "Type = 'Queue'"
 
 
@@ -89,26 +88,11 @@ def _expression(condition: str | Column) -> Column:
     return F.expr(condition) if isinstance(condition, str) else condition
 
 
-# From this many plain words on, texts are cut into words and looked up in a set.
-_LOOK_UP_WORDS = 64
-
-
 def word_match(columns: Sequence[str], words: Sequence[str]) -> Column:
-    """True where one of the words stands in one of the columns.
-
-    A long pattern is tried word by word at every position. A long list of plain words is
-    therefore looked up instead: the text is cut at everything that is no word character.
-    """
+    """True where one of the words stands in one of the columns; the same test for any number of words."""
+    pattern = words_pattern(words)
     texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
-    plain, others = plain_words(words)
-    if len(plain) < _LOOK_UP_WORDS:
-        tests = [text.rlike(words_pattern(words)) for text in texts]
-    else:
-        known = F.array(*[F.lit(w) for w in plain])
-        tests = [F.arrays_overlap(F.split(F.lower(text), "[^A-Za-z0-9_]+"), known) for text in texts]
-        if others:
-            tests += [text.rlike(words_pattern(others)) for text in texts]
-    return functools.reduce(operator.or_, tests)
+    return functools.reduce(operator.or_, [text.rlike(pattern) for text in texts])
 
 
 def keep_words(
@@ -133,11 +117,13 @@ def latest_files(
     df: DataFrame,
     latest: str,
     size: str,
-    max_size: int = MAX_FILE_SIZE,
+    max_size: int | None = None,
     extra: str | None = None,
 ) -> DataFrame:
-    """latest versions up to a size, which is capped, and the caller's own condition."""
-    kept = df.where(F.col(latest) & (F.col(size) <= min(max_size, MAX_FILE_SIZE)))
+    """latest versions, up to a size where the caller gives one, and the caller's own condition."""
+    kept = df.where(F.col(latest))
+    if max_size is not None:
+        kept = kept.where(F.col(size) <= max_size)
     return where(kept, extra)
 
 

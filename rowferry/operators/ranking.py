@@ -180,9 +180,9 @@ def rank_rows(
             return df.withColumn(name, F.row_number().over(within).cast("long"))
     celled = with_cells(df, order_by, "_rank_cell", cells).withColumns(parts)
     if hot is not None:
-        # At most (rows / hot_rows) keys are this large, so the list is short by its making.
+        # one row per hot key; Spark decides by size how to join it
         same = [F.col(n) == F.col(f"_hot{n}") for n in names]
-        marked = celled.join(F.broadcast(hot), same, "left")
+        marked = celled.join(hot, same, "left")
         cell = F.when(F.col(f"_hot{names[0]}").isNotNull(), F.col("_rank_cell")).otherwise(F.lit(-2))
         celled = marked.withColumn("_rank_cell", cell).drop(*hot.columns)
     at = [*names, "_rank_cell"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -32,11 +33,13 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder of the session. Only where a session names none (a local test)
-    a temporary one is set."""
+    """The checkpoint folder of the session. Only a local master gets a temporary one where none is
+    named; on a cluster other machines would not see it."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
     return context.getCheckpointDir()
 

@@ -110,7 +110,7 @@ class MigrationSpec:
     """The tables of a run, parents first where the relations allow it."""
 
     tables: tuple[TableSpec, ...]
-    max_hops: int = 5
+    max_hops: int | None = None
 
     def table(self, name: str) -> TableSpec:
         for table in self.tables:

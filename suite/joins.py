@@ -111,17 +111,15 @@ def j6(t: Tables) -> DataFrame:
     return closure.parents_of(t.customer.select("c_custkey", "c_name"), "c_custkey", [(chosen, "o_custkey")])
 
 
-def _hops(n: int) -> str:
-    parts = ["s0 AS (SELECT event_id, parent_id FROM event_chain WHERE event_type = 'purchase')"]
-    for i in range(1, n + 1):
-        parts.append(
-            f"s{i} AS (SELECT event_id, parent_id FROM event_chain WHERE event_id IN (SELECT parent_id FROM s{i - 1}))"
-        )
-    union = " UNION ".join(f"SELECT event_id, parent_id FROM s{i}" for i in range(n + 1))
-    return X.with_ctes(X.EVENT_CHAIN, *parts, select=union)
+_TO_THE_TOP = f"""WITH RECURSIVE {X.EVENT_CHAIN},
+reached AS (
+  SELECT event_id, parent_id FROM event_chain WHERE event_type = 'purchase'
+  UNION
+  SELECT e.event_id, e.parent_id FROM event_chain e JOIN reached r ON e.event_id = r.parent_id)
+SELECT event_id, parent_id FROM reached"""
 
 
-@case("j7_self_reference_expansion", _hops(5))
+@case("j7_self_reference_expansion", _TO_THE_TOP)
 def j7(t: Tables) -> DataFrame:
     chain = X.event_chain(t)
     chosen = chain.where("event_type = 'purchase'")

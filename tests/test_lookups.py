@@ -71,13 +71,23 @@ def test_polymorphic_lookup(spark):
     assert {r["Id"]: r["o"] for r in lookups.polymorphic(child, "OwnerId", None, groups, "o").collect()} == {"1": "G", "2": "H", "3": None}
 
 
-def test_self_reference_stops_after_the_hops(spark):
+def test_self_reference_goes_to_the_end(spark):
     chain = spark.createDataFrame([(i, i - 1 if i else None) for i in range(20)], "id int, up int")
-    start = chain.where("id = 19")
-    assert sorted(r["id"] for r in closure.with_self_references(chain, "id", "up", start).collect()) == list(range(14, 20))
-    assert closure.with_self_references(chain, "id", "up", start, max_hops=50).count() == 20
-    ring = spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "id int, up int")
-    assert closure.with_self_references(ring, "id", "up", ring.where("id = 1"), max_hops=9).count() == 3
+    start = chain.where("id = 10")
+    assert closure.with_self_references(chain, "id", "up", start).count() == 11
+    assert sorted(r["id"] for r in closure.with_self_references(chain, "id", "up", start, max_hops=3).collect()) == [7, 8, 9, 10]
+    ring = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (4, 1)], "id int, up int")
+    assert closure.with_self_references(ring, "id", "up", ring.where("id = 1")).count() == 3
+
+
+def test_word_lists_mean_the_same_at_any_length(spark):
+    from rowferry.operators import filters
+
+    df = spark.createDataFrame([("İstanbul",), ("ſtone",), ("other",)], "t string")
+    short = ["istanbul", "stone"]
+    few = {r["t"] for r in filters.keep_words(df, ["t"], short).collect()}
+    many = {r["t"] for r in filters.keep_words(df, ["t"], [*short, *[f"word{i}" for i in range(90)]]).collect()}
+    assert few == many
 
 
 def test_pairing_in_order(spark, rows):
