@@ -144,13 +144,18 @@ def plan_run(
         key = [table.rename.get(k, k) for k in table.key]
         compare = [table.rename.get(c, c) for c in columns]
         held = [table.rename.get(l.column, l.column) for l in late]
+        # Old data goes before anything is matched, so a row that is deleted is never linked.
+        _plan_deletes(deleting := TableRun(table, None, None), None, target, before=True)
+        there = target if deleting.deletes is None else _without(target, deleting.deletes, table.id)
         links = matching.match(
             chosen[table.name],
-            filters.target_read(target, table.target_filter),
+            filters.target_read(there, table.target_filter),
             table.id, table.id, table.key, key,
             source_order=table.order, target_order=[table.id],
             payload=[c for c in (*compare, *held) if c in target.columns],
         )
+        if table.operation == "Insert" and not table.skip_existing:
+            links = links.limit(0)  # every row is inserted, whatever the target has
         if table.operation in ("Insert", "Update", "Upsert"):
             rows = prepare(table, source, columns, (lengths or {}).get(table.name))
             plan = upsert.classify(
@@ -197,8 +202,17 @@ def _pairs(table: TableSpec, source: DataFrame, plan: DataFrame, links: DataFram
     return upsert.pairs_of_all(source, links, table.name, table.id, target.schema[table.id].dataType)
 
 
-def _plan_deletes(run: TableRun, source: DataFrame, target: DataFrame) -> None:
+def _without(target: DataFrame, deletes: DataFrame, id_column: str) -> DataFrame:
+    """The target's rows that a delete plan leaves."""
+    gone = deletes.select(F.col(matching.TARGET_ID).alias("_gone")).distinct()
+    return target.join(gone, F.col(id_column) == F.col("_gone"), "left_anti")
+
+
+def _plan_deletes(run: TableRun, source: DataFrame | None, target: DataFrame, before: bool = False) -> None:
+    """Sets the run's deletes; ``before`` only those of old data under a writing operation."""
     table = run.spec
+    if before and not (table.delete_old_data and table.operation in ("Insert", "Update", "Upsert")):
+        return
     hard = table.hard_delete or table.operation == "HardDelete"
     if table.operation == "DeleteHierarchy":
         run.deletes = upsert.hierarchy_delete_plan(run.links, hard)
@@ -211,20 +225,22 @@ def _plan_deletes(run: TableRun, source: DataFrame, target: DataFrame) -> None:
 
 def _plan_deferred(spec, table: TableSpec, run: TableRun, source: DataFrame, target: DataFrame, xrefs) -> None:
     late = [l for l in table.lookups if spec.position(l.parent) >= spec.position(table.name)]
-    late = [l for l in late if l.column in target.columns]
+    named = {l.column: table.rename.get(l.column, l.column) for l in late}
+    late = [l for l in late if named[l.column] in target.columns]
     if not late or run.plan is None:
         return
     rows = source.select(table.id, *[l.column for l in late])
     for lookup in late:
         rows = lookups.remap(rows, xrefs[lookup.parent], lookup.column)
+    rows = rows.withColumnsRenamed({l.column: named[l.column] for l in late})
     # A row that is inserted in this run has no lookup value yet; a linked one has its old value.
     now = run.plan.where(F.col(matching.TARGET_ID).isNotNull()).select(
         F.col(table.id).alias(matching.SOURCE_ID),
         matching.TARGET_ID,
-        *[F.col(f"_t_{l.column}") for l in late],
+        *[F.col(f"_t_{named[l.column]}") for l in late],
     )
     run.deferred = upsert.classify(
-        rows, now, table.id, _types(target, [l.column for l in late]), table.operation, backward=True
+        rows, now, table.id, _types(target, [named[l.column] for l in late]), table.operation, backward=True
     )
 
 
@@ -242,7 +258,7 @@ def apply_run(runs: Mapping[str, TableRun], targets: Tables, deleted_flags: Mapp
                 target, run.plan, table.id, columns, flag, table.not_insertable, table.not_updateable
             )
         if run.deferred is not None:
-            columns = [c for c in table.lookup_columns if c in run.deferred.columns]
+            columns = [c for c in (table.rename.get(n, n) for n in table.lookup_columns) if c in run.deferred.columns]
             target = apply_.apply_plan(target, run.deferred, table.id, columns, flag, not_updateable=table.not_updateable)
         out[name] = target
     return out
