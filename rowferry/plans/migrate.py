@@ -19,6 +19,10 @@ from rowferry.spec import MigrationSpec, TableSpec
 Tables = Mapping[str, DataFrame]
 
 
+#: Operations that write rows.
+WRITES = ("Insert", "Update", "Upsert")
+
+
 @dataclass
 class TableRun:
     """What a run has worked out for one table. All frames are lazy."""
@@ -145,8 +149,7 @@ def plan_run(
         compare = [table.rename.get(c, c) for c in columns]
         held = [table.rename.get(l.column, l.column) for l in late]
         # Old data goes before anything is matched, so a row that is deleted is never linked.
-        _plan_deletes(deleting := TableRun(table, None, None), None, target, before=True)
-        there = target if deleting.deletes is None else _without(target, deleting.deletes, table.id)
+        there = _without(target, _old_data(table, target), table.id) if table.delete_old_data and table.operation in WRITES else target
         links = matching.match(
             chosen[table.name],
             filters.target_read(there, table.target_filter),
@@ -156,7 +159,7 @@ def plan_run(
         )
         if table.operation == "Insert" and not table.skip_existing:
             links = links.limit(0)  # every row is inserted, whatever the target has
-        if table.operation in ("Insert", "Update", "Upsert"):
+        if table.operation in WRITES:
             rows = prepare(table, source, columns, (lengths or {}).get(table.name))
             plan = upsert.classify(
                 rows, links, table.id, _types(target, compare), table.operation,
@@ -208,17 +211,20 @@ def _without(target: DataFrame, deletes: DataFrame, id_column: str) -> DataFrame
     return target.join(gone, F.col(id_column) == F.col("_gone"), "left_anti")
 
 
-def _plan_deletes(run: TableRun, source: DataFrame | None, target: DataFrame, before: bool = False) -> None:
-    """Sets the run's deletes; ``before`` only those of old data under a writing operation."""
-    table = run.spec
-    if before and not (table.delete_old_data and table.operation in ("Insert", "Update", "Upsert")):
-        return
-    hard = table.hard_delete or table.operation == "HardDelete"
+def _is_hard(table: TableSpec) -> bool:
+    return table.hard_delete or table.operation == "HardDelete"
+
+
+def _old_data(table: TableSpec, target: DataFrame) -> DataFrame:
+    return upsert.old_data_plan(target, table.id, table.delete_filter or table.target_filter, _is_hard(table))
+
+
+def _plan_deletes(run: TableRun, source: DataFrame, target: DataFrame) -> None:
+    table, hard = run.spec, _is_hard(run.spec)
     if table.operation == "DeleteHierarchy":
         run.deletes = upsert.hierarchy_delete_plan(run.links, hard)
     elif table.operation in ("Delete", "HardDelete") or table.delete_old_data:
-        condition = table.delete_filter or table.target_filter
-        run.deletes = upsert.old_data_plan(target, table.id, condition, hard)
+        run.deletes = _old_data(table, target)
     elif table.operation == "DeleteSource":
         run.source_deletes = upsert.delete_plan(source, table.id, hard)
 
