@@ -20,11 +20,11 @@ from rowferry.llm.common import find_package, pick, stored
 
 NEAREST = 20
 #: Pivots, those vectors with the smallest hashes of their ids, and how many represent a vector.
-PIVOTS, PREFIX = 128, 24
+PIVOTS, PREFIX = 128, 48
 #: Vectors in a shard and queries in a block, at most about.
 SHARD, BLOCK = 8192, 2048
 #: Part of a shard, and number of vectors at least, that is ranked again exactly.
-AGAIN, AGAIN_LEAST = 0.2, 500
+AGAIN, AGAIN_LEAST = 0.3, 500
 
 
 def usable(vector: Column) -> Column:
