@@ -152,4 +152,4 @@ def spread(marks: np.ndarray, width: int, n: int) -> np.ndarray:
 def list_column(values: np.ndarray, counts: np.ndarray, kind: pa.DataType | None = None) -> pa.Array:
     """An Arrow list column from all values and the number of values of each row."""
     offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
+    return pa.ListArray.from_arrays(pa.array(offsets), values if isinstance(values, pa.Array) else pa.array(values, kind))

@@ -12,8 +12,12 @@ Every string of ``LENGTH`` bytes that starts at two places or more is repeated.
    suffix positions sampled at both ends of every run. Matches of neighbours in suffix order are
    compared only there; streamed along the text, every other position's matching length is one less
    than the one before. Long enough lengths mark repeated windows.
-4. Anchors with more than ``CROWD`` segments would make a shard too large. Their windows are compared
-   by 128 bits of hash in an aggregate with partial sums instead, which is exact as well.
+4. Anchors with more than ``CROWD`` segments would make a shard too large. Their segments are cut into
+   blocks of at most ``BLOCK`` windows by the place of the anchor, so that equal windows are in blocks
+   with equal cores (the bytes that all windows of such a block share). Blocks with a core of their own
+   hold no repeated window; if all blocks of a core are equal, all their windows repeat. Only the
+   windows of the different blocks of a core, each block once and with its number of copies, are
+   compared by 128 bits of hash, in an aggregate with partial sums.
 """
 
 from __future__ import annotations
@@ -35,6 +39,9 @@ GRAM = 32
 #: Bytes of segments in an index shard, about; segments of one anchor that are indexed.
 SHARD_BYTES = 1 << 21
 CROWD = 6000
+#: Windows in a block of a crowded anchor; about the root of half the windows of a segment, where rows
+#: for blocks and rows for windows at the two ends of a passage come to the least.
+BLOCK = 16
 _SPANS = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
 _COPIES, _INDEX, _HASH = 0, 1, 2
 
@@ -61,9 +68,9 @@ def _anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return h, sliding_min(h, length - GRAM + 1)
 
 
-def _segments(texts: Bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor, text number, first window and number of windows of every segment, and whether the
-    anchor stands in it twice or more (only then can two of its own windows be equal).
+def _segments(texts: Bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor, text number, first window and number of windows of every segment, whether the anchor
+    stands in it twice or more (only then can two of its own windows be equal), and all gram hashes.
 
     A segment has at most ``length`` windows, so its bytes are not more than twice the length.
     """
@@ -91,7 +98,31 @@ def _segments(texts: Bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.nda
     scale = len(h) + 1
     key = np.sort(number * scale + place)
     own = np.searchsorted(values, low[start]) * scale
-    return low[start], text, start, n, np.searchsorted(key, own + start + n + reach) - np.searchsorted(key, own + start) > 1
+    return low[start], text, start, n, np.searchsorted(key, own + start + n + reach) - np.searchsorted(key, own + start) > 1, h
+
+
+def _blocks(texts: Bytes, grams: np.ndarray, anchor: np.ndarray, start: np.ndarray, n: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The windows of some segments in blocks: the windows' places; per block its segment, its number
+    of windows, the place of its first window, and its core.
+
+    The windows of a block have one and the same first anchor, and its distance from where they start
+    is the same but for less than ``BLOCK``. The core's hash covers that distance too.
+    """
+    segment = np.repeat(np.arange(len(n)), n)
+    spots = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    values, number = np.unique(anchor, return_inverse=True)
+    place, scale = np.flatnonzero(np.isin(grams, values)), len(grams) + 1
+    key = np.sort(np.searchsorted(values, grams[place]) * scale + place)
+    own = number[segment] * scale
+    at = key[np.searchsorted(key, own + spots)] - own  # the first anchor in the window
+    step = (at - spots) // BLOCK
+    new = np.ones(len(spots), bool)
+    new[1:] = (at[1:] != at[:-1]) | (step[1:] != step[:-1]) | (segment[1:] != segment[:-1])
+    first = np.flatnonzero(new)
+    size = np.diff(np.concatenate((first, [len(spots)])))
+    step = step[first]
+    core = span_hashes(texts.data, at[first] - step * BLOCK, np.full(len(first), length - BLOCK + 1), 3)
+    return spots, segment[first], size, spots[first], mix(core + step.astype(U))
 
 
 def _common(data: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
@@ -209,7 +240,7 @@ def remove_long_matches(docs: DataFrame, length: int = LENGTH, id_col: str = "do
         keys, same, rows = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
         for lo, hi in chunks(rows, 1 << 18):
             texts = Bytes(rows[lo:hi])
-            anchor, text, start, n, twice = _segments(texts, length)
+            anchor, text, start, n, twice, _ = _segments(texts, length)
             content = span_hashes(texts.data, start, n + length - 1)
             yield record(anchor=anchor.view(np.int64), content=content.view(np.int64), twice=twice, key=keys[lo:hi][text], same=same[lo:hi][text])
 
@@ -232,13 +263,13 @@ def remove_long_matches(docs: DataFrame, length: int = LENGTH, id_col: str = "do
             n = len(parts)
             yield record(
                 doc_id=plain.column(0), key=plain.column(1), same=plain.column(2), n_bytes=np.fromiter(map(len, parts), np.int64, n), n_removed=np.zeros(n, np.int64), spans=pa.array([[]] * n, _SPANS),
-                kept=pa.array(parts, pa.binary()), late=pa.nulls(n, pa.binary()), **{c: list_column(np.empty(0, np.int64), np.zeros(n, np.int64), t) for c, t in _LISTS},
+                kept=pa.array(parts, pa.binary()), late=pa.nulls(n, pa.binary()), **{c: list_column([], np.zeros(n, np.int64), t) for c, t in _LISTS},
             )
         batch = batch.filter(listed)
         rows, anchors, ways = (batch.column(i).to_pylist() for i in (3, 4, 5))
         for lo, hi in chunks(rows, 1 << 18):
             texts = Bytes(rows[lo:hi])
-            anchor, text, start, n, _ = _segments(texts, length)
+            anchor, text, start, n, _, grams = _segments(texts, length)
             known = np.concatenate([np.array(a, np.int64) for a in anchors[lo:hi]])
             kind = np.concatenate([np.array(a, np.int8) for a in ways[lo:hi]])
             known, at = np.unique(known, return_index=True)
@@ -248,27 +279,29 @@ def remove_long_matches(docs: DataFrame, length: int = LENGTH, id_col: str = "do
             removed = _cover(len(texts.data), start[copy], start[copy] + n[copy], length)
             seg, crowded = np.flatnonzero(way == _INDEX), np.flatnonzero(way == _HASH)
             content = span_hashes(texts.data, start[seg], n[seg] + length - 1)
-            spots = np.repeat(start[crowded], n[crowded]) + np.arange(n[crowded].sum()) - np.repeat(np.cumsum(n[crowded]) - n[crowded], n[crowded])
-            owner = np.repeat(text[crowded], n[crowded])
+            spots, block, size, begin, core = _blocks(texts, grams, anchor[crowded], start[crowded], n[crowded], length)
+            owner = text[crowded][block]
+            unions = [span_hashes(texts.data, begin, size + length - 1, seed).view(np.int64) for seed in (1, 2)]
+            hashes = [list_column(span_hashes(texts.data, spots, np.full(len(spots), length), seed).view(np.int64), size) for seed in (1, 2)]
             late = np.zeros(hi - lo, bool)
             late[text[seg]] = late[owner] = True
             n_removed, spans, kept = _result(texts, removed)
-            per_seg, per_spot = np.bincount(text[seg], minlength=hi - lo), np.bincount(owner, minlength=hi - lo)
+            per_seg, per_block = np.bincount(text[seg], minlength=hi - lo), np.bincount(owner, minlength=hi - lo)
             raw = texts.data.tobytes()
             yield record(
                 doc_id=batch.column(0).slice(lo, hi - lo), key=batch.column(1).slice(lo, hi - lo), same=batch.column(2).slice(lo, hi - lo), n_bytes=texts.size, n_removed=n_removed, spans=spans,
                 kept=pa.array([None if x else k for x, k in zip(late, kept)], pa.binary()), late=pa.array([p if x else None for x, p in zip(late, texts.parts)], pa.binary()),
                 anchor=list_column(anchor[seg].view(np.int64), per_seg), content=list_column(content.view(np.int64), per_seg), start=list_column(start[seg] - texts.first[text[seg]], per_seg),
                 segment=list_column([raw[s : s + k] for s, k in zip(start[seg].tolist(), (n[seg] + length - 1).tolist())], per_seg, pa.binary()),
-                spot=list_column(spots - texts.first[owner], per_spot), hash1=list_column(span_hashes(texts.data, spots, np.full(len(spots), length), 1).view(np.int64), per_spot),
-                hash2=list_column(span_hashes(texts.data, spots, np.full(len(spots), length), 2).view(np.int64), per_spot),
+                core=list_column(core.view(np.int64), per_block), union1=list_column(unions[0], per_block), union2=list_column(unions[1], per_block),
+                begin=list_column(begin - texts.first[owner], per_block), hash1=list_column(hashes[0], per_block), hash2=list_column(hashes[1], per_block),
             )
 
     spans = "spans array<struct<first:bigint,last:bigint>>"
     located = stored(
         marked.mapInArrow(
             over_batches(locate),
-            f"doc_id {id_type}, key bigint, same int, n_bytes bigint, n_removed bigint, {spans}, kept binary, late binary, anchor array<bigint>, content array<bigint>, start array<bigint>, segment array<binary>, spot array<bigint>, hash1 array<bigint>, hash2 array<bigint>",
+            f"doc_id {id_type}, key bigint, same int, n_bytes bigint, n_removed bigint, {spans}, kept binary, late binary, anchor array<bigint>, content array<bigint>, start array<bigint>, segment array<binary>, core array<bigint>, union1 array<bigint>, union2 array<bigint>, begin array<bigint>, hash1 array<array<bigint>>, hash2 array<array<bigint>>",
         ),
         "located",
     )
@@ -285,9 +318,19 @@ def remove_long_matches(docs: DataFrame, length: int = LENGTH, id_col: str = "do
     repeats = dealt.groupBy("shard").applyInPandas(index, "anchor bigint, content bigint, windows array<int>")
     repeats = repeats.select(F.col("anchor").alias("_anchor"), F.col("content").alias("_content"), "windows")
     from_index = places.join(repeats, (F.col("anchor") == F.col("_anchor")) & (F.col("content") == F.col("_content"))).select("key", "same", F.transform("windows", lambda w: w + F.col("start")).alias("windows"))
-    spots = late.select("key", "same", F.explode(F.arrays_zip("spot", "hash1", "hash2")).alias("s")).select("key", "same", "s.*")
-    often = spots.groupBy("hash1", "hash2").agg(F.count("*").alias("n")).where("n > 1").select(F.col("hash1").alias("_hash1"), F.col("hash2").alias("_hash2"))
-    from_hash = spots.join(often, (F.col("hash1") == F.col("_hash1")) & (F.col("hash2") == F.col("_hash2"))).select("key", "same", F.array("spot", F.col("spot") + 1).alias("windows"))
+    union = ("core", "union1", "union2")
+    cores = late.select(F.explode(F.arrays_zip(*union)).alias("s")).groupBy("s.core").agg(F.count("*").alias("n"), *[f(f"s.{c}").alias(f"{f.__name__}_{c}") for c in union[1:] for f in (F.min, F.max)]).where("n > 1")
+    cores = cores.select(F.col("core").alias("_core"), ((F.col("min_union1") == F.col("max_union1")) & (F.col("min_union2") == F.col("max_union2"))).alias("alike"))
+    blocks = late.select("key", "same", F.explode(F.arrays_zip(*union, "begin", "hash1", "hash2")).alias("s")).select("key", "same", "s.*").join(cores, F.col("core") == F.col("_core"))
+    whole = blocks.where("alike").select("key", "same", F.array("begin", F.col("begin") + F.size("hash1")).alias("windows"))
+    mixed = blocks.where(~F.col("alike"))
+    single = mixed.groupBy(*union).agg(F.count("*").alias("copies"), F.first("hash1").alias("hash1"), F.first("hash2").alias("hash2"))
+    single = single.select(*union, "copies", F.posexplode(F.arrays_zip("hash1", "hash2")).alias("nth", "w")).select(*union, "copies", "nth", "w.*")
+    often = single.groupBy("hash1", "hash2").agg(F.sum("copies").alias("n")).where("n > 1").select(F.col("hash1").alias("_hash1"), F.col("hash2").alias("_hash2"))
+    again = single.join(often, (F.col("hash1") == F.col("_hash1")) & (F.col("hash2") == F.col("_hash2"))).groupBy(*[F.col(c).alias(f"_{c}") for c in union]).agg(F.collect_list("nth").alias("nths"))
+    in_block = mixed.drop("_core").join(again, [F.col(c) == F.col(f"_{c}") for c in union])
+    in_block = in_block.select("key", "same", F.flatten(F.transform("nths", lambda i: F.array(F.col("begin") + i, F.col("begin") + i + 1))).alias("windows"))
+    from_hash = whole.unionByName(in_block)
     per_doc = from_index.unionByName(from_hash).groupBy("key", "same").agg(F.flatten(F.collect_set("windows")).alias("windows")).withColumnsRenamed({"key": "_key", "same": "_same"})
     final = late.select("doc_id", "key", "same", "late", "spans").join(per_doc, (F.col("key") == F.col("_key")) & (F.col("same") == F.col("_same")), "left")
 
@@ -312,7 +355,7 @@ def remove_long_matches(docs: DataFrame, length: int = LENGTH, id_col: str = "do
     return ready.unionByName(rest)
 
 
-_LISTS = (("anchor", pa.int64()), ("content", pa.int64()), ("start", pa.int64()), ("segment", pa.binary()), ("spot", pa.int64()), ("hash1", pa.int64()), ("hash2", pa.int64()))
+_LISTS = (("anchor", pa.int64()), ("content", pa.int64()), ("start", pa.int64()), ("segment", pa.binary()), ("core", pa.int64()), ("union1", pa.int64()), ("union2", pa.int64()), ("begin", pa.int64()), ("hash1", pa.list_(pa.int64())), ("hash2", pa.list_(pa.int64())))
 
 
 def _cover(size: int, first: np.ndarray, last: np.ndarray, length: int) -> np.ndarray:

@@ -63,7 +63,7 @@ def test_substrings(corpus, nothing):
     assert substrings.remove_repeats(nothing).count() == 0
 
 
-@pytest.mark.parametrize("crowd", [longmatches.CROWD, 2])
+@pytest.mark.parametrize("crowd", [longmatches.CROWD, 2, 0])
 def test_long_matches(corpus, nothing, crowd):
     rows = [(r["doc_id"], (r["text"] or "").encode()) for r in corpus.collect()]
     often = Counter(t[p : p + 400] for _, t in rows for p in range(len(t) - 399))
