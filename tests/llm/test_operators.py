@@ -204,6 +204,38 @@ def test_reputation_blocks_bad_hosts_and_shrinks_rare_ones(spark):
     assert bound["bad.a.com"] > 0.5 > bound["rare.b.com"] and bound["good.a.com"] < 0.1 and bound["none.d.org"] < 0.5
 
 
+def test_html_decides_where_no_rule_does(spark):
+    """Path rules leave the other pages of their suffix alone; a host's own pages tell."""
+    rng = np.random.default_rng(4)
+    page = lambda body: f"<html><title>x</title><script>a!b!c!</script><nav><a>Home</a></nav><h1>{body[:9]}</h1><p>{body}</p></html>"
+    good, loud = (lambda: page(text(rng, 40))), (lambda: page(text(rng, 40).upper().replace(" ", "!! ")))
+    rows = [(f"http://{h}.example.com/{lang}/{i}", good()) for h in ("a", "b", "c") for lang in ("de", "en") for i in range(40)]
+    rows += [(f"http://{h}.example.org/{lang}/{i}", good()) for h in ("d", "e") for lang in ("fr", "en") for i in range(40)]
+    rows += [(f"http://bad.example.org/{lang}/{i}", loud()) for lang in ("fr", "en") for i in range(30)]
+    rows += [(f"http://huge.example.org/en/{i}", good()) for i in range(3000)] + [("http://rare.example.org/en/1", loud()), ("http://none.example.org/en/1", None)]
+    pages = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id bigint, url string, html string")
+    found = {}
+    for r in urls.judge(pages).collect():
+        found.setdefault((r["host"].split(".")[0], r["path"][1:3]), set()).add(r["verdict"])
+    assert all(found[h, "de"] == {"block"} and found[h, "en"] == {"allow"} for h in "abc")
+    assert all(found[h, "en"] == {"allow"} for h in ("d", "e", "huge", "rare", "none"))
+    assert found["bad", "fr"] == {"allow"} and found["bad", "en"] == {"block"}
+
+
+def test_junk(spark):
+    plain = "One plain line of words, and a second.</p><p>Another line; it has others."
+    cases = [(f"<p>{plain}</p>", 0), (f"<p>{plain.upper()}</p>", 1), ("<p>" + "same line here</p><p>" * 5, 1), ("<p>buy " + "cheap " * 20, 1), ("<p>a | b | c | d", 1), ("<p>of$$$ the### in%%% at***", 1)]
+    cases += [(None, None), ("<p> </p>", None), ("<style>x!!</style><!-- A! B! --><p>fine &amp; well words", 0), ("\u0928\u092e\u0938\u094d\u0924\u0947 \u4f60\u597d", 0)]
+    rows = spark.createDataFrame([(i, h) for i, (h, _) in enumerate(cases)], "i int, html string")
+    assert [r[0] for r in rows.select(urls.junk(F.col("html")), "i").orderBy("i").collect()] == [c for _, c in cases]
+
+
+def test_registered_domains(spark):
+    cases = [("a.b.co.uk", "b.co.uk", "co.uk"), ("x.y.example.com:80", "example.com", "com"), ("u@10.0.0.1:8", "10.0.0.1", ""), ("co.uk", "co.uk", "co.uk"), ("", "", "")]
+    rows = spark.createDataFrame(cases, "host string, d string, s string")
+    assert rows.where((urls.domain_of(F.col("host")) == F.col("d")) & (urls.suffix_of(F.col("host")) == F.col("s"))).count() == len(cases)
+
+
 def test_language(spark):
     rng = np.random.default_rng(1)
     words = {"en": ["the", "and", "thing", "with", "that"], "fr": ["le", "étaient", "avec", "nous", "être"], "de": ["und", "nicht", "über", "schön", "der"]}
