@@ -5,8 +5,12 @@
 2. Classes. Documents with equal shingle sets (by size and two sums over the set) are one class;
    from here on a class is one row, however many copies it has.
 3. Bands. ``ROWS`` registers make a band (empty buckets borrow a register by a fixed rule), and
-   classes that agree in a band meet. At the threshold a pair shares none of ``BANDS`` bands with
-   probability (1 - 0.75^4)^32, about 5 in a million; more similar pairs are missed more rarely still.
+   classes that agree in a band meet. Were bands independent, a pair at the threshold would share none
+   of ``BANDS`` with probability (1 - 0.75^4)^32, about 5 in a million. Borrowed registers make them
+   depend on each other, so few shingles miss more often (README has figures).
+   Small sets therefore meet exactly as well: two sets that link share a shingle among the first of
+   each, in an order of all shingles, if so many are taken that the rest is too few for a link (prefix
+   filter; rarest shingles first). That gives all pairs with a set of ``SMALL`` shingles or fewer.
 4. First round: every class of a band's bucket is compared with the bucket's smallest. That makes one
    pair per class and band and joins groups of near copies. A pair goes on if the Jaccard
    estimate from the registers, corrected for chance collisions, is not more than ``SIGMAS`` standard
@@ -36,6 +40,8 @@ PERCENT = 75
 BUCKET_BITS, MANTISSA_BITS = 8, 10
 BANDS, ROWS = 32, 4
 SIGMAS = 5.0
+#: Pairs with a set of so many shingles or fewer are found exactly.
+SMALL = 24
 #: Classes of one bucket that a task compares with as many others.
 BLOCK = 1024
 _BUCKETS = 1 << BUCKET_BITS
@@ -82,8 +88,8 @@ _PROBES = (mix(np.arange(_BUCKETS * 64, dtype=U)) >> U(64 - BUCKET_BITS)).astype
 
 
 def band_keys(regs: np.ndarray) -> np.ndarray:
-    """A 64-bit key of every band of every row; empty buckets take the first filled one of a fixed
-    sequence of buckets."""
+    """A 64-bit even key of every band of every row; empty buckets take the first filled one of a
+    fixed sequence of buckets."""
     full = regs.copy()
     for k in range(64):
         row, at = np.nonzero(full == _EMPTY)
@@ -94,7 +100,7 @@ def band_keys(regs: np.ndarray) -> np.ndarray:
     full[row, at] = regs[row].min(1)
     part = full[:, : BANDS * ROWS].reshape(len(regs), BANDS, ROWS).astype(U)
     key = (part << (U(16) * np.arange(ROWS, dtype=U))).sum(2, dtype=U)
-    return mix(key ^ mix(np.arange(BANDS, dtype=U) + U(1)))
+    return mix(key ^ mix(np.arange(BANDS, dtype=U) + U(1))) & ~U(1)
 
 
 def chance_collision(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -109,7 +115,8 @@ def may_link(equal: np.ndarray, filled: np.ndarray, a: np.ndarray, b: np.ndarray
     """Whether the corrected Jaccard estimate leaves a link possible.
 
     ``equal`` of the ``filled`` buckets (those not empty in both) agree. Buckets are drawn from the
-    union without putting back, so the error is that of a hypergeometric share.
+    union without putting back, so the error is that of a hypergeometric share. Small sets go on
+    whatever the estimate.
     """
     j = percent / 100
     chance = chance_collision(a, b)
@@ -117,7 +124,7 @@ def may_link(equal: np.ndarray, filled: np.ndarray, a: np.ndarray, b: np.ndarray
     union = (a + b) / (1 + j)
     error = np.sqrt(j * (1 - j) / np.maximum(filled, 1) * np.clip((union - filled) / np.maximum(union - 1, 1), 0, 1))
     fits = np.minimum(a, b) * 100 >= percent * np.maximum(a, b)
-    return fits & (estimate >= j - SIGMAS * error - 0.02)
+    return fits & ((np.minimum(a, b) <= SMALL) | (estimate >= j - SIGMAS * error - 0.02))
 
 
 def _compare(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -160,6 +167,20 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(over_batches(check), "a bigint, b bigint")
 
 
+def _prefixes(small: DataFrame, percent: int) -> DataFrame:
+    """Odd keys (key, node) under which all sets meet that may link, from (node, n, small).
+
+    Shingles are ordered by the number of sets that have them, then by hash. Those that no other set
+    has come first; they lead nowhere and are only counted.
+    """
+    parts = small.select("node", "n", F.explode("small").alias("shingle"))
+    often = parts.groupBy("shingle").agg(F.count("*").alias("sets")).where("sets > 1").withColumnRenamed("shingle", "_shingle")
+    shared = parts.join(often, F.col("shingle") == F.col("_shingle")).groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("sets", "shingle"))).alias("shared"))
+    least = F.ceil(F.col("n") * percent / 100)
+    first = F.slice("shared", 1, F.greatest(F.size("shared") + 1 - least, F.lit(0)).cast("int"))
+    return shared.select(F.explode(first).alias("at"), "node").select(F.xxhash64("at.shingle").bitwiseOR(F.lit(1).cast("bigint")).alias("key"), "node")
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The component of every document under links of similar shingle sets.
 
@@ -171,6 +192,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     component. Columns other than the two named ones are not read.
     """
     batches_of_texts(docs.sparkSession)
+    reach = SMALL * 100 // percent  # the largest set that links with a small one
     id_type = docs.select(docs[f"`{id_col}`"]).schema[0].dataType.simpleString()
     named = F.col("doc_id").cast("bigint")
     keyed = pick(docs, doc_id=id_col, text=text_col).select("doc_id", F.coalesce(named, F.lit(NO_ID)).alias("rank"), F.coalesce(named, F.xxhash64("text", F.lit("no id"))).alias("node"), "text")
@@ -186,15 +208,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
             yield record(
                 doc_id=batch.column(0).slice(lo, hi - lo), rank=batch.column(1).slice(lo, hi - lo), node=batch.column(2).slice(lo, hi - lo), n=count.astype(np.int64),
                 one=one.view(np.int64), two=two.view(np.int64), regs=pa.array([r.tobytes() for r in regs], pa.binary()),
+                small=pa.array([sets[e - c : e].view(np.int64) if c <= reach else None for e, c in zip(end.tolist(), count.tolist())], pa.list_(pa.int64())),
             )
 
-    sketches = stored(keyed.mapInArrow(over_batches(sketch), f"doc_id {id_type}, rank bigint, node bigint, n bigint, one bigint, two bigint, regs binary"), "sketches")
+    sketches = stored(keyed.mapInArrow(over_batches(sketch), f"doc_id {id_type}, rank bigint, node bigint, n bigint, one bigint, two bigint, regs binary, small array<bigint>"), "sketches")
     filled = sketches.where("n > 0")
     classes = filled.groupBy("n", "one", "two").agg(F.min(F.struct("rank", "node")).alias("first")).select("n", "one", "two", F.col("first.rank").alias("rank"), F.col("first.node").alias("rep"))
     classes = stored(classes, "classes")
     digest = lambda df, mark: df.select(*[F.col(c).alias(mark + c) for c in ("n", "one", "two")], "rep")
     same = lambda mark: (F.col("n") == F.col(mark + "n")) & (F.col("one") == F.col(mark + "one")) & (F.col("two") == F.col(mark + "two"))
-    reps = stored(filled.join(digest(classes, "_"), same("_") & (F.col("node") == F.col("rep"))).select("node", "n", "regs").dropDuplicates(["node"]), "representatives")
+    reps = stored(filled.join(digest(classes, "_"), same("_") & (F.col("node") == F.col("rep"))).select("node", "n", "regs", "small").dropDuplicates(["node"]), "representatives")
 
     def bands(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         if batch.num_rows:
@@ -202,6 +225,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
             yield record(key=band_keys(regs).reshape(-1).view(np.int64), node=np.repeat(batch.column(0).to_numpy(), BANDS))
 
     dealt = reps.select("node", "regs").mapInArrow(over_batches(bands), "key bigint, node bigint")
+    dealt = dealt.unionByName(_prefixes(reps.where(F.col("small").isNotNull()).select("node", "n", "small"), percent))
     shared = dealt.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("pivot")).where("members > 1")
     buckets = stored(dealt.join(shared.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key")).drop("_key"), "buckets")
     wanted = buckets.select(F.col("node").alias("_node")).distinct()
@@ -264,7 +288,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
                 equal, filled = _compare(regs[rows], regs[i])
                 rows = rows[may_link(equal, filled, np.full(len(rows), float(n[i])), n[rows].astype(float), percent)]
                 # a pair that shares several bands is looked at in the first of them
-                rows = rows[keys[i][(keys[rows] == keys[i]).argmax(1)] == key]
+                if not key & 1:
+                    rows = rows[keys[i][(keys[rows] == keys[i]).argmax(1)] == key]
                 found += [(node[i], node[j]) for j in rows.tolist() if _linked(full[i], full[j], percent)]
         pairs = np.array(found, np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": pairs.min(1), "b": pairs.max(1)}) if len(pairs) else pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
@@ -278,6 +303,6 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     # rows that share an id are one document: their classes are joined through it
     smallest = known.groupBy("label").agg(F.min("rank").alias("smallest"))
     known = known.join(smallest.withColumnRenamed("label", "_label"), F.col("label") == F.col("_label")).select(F.col("n").alias("_n"), F.col("one").alias("_one"), F.col("two").alias("_two"), "smallest")
-    out = sketches.drop("regs").join(known, same("_"), "left")
+    out = sketches.drop("regs", "small").join(known, same("_"), "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.when(F.col("smallest") < NO_ID, F.col("smallest")).cast(id_type))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
