@@ -26,24 +26,38 @@ def scan(df: DataFrame, columns: Sequence[str] | None = None, condition: str | N
 
 
 def read_text_csv(
-    spark: SparkSession, path: str, separator: str = ",", encoding: str = "UTF-8", multi_line: bool = False,
+    spark: SparkSession, path: str, separator: str = ",", encoding: str = "UTF-8", multi_line: bool = True,
     columns: Sequence[str] = (),
 ) -> DataFrame:
-    """S2, first half: a header CSV as text. A missing file gives an empty table."""
+    """S2, first half: a header CSV as text. A missing file gives an empty table.
+
+    Cells may have line breaks; a file is then one task, and ``multi_line=False`` splits files that
+    have none. Records with more or fewer cells than the header are left out by a filter, which keeps
+    a cell beside the mark, so that ``count()`` sees the same rows as ``collect()``.
+    """
     reader = (
         spark.read.option("header", True)
         .option("sep", separator)
         .option("encoding", encoding)
-        .option("mode", "DROPMALFORMED")
+        .option("mode", "PERMISSIVE")
         .option("escape", '"')
         .option("multiLine", multi_line)
     )
     try:
-        return reader.csv(path)
+        names = reader.csv(path).columns
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns]))
+    if not names:
+        return spark.createDataFrame([], T.StructType([]))
+    mark = "_corrupt_record"
+    while mark.lower() in {n.lower() for n in names}:
+        mark += "_"
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, mark]])
+    rows = reader.schema(schema).option("columnNameOfCorruptRecord", mark).csv(path)
+    whole = F.col(mark).isNull() & (F.coalesce(F.length(F.col(quoted(names[0]))), F.lit(0)) >= 0)
+    return rows.where(whole).drop(mark)
 
 
 def typed(

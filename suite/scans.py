@@ -47,6 +47,14 @@ def s2(t: Tables) -> DataFrame:
     return scan.read_csv(t.spark, path, TYPES, separator=";", european_dates=True)
 
 
+@case("s2_multi_line_cells", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, '<' || text || '>' AS text FROM documents WHERE text IS NOT NULL")
+def s2_multi_line(t: Tables) -> DataFrame:
+    path = scratch_folder(t.spark, "s2_lines")
+    texts = t.documents.where("text IS NOT NULL").select("doc_id", F.concat(F.lit("<"), F.col("text"), F.lit(">")).alias("text"))
+    sinks.write_csv(texts, path, keep_order=True)
+    return read_back(t, path).select("doc_id", "text")
+
+
 @case("s2_missing_file_is_empty", "SELECT CAST(NULL AS BIGINT) AS id, c_name AS name FROM customer")
 def s2_missing(t: Tables) -> DataFrame:
     absent = scan.read_csv(t.spark, scratch_folder(t.spark, "absent"), {"id": "long", "name": "string"}, keep_failures=False)

@@ -106,6 +106,18 @@ def test_csv_round_trip(spark, tmp_path):
     assert scan.read_text_csv(spark, path).columns == ["Id", "a", "b"]
 
 
+def test_csv_line_breaks_and_damaged_records(spark, tmp_path):
+    path = str(tmp_path / "x.csv")
+    cells = [("1", "one\ntwo"), ("2", 'a\r\n"b",\n\nc'), ("3", "plain")]
+    sinks.write_csv(spark.createDataFrame(cells, "Id string, a string"), path)
+    back = scan.read_text_csv(spark, path)
+    assert sorted(map(tuple, back.collect())) == cells and back.count() == back.select("a").count() == 3
+    (tmp_path / "y.csv").write_text('Id,_corrupt_record\n1,x\n2\n3,y,z\n,\n"4","p\nq"\n')
+    damaged = scan.read_text_csv(spark, str(tmp_path / "y.csv"))
+    assert damaged.columns == ["Id", "_corrupt_record"] and ("4", "p\nq") in set(map(tuple, damaged.collect()))
+    assert damaged.count() == damaged.select("Id").count() == len(damaged.collect()) == 3
+
+
 def test_binary_bodies(spark, tmp_path):
     (tmp_path / "a.bin").write_bytes(b"\x00\x01abc")
     (tmp_path / "b.txt").write_bytes(b"no")
