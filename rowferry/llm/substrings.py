@@ -11,7 +11,8 @@ A passage repeats where a window of ``WINDOW`` words also starts in a document w
 3. Automata. Documents with recurring phrases are dealt into blocks. The phrases of a block are
    compiled into an Aho-Corasick automaton of word numbers, so automata are sharded with the
    documents, and none grows with the corpus. The block's documents are streamed through it, which
-   locates every occurrence word by word.
+   locates every occurrence word by word. A hit counts only where the window's sampled phrase has the
+   same hash, so hashes decide and automata locate; documents without recurring phrases are left out.
 4. Windows around the occurrences are compared across documents as (phrase, window) hashes of 64
    bits each; the smallest id of each is found by an aggregate with partial sums, so a passage that a
    third of all documents share is one row per task.
