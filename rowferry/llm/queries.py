@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowferry.llm import decontamination, language, longmatches, neardup, neighbours, packing, quality, secrets, substrings, urls
+from rowferry.llm import ballhash, decontamination, language, longmatches, merkle, neardup, neighbours, packing, quality, secrets, substrings, urls, whitening
 from rowferry.llm.common import crc_mod, load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +93,75 @@ def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @case
 def op3_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(load(spark, folder, "documents"))
+
+
+@case
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents")
+    leaves = merkle.document_leaves(docs, F.coalesce(crc_mod("doc_id", 7) == 0, F.lit(False)))
+    return merkle.manifest(leaves).select(F.col("at").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+#: CRC-32 of the decimal text of doc_id, bit by bit with the reversed polynomial 0xEDB88320.
+_CRC = """xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE CAST(strlen(CAST({0} AS VARCHAR)) AS VARCHAR) || ':' || CAST({0} AS VARCHAR) END"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "{amount}", "text")) + ")"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """All nodes of the trees over ``leaves`` (k, pos, size, h)."""
+    return f"""{name}(k, level, pos, size, h) AS (
+    SELECT k, 0, pos, size, h FROM ({leaves})
+    UNION ALL
+    SELECT k, level + 1, pos // 2, max((size + 1) // 2), sha256(string_agg(h, '' ORDER BY pos)) FROM {name} WHERE size > 1 GROUP BY k, level, pos // 2)"""
+
+
+def _folds(name: str, tree: str, leaves: str) -> str:
+    """What each row of ``leaves`` (id, k, pos, h) leads to at every level of its tree."""
+    return f"""{name}(id, k, pos, level, h) AS (
+    SELECT id, k, pos, 0, h FROM ({leaves})
+    UNION ALL
+    SELECT f.id, f.k, f.pos, f.level + 1, sha256(CASE WHEN s.h IS NULL THEN f.h WHEN (f.pos >> f.level) % 2 = 1 THEN s.h || f.h ELSE f.h || s.h END)
+    FROM {name} f
+    JOIN (SELECT DISTINCT k, level FROM {tree} WHERE size > 1) open ON open.k = f.k AND open.level = f.level
+    LEFT JOIN {tree} s ON s.k = f.k AND s.level = f.level AND s.pos = xor(f.pos >> f.level, 1))"""
+
+
+ORACLES["op11_merkle_manifest"] = f"""
+WITH RECURSIVE base AS (
+    SELECT doc_id, coalesce('=' || lang, '') AS k, {_LEAF.format(amount="n_chars")} AS leaf,
+        CASE WHEN {_CRC} % 7 = 0 THEN {_LEAF.format(amount="(n_chars + 1)")} END AS claimed
+    FROM documents),
+placed AS (
+    SELECT *, row_number() OVER (ORDER BY k, doc_id NULLS FIRST, leaf) AS id, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY k) AS size
+    FROM base),
+{_tree("low", "SELECT k, pos, size, leaf AS h FROM placed")},
+tops AS (SELECT k AS lang_k, 0 AS k, h, row_number() OVER (ORDER BY k) - 1 AS pos, count(*) OVER () AS size FROM low WHERE size = 1),
+{_tree("high", "SELECT k, pos, size, h FROM tops")},
+{_folds("low_fold", "low", "SELECT id, k, pos, coalesce(claimed, leaf) AS h FROM placed")},
+arrived AS (SELECT id, k, arg_max(h, level) AS h FROM low_fold GROUP BY id, k),
+{_folds("high_fold", "high", "SELECT a.id, 0 AS k, t.pos, a.h FROM arrived a JOIN tops t ON t.lang_k = a.k")},
+folded AS (SELECT id, arg_max(h, level) AS h FROM high_fold GROUP BY id),
+low_proof AS (
+    SELECT p.id, string_agg(s.h, '' ORDER BY s.level) AS h FROM placed p
+    JOIN low s ON s.k = p.k AND s.size > 1 AND s.pos = xor(p.pos >> s.level, 1) GROUP BY p.id),
+high_proof AS (
+    SELECT t.lang_k, string_agg(s.h, '' ORDER BY s.level) AS h FROM tops t
+    JOIN high s ON s.size > 1 AND s.pos = xor(t.pos >> s.level, 1) GROUP BY t.lang_k),
+root AS (SELECT h FROM high WHERE size = 1)
+SELECT p.doc_id, p.leaf, t.h AS subroot, root.h AS root, sha256(coalesce(l.h, '') || coalesce(u.h, '')) AS proof_sha256, f.h AS folded_root, f.h = root.h AS verified
+FROM placed p CROSS JOIN root JOIN tops t ON t.lang_k = p.k JOIN folded f ON f.id = p.id LEFT JOIN low_proof l ON l.id = p.id LEFT JOIN high_proof u ON u.lang_k = p.k
+"""
+
+
+@case
+def op12_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return ballhash.near_duplicates(load(spark, folder, "documents"))
+
+
+@case
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = load(spark, folder, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors)).withColumn("deviation", F.col("deviation").try_cast("bigint"))
