@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowferry.llm.common import batches_of_texts, over_batches, pick, record, sampled
+from rowferry.llm.common import batches_of_texts, over_batches, pick, record, sampled, stored
 from rowferry.llm.kernels import PLAIN, U, Words, chunks, mix, span_hashes
 
 BUCKETS = 1 << 18
@@ -67,11 +67,27 @@ def _features(texts: list) -> tuple[np.ndarray, np.ndarray]:
     return kind[order].astype(np.int64), count
 
 
+def train_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label", sample_rows: int = SAMPLE_ROWS) -> Model:
+    """Fits the model on the texts of labelled ids.
+
+    At most ``sample_rows`` pairs of id and label are drawn from ``labels`` alone, those with the
+    smallest hashes; they are broadcast (their number is the bound), so that of ``docs`` only the
+    chosen texts move. Null ids and labels take no part; ids without a text are left out.
+    """
+    known = pick(labels, id=id_col, label=label_col).where(F.col("id").isNotNull() & F.col("label").isNotNull())
+    chosen = known.select(F.col("id").alias("_id"), F.col("label").cast("int").alias("label")).distinct()
+    chosen = chosen.orderBy(F.xxhash64(F.col("_id").cast("string")), "_id", "label").limit(sample_rows)
+    batches_of_texts(docs.sparkSession)
+    texts = pick(docs, id=id_col, text=text_col)
+    return train(stored(texts.join(F.broadcast(chosen), F.col("id") == F.col("_id")).select("id", "text", "label"), "labelled"), "id", "text", "label", sample_rows)
+
+
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label", sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fits the model on rows of text and label (0 or 1); null labels and texts take no part.
 
     The order, and the sample if there are more than ``sample_rows`` rows, follow a hash of id and
-    text. Without any row all scores are one half.
+    text. Without any row all scores are one half. The driver receives the features of the sample as
+    Arrow arrays, eight bytes for each feature that a text has.
     """
     batches_of_texts(labelled.sparkSession)
     rows = pick(labelled, id=id_col, text=text_col, label=label_col).where(F.col("label").isNotNull() & F.col("text").isNotNull())
@@ -87,13 +103,15 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
             ends = np.cumsum(count)
             for end, n in zip(ends.tolist(), count.tolist()):
                 own, times = np.unique(kind[end - n : end], return_counts=True)
-                buckets.append(own.astype(np.int32))
-                values.append((times * (SCALE / max(n, 1))).astype(np.float32))
-        yield record(label=batch.column(1), rank=batch.column(2), bucket=pa.array(buckets, pa.list_(pa.int32())), value=pa.array(values, pa.list_(pa.float32())))
+                buckets.append(own.astype(np.int32).tobytes())
+                values.append((times * (SCALE / max(n, 1))).astype(np.float32).tobytes())
+        yield record(label=batch.column(1), rank=batch.column(2), bucket=pa.array(buckets, pa.binary()), value=pa.array(values, pa.binary()))
 
-    found = sample.mapInArrow(over_batches(features), "label int, rank bigint, bucket array<int>, value array<float>")
-    examples = [(np.array(r["bucket"], np.int64), np.array(r["value"], np.float64), r["label"]) for r in sorted(found.collect(), key=lambda r: (r["rank"], r["label"], r["bucket"]))]
-    return _follow(examples)
+    found = sample.mapInArrow(over_batches(features), "label int, rank bigint, bucket binary, value binary").toArrow()
+    of = lambda name, kind: [np.frombuffer(b.as_buffer(), kind) for b in found.column(name)]
+    rank, label = found.column("rank").to_pylist(), found.column("label").to_pylist()
+    examples = list(zip(of("bucket", np.int32), of("value", np.float32), label))
+    return _follow([examples[i] for i in sorted(range(len(examples)), key=lambda i: (rank[i], label[i]))])
 
 
 def _follow(examples: list[tuple[np.ndarray, np.ndarray, int]]) -> Model:
@@ -107,7 +125,7 @@ def _follow(examples: list[tuple[np.ndarray, np.ndarray, int]]) -> Model:
     balance = (len(examples) / max(1, 2 * (len(examples) - ones)), len(examples) / max(1, 2 * ones))
     for _ in range(EPOCHS):
         for bucket, value, label in examples:
-            at, x = np.append(bucket, BUCKETS), np.append(value, 1.0)
+            at, x = np.append(bucket, BUCKETS), np.append(value.astype(np.float64), 1.0)
             w = weights(at)
             p = 1 / (1 + np.exp(-np.clip(w @ x, -35, 35)))
             g = (p - label) * x * balance[label]

@@ -30,8 +30,7 @@ def tokenizer() -> str:
 @case
 def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = load(spark, folder, "documents"), load(spark, folder, "labels")
-    known = labels.where(crc_mod("doc_id", 3) != 1).select(F.col("doc_id").alias("_doc"), F.col("quality").alias("label"))
-    model = quality.train(docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("_doc")))
+    model = quality.train_on(docs, labels.where(crc_mod("doc_id", 3) != 1), label_col="quality")
     scored = quality.score(docs, model)
     return scored.select("doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
