@@ -59,6 +59,22 @@ def sampled(rows: DataFrame, rank: str, size: int) -> DataFrame:
     return rows.where(F.lit(False) if last is None else F.col(rank) <= last)
 
 
+def join_counted(left: DataFrame, right: DataFrame, keys: tuple[str, ...], count: str, total: int) -> DataFrame:
+    """Inner join where ``right`` has one row per key and says in ``count`` how many of the ``total``
+    rows of ``left`` have it.
+
+    Keys with more than a thousandth of the rows, of which there are fewer than a thousand, are
+    broadcast, so that their rows stay where they are; all others meet by a shuffle. ``left`` is read
+    twice and should be a stored table.
+    """
+    theirs = right.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    hot = theirs.where(F.col(count) > total // 1000)
+    rest = left.join(F.broadcast(hot.select(*[f"_{k}" for k in keys])), same, "left_anti")
+    met = left.join(F.broadcast(hot), same).unionByName(rest.join(theirs.where(F.col(count) <= total // 1000), same))
+    return met.drop(*[f"_{k}" for k in keys])
+
+
 def pick(docs: DataFrame, **columns: str) -> DataFrame:
     """The named columns under fixed names; all other columns, whatever their names, stay out."""
     return docs.select(*[docs[f"`{source}`"].alias(name) for name, source in columns.items()])

@@ -12,7 +12,7 @@ Every string of ``LENGTH`` bytes that starts at two places or more is repeated.
    suffix positions sampled at both ends of every run. Matches of neighbours in suffix order are
    compared only there; streamed along the text, every other position's matching length is one less
    than the one before. Long enough lengths mark repeated windows.
-4. Anchors with more than ``CROWD`` segments would make a shard too large. Their segments are cut into
+4. Anchors with more than ``CROWD`` segments would make a shard too large. Their different segments are cut into
    blocks of at most ``BLOCK`` windows by the place of the anchor, so that equal windows are in blocks
    with equal cores (the bytes that all windows of such a block share). Blocks with a core of their own
    hold no repeated window; if all blocks of a core are equal, all their windows repeat. Only the
@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowferry.llm.common import NO_ID, batches_of_texts, over_batches, pick, record, stored
+from rowferry.llm.common import NO_ID, batches_of_texts, join_counted, over_batches, pick, record, stored
 from rowferry.llm.kernels import U, chunks, list_column, mix, sliding_min, span_hashes
 
 LENGTH = 400
@@ -234,17 +234,17 @@ def remove_long_matches(docs: DataFrame, length: int = LENGTH, id_col: str = "do
     """
     batches_of_texts(docs.sparkSession)
     id_type = docs.select(docs[f"`{id_col}`"]).schema[0].dataType.simpleString()
-    keyed = pick(docs, doc_id=id_col, text=text_col).select("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("key"), F.hash("text").alias("same"), "text")
+    keyed = pick(docs, doc_id=id_col, text=text_col).select("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("key"), F.unhex(F.md5("text")).alias("same"), "text")
 
     def sample(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        keys, same, rows = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
+        keys, same, rows = batch.column(0).to_numpy(), batch.column(1), batch.column(2).to_pylist()
         for lo, hi in chunks(rows, 1 << 18):
             texts = Bytes(rows[lo:hi])
             anchor, text, start, n, twice, _ = _segments(texts, length)
             content = span_hashes(texts.data, start, n + length - 1)
-            yield record(anchor=anchor.view(np.int64), content=content.view(np.int64), twice=twice, key=keys[lo:hi][text], same=same[lo:hi][text])
+            yield record(anchor=anchor.view(np.int64), content=content.view(np.int64), twice=twice, key=keys[lo:hi][text], same=same.slice(lo, hi - lo).take(pa.array(text)))
 
-    found = stored(keyed.select("key", "same", "text").mapInArrow(over_batches(sample), "anchor bigint, content bigint, twice boolean, key bigint, same int"), "segments")
+    found = stored(keyed.select("key", "same", "text").mapInArrow(over_batches(sample), "anchor bigint, content bigint, twice boolean, key bigint, same binary"), "segments")
     groups = found.groupBy("anchor").agg(F.count("*").alias("n"), (F.min("content") != F.max("content")).alias("mixed"), F.max("twice").alias("twice")).where("n > 1 or twice")
     way = F.when((F.col("n") > 1) & ~F.col("mixed"), _COPIES).when(F.col("n") <= crowd, _INDEX).otherwise(_HASH)
     recurring = stored(groups.select(F.col("anchor").alias("_anchor"), "n", way.alias("way")), "recurring")
@@ -277,38 +277,34 @@ def remove_long_matches(docs: DataFrame, length: int = LENGTH, id_col: str = "do
             way = np.where(known[spot] == anchor.view(np.int64), kind[at][spot], -1)
             copy = np.flatnonzero(way == _COPIES)
             removed = _cover(len(texts.data), start[copy], start[copy] + n[copy], length)
-            seg, crowded = np.flatnonzero(way == _INDEX), np.flatnonzero(way == _HASH)
+            seg = np.flatnonzero((way == _INDEX) | (way == _HASH))
             content = span_hashes(texts.data, start[seg], n[seg] + length - 1)
-            spots, block, size, begin, core = _blocks(texts, grams, anchor[crowded], start[crowded], n[crowded], length)
-            owner = text[crowded][block]
-            unions = [span_hashes(texts.data, begin, size + length - 1, seed).view(np.int64) for seed in (1, 2)]
-            hashes = [list_column(span_hashes(texts.data, spots, np.full(len(spots), length), seed).view(np.int64), size) for seed in (1, 2)]
             late = np.zeros(hi - lo, bool)
-            late[text[seg]] = late[owner] = True
+            late[text[seg]] = True
             n_removed, spans, kept = _result(texts, removed)
-            per_seg, per_block = np.bincount(text[seg], minlength=hi - lo), np.bincount(owner, minlength=hi - lo)
+            per_seg = np.bincount(text[seg], minlength=hi - lo)
             raw = texts.data.tobytes()
             yield record(
                 doc_id=batch.column(0).slice(lo, hi - lo), key=batch.column(1).slice(lo, hi - lo), same=batch.column(2).slice(lo, hi - lo), n_bytes=texts.size, n_removed=n_removed, spans=spans,
                 kept=pa.array([None if x else k for x, k in zip(late, kept)], pa.binary()), late=pa.array([p if x else None for x, p in zip(late, texts.parts)], pa.binary()),
                 anchor=list_column(anchor[seg].view(np.int64), per_seg), content=list_column(content.view(np.int64), per_seg), start=list_column(start[seg] - texts.first[text[seg]], per_seg),
                 segment=list_column([raw[s : s + k] for s, k in zip(start[seg].tolist(), (n[seg] + length - 1).tolist())], per_seg, pa.binary()),
-                core=list_column(core.view(np.int64), per_block), union1=list_column(unions[0], per_block), union2=list_column(unions[1], per_block),
-                begin=list_column(begin - texts.first[owner], per_block), hash1=list_column(hashes[0], per_block), hash2=list_column(hashes[1], per_block),
+                crowded=list_column(way[seg] == _HASH, per_seg, pa.bool_()),
             )
 
     spans = "spans array<struct<first:bigint,last:bigint>>"
     located = stored(
         marked.mapInArrow(
             over_batches(locate),
-            f"doc_id {id_type}, key bigint, same int, n_bytes bigint, n_removed bigint, {spans}, kept binary, late binary, anchor array<bigint>, content array<bigint>, start array<bigint>, segment array<binary>, core array<bigint>, union1 array<bigint>, union2 array<bigint>, begin array<bigint>, hash1 array<array<bigint>>, hash2 array<array<bigint>>",
+            f"doc_id {id_type}, key bigint, same binary, n_bytes bigint, n_removed bigint, {spans}, kept binary, late binary, anchor array<bigint>, content array<bigint>, start array<bigint>, segment array<binary>, crowded array<boolean>",
         ),
         "located",
     )
     late = located.where(F.col("late").isNotNull())
     places = late.select("key", "same", F.explode(F.arrays_zip("anchor", "content", "start")).alias("s")).select("key", "same", "s.*")
-    distinct = late.select(F.explode(F.arrays_zip("anchor", "content", "segment")).alias("s")).groupBy("s.anchor", "s.content", "s.segment").agg(F.count("*").alias("copies"))
-    dealt = distinct.select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), "anchor", "content", "segment", "copies")
+    distinct = late.select(F.explode(F.arrays_zip("anchor", "content", "segment", "crowded")).alias("s")).groupBy("s.anchor", "s.content", "s.segment", "s.crowded").agg(F.count("*").alias("copies"))
+    distinct = stored(distinct, "distinct")
+    dealt = distinct.where(~F.col("crowded")).select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), "anchor", "content", "segment", "copies")
 
     def index(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["anchor", "content"], kind="stable")
@@ -316,22 +312,9 @@ def remove_long_matches(docs: DataFrame, length: int = LENGTH, id_col: str = "do
         return pdf.loc[pdf["windows"].map(len) > 0, ["anchor", "content", "windows"]]
 
     repeats = dealt.groupBy("shard").applyInPandas(index, "anchor bigint, content bigint, windows array<int>")
-    repeats = repeats.select(F.col("anchor").alias("_anchor"), F.col("content").alias("_content"), "windows")
-    from_index = places.join(repeats, (F.col("anchor") == F.col("_anchor")) & (F.col("content") == F.col("_content"))).select("key", "same", F.transform("windows", lambda w: w + F.col("start")).alias("windows"))
-    union = ("core", "union1", "union2")
-    cores = late.select(F.explode(F.arrays_zip(*union)).alias("s")).groupBy("s.core").agg(F.count("*").alias("n"), *[f(f"s.{c}").alias(f"{f.__name__}_{c}") for c in union[1:] for f in (F.min, F.max)]).where("n > 1")
-    cores = cores.select(F.col("core").alias("_core"), ((F.col("min_union1") == F.col("max_union1")) & (F.col("min_union2") == F.col("max_union2"))).alias("alike"))
-    blocks = late.select("key", "same", F.explode(F.arrays_zip(*union, "begin", "hash1", "hash2")).alias("s")).select("key", "same", "s.*").join(cores, F.col("core") == F.col("_core"))
-    whole = blocks.where("alike").select("key", "same", F.array("begin", F.col("begin") + F.size("hash1")).alias("windows"))
-    mixed = blocks.where(~F.col("alike"))
-    single = mixed.groupBy(*union).agg(F.count("*").alias("copies"), F.first("hash1").alias("hash1"), F.first("hash2").alias("hash2"))
-    single = single.select(*union, "copies", F.posexplode(F.arrays_zip("hash1", "hash2")).alias("nth", "w")).select(*union, "copies", "nth", "w.*")
-    often = single.groupBy("hash1", "hash2").agg(F.sum("copies").alias("n")).where("n > 1").select(F.col("hash1").alias("_hash1"), F.col("hash2").alias("_hash2"))
-    again = single.join(often, (F.col("hash1") == F.col("_hash1")) & (F.col("hash2") == F.col("_hash2"))).groupBy(*[F.col(c).alias(f"_{c}") for c in union]).agg(F.collect_list("nth").alias("nths"))
-    in_block = mixed.drop("_core").join(again, [F.col(c) == F.col(f"_{c}") for c in union])
-    in_block = in_block.select("key", "same", F.flatten(F.transform("nths", lambda i: F.array(F.col("begin") + i, F.col("begin") + i + 1))).alias("windows"))
-    from_hash = whole.unionByName(in_block)
-    per_doc = from_index.unionByName(from_hash).groupBy("key", "same").agg(F.flatten(F.collect_set("windows")).alias("windows")).withColumnsRenamed({"key": "_key", "same": "_same"})
+    repeats = repeats.unionByName(_crowded(distinct.where("crowded"), length)).select(F.col("anchor").alias("_anchor"), F.col("content").alias("_content"), "windows")
+    found_in = places.join(repeats, (F.col("anchor") == F.col("_anchor")) & (F.col("content") == F.col("_content"))).select("key", "same", F.transform("windows", lambda w: w + F.col("start")).alias("windows"))
+    per_doc = found_in.groupBy("key", "same").agg(F.flatten(F.collect_set("windows")).alias("windows")).withColumnsRenamed({"key": "_key", "same": "_same"})
     final = late.select("doc_id", "key", "same", "late", "spans").join(per_doc, (F.col("key") == F.col("_key")) & (F.col("same") == F.col("_same")), "left")
 
     def finish(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -355,7 +338,43 @@ def remove_long_matches(docs: DataFrame, length: int = LENGTH, id_col: str = "do
     return ready.unionByName(rest)
 
 
-_LISTS = (("anchor", pa.int64()), ("content", pa.int64()), ("start", pa.int64()), ("segment", pa.binary()), ("core", pa.int64()), ("union1", pa.int64()), ("union2", pa.int64()), ("begin", pa.int64()), ("hash1", pa.list_(pa.int64())), ("hash2", pa.list_(pa.int64())))
+def _crowded(segments: DataFrame, length: int) -> DataFrame:
+    """Repeated windows (anchor, content, windows) of the different segments of crowded anchors.
+
+    Equal blocks become one row with their number before anything else. A core that a third of all
+    blocks share has as many rows as it has different blocks, and these are dealt by the whole block
+    or its windows, never by the core alone.
+    """
+
+    def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        rows = batch.column(2).to_pylist()
+        for lo, hi in chunks(rows, 1 << 18):
+            texts = Bytes(rows[lo:hi])
+            grams, _ = _anchors(texts.data, length)
+            spots, block, size, begin, core = _blocks(texts, grams, batch.column(0).slice(lo, hi - lo).to_numpy().view(U), texts.first, texts.size - length + 1, length)
+            of = lambda i: batch.column(i).slice(lo, hi - lo).take(pa.array(block))  # noqa: B023, E731
+            ends = [span_hashes(texts.data, begin, size + length - 1, seed).view(np.int64) for seed in (1, 2)]
+            hashes = [list_column(span_hashes(texts.data, spots, np.full(len(spots), length), seed).view(np.int64), size) for seed in (1, 2)]
+            yield record(anchor=of(0), content=of(1), copies=of(3), core=core.view(np.int64), union1=ends[0], union2=ends[1], begin=(begin - texts.first[block]).astype(np.int32), hash1=hashes[0], hash2=hashes[1])
+
+    union = ("core", "union1", "union2")
+    shape = "anchor bigint, content bigint, copies bigint, core bigint, union1 bigint, union2 bigint, begin int, hash1 array<bigint>, hash2 array<bigint>"
+    blocks = stored(segments.select("anchor", "content", "segment", "copies").mapInArrow(over_batches(cut), shape), "blocks")
+    different = stored(blocks.groupBy(*union).agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"), F.first("hash1").alias("hash1"), F.first("hash2").alias("hash2")), "different")
+    cores = different.groupBy("core").agg(F.count("*").alias("blocks"), F.sum("copies").alias("places")).where("places > 1")
+    known = stored(join_counted(different, cores, ("core",), "blocks", different.count()), "cores")
+    windows = known.where("blocks > 1").select(*union, "copies", "rows", F.posexplode(F.arrays_zip("hash1", "hash2")).alias("nth", "w")).select(*union, "copies", "rows", "nth", "w.*")
+    windows = stored(windows, "windows")
+    often = windows.groupBy("hash1", "hash2").agg(F.sum("copies").alias("n"), F.count("*").alias("times")).where("n > 1").drop("n")
+    again = join_counted(windows, often, ("hash1", "hash2"), "times", windows.count()).groupBy(*union, "rows").agg(F.collect_list("nth").alias("nths"))
+    whole = known.where("blocks = 1").select(*union, "rows", F.sequence(F.lit(0), F.size("hash1") - 1).alias("nths"))
+    places = blocks.select("anchor", "content", *union, "begin")
+    found = join_counted(places, again.unionByName(whole), union, "rows", blocks.count())
+    found = found.select("anchor", "content", F.flatten(F.transform("nths", lambda i: F.array(F.col("begin") + i, F.col("begin") + i + 1))).alias("windows"))
+    return found.groupBy("anchor", "content").agg(F.flatten(F.collect_list("windows")).alias("windows"))
+
+
+_LISTS = (("anchor", pa.int64()), ("content", pa.int64()), ("start", pa.int64()), ("segment", pa.binary()), ("crowded", pa.bool_()))
 
 
 def _cover(size: int, first: np.ndarray, last: np.ndarray, length: int) -> np.ndarray:
