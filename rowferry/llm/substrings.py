@@ -82,18 +82,18 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE,
     spark = batches_of_texts(docs.sparkSession)
     id_type = docs.select(docs[f"`{id_col}`"]).schema[0].dataType.simpleString()
     chosen = pick(docs, doc_id=id_col, text=text_col)
-    keyed = chosen.select("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("key"), F.hash("text").alias("same"), "text")
+    keyed = chosen.select("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("key"), F.unhex(F.md5("text")).alias("same"), "text")
 
     def sample(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        keys, same, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
+        keys, same, texts = batch.column(0).to_numpy(), batch.column(1), batch.column(2).to_pylist()
         for lo, hi in chunks(texts):
             words = Words(texts[lo:hi], PLAIN)
             _, _, full, low = _sampled(words, window, phrase)
             a, _, content = _contents(words, low, full, window)
             row = np.searchsorted(words.first, a, "right") - 1
-            yield record(phrase=low[a].view(np.int64), content=content.view(np.int64), key=keys[lo:hi][row], same=same[lo:hi][row])
+            yield record(phrase=low[a].view(np.int64), content=content.view(np.int64), key=keys[lo:hi][row], same=same.slice(lo, hi - lo).take(pa.array(row)))
 
-    found = stored(keyed.select("key", "same", "text").mapInArrow(over_batches(sample), "phrase bigint, content bigint, key bigint, same int"), "segments")
+    found = stored(keyed.select("key", "same", "text").mapInArrow(over_batches(sample), "phrase bigint, content bigint, key bigint, same binary"), "segments")
     groups = found.groupBy("phrase").agg(F.min("key").alias("first"), F.max("key").alias("last"))
     recurring = groups.where("first < last").select(F.col("phrase").alias("_phrase"))
     # a segment that an earlier document has as well is removed as a whole; windows have to be
@@ -138,7 +138,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE,
 
     spans = "spans array<struct<first:bigint,last:bigint>>"
     located = stored(
-        marked.mapInArrow(over_batches(locate), f"doc_id {id_type}, key bigint, same int, n_words bigint, n_removed bigint, {spans}, kept_text string, text string, place array<int>, phrase array<bigint>, content array<bigint>"),
+        marked.mapInArrow(over_batches(locate), f"doc_id {id_type}, key bigint, same binary, n_words bigint, n_removed bigint, {spans}, kept_text string, text string, place array<int>, phrase array<bigint>, content array<bigint>"),
         "located",
     )
     late = located.where(F.col("text").isNotNull())
