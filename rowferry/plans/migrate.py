@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from rowferry.functions.cells import truncate
 from rowferry.operators import closure, filters, lookups, mapping, matching, mocking, project, ranking
 from rowferry.plans import apply as apply_
-from rowferry.plans import upsert
+from rowferry.plans import keygraph, upsert
 from rowferry.spec import MigrationSpec, TableSpec
 
 Tables = Mapping[str, DataFrame]
@@ -129,6 +129,7 @@ def plan_run(
     chosen = select_sources(spec, sources)
     if data_retrieved is not None:
         chosen = data_retrieved(chosen)  # H2
+    through = keygraph.natural_keys(spec, chosen, targets)
     runs: dict[str, TableRun] = {}
     xrefs: dict[str, DataFrame] = {}
     for position, table in enumerate(spec.tables):
@@ -149,12 +150,16 @@ def plan_run(
         compare = [table.rename.get(c, c) for c in columns]
         held = [table.rename.get(l.column, l.column) for l in late]
         # Old data goes before anything is matched, so a row that is deleted is never linked.
-        there = _without(target, _old_data(table, target), table.id) if table.delete_old_data and table.operation in WRITES else target
+        there = _without(target, _old_data(table, target), table.target_id) if table.delete_old_data and table.operation in WRITES else target
+        ours, theirs, own_key = chosen[table.name], filters.target_read(there, table.target_filter), table.key
+        if table.name in through:
+            ours, theirs = keygraph.with_key(ours, table.id, through[table.name][0]), keygraph.with_key(theirs, table.target_id, through[table.name][1])
+            own_key = key = [keygraph.NATURAL]
         links = matching.match(
-            chosen[table.name],
-            filters.target_read(there, table.target_filter),
-            table.id, table.id, table.key, key,
-            source_order=table.order, target_order=[table.id],
+            ours,
+            theirs,
+            table.id, table.target_id, own_key, key,
+            source_order=table.order, target_order=[table.target_id],
             payload=[c for c in (*compare, *held) if c in target.columns],
         )
         if table.operation == "Insert" and not table.skip_existing:
@@ -162,11 +167,11 @@ def plan_run(
         if table.operation in WRITES:
             rows = prepare(table, source, columns, (lengths or {}).get(table.name))
             plan = upsert.classify(
-                rows, links, table.id, _types(target, compare), table.operation,
+                rows, links, table.target_id, _types(target, compare), table.operation,
                 skip_existing=table.skip_existing, always_update=table.always_update,
                 keep_target=[c for c in held if c in target.columns],
             )
-            plan = upsert.with_new_ids(plan, table.name, table.id, target.schema[table.id].dataType)
+            plan = upsert.with_new_ids(plan, table.name, table.target_id, target.schema[table.target_id].dataType)
             plan = _stored(plan, store, f"{table.name}/plan")
             xrefs[table.name] = _pairs(table, chosen[table.name], plan, links, target)
         else:
@@ -201,8 +206,8 @@ def _pairs(table: TableSpec, source: DataFrame, plan: DataFrame, links: DataFram
         return known
     if table.prepared_filter or table.record_filter or table.before_update:
         # Not every row is written. Rows that are left out still serve where they are linked.
-        return upsert.pairs_after(plan, table.id).unionByName(known).dropDuplicates([matching.SOURCE_ID])
-    return upsert.pairs_of_all(source, links, table.name, table.id, target.schema[table.id].dataType)
+        return upsert.pairs_after(plan, table.target_id).unionByName(known).dropDuplicates([matching.SOURCE_ID])
+    return upsert.pairs_of_all(source, links, table.name, table.id, target.schema[table.target_id].dataType)
 
 
 def _without(target: DataFrame, deletes: DataFrame, id_column: str) -> DataFrame:
@@ -216,7 +221,7 @@ def _is_hard(table: TableSpec) -> bool:
 
 
 def _old_data(table: TableSpec, target: DataFrame) -> DataFrame:
-    return upsert.old_data_plan(target, table.id, table.delete_filter or table.target_filter, _is_hard(table))
+    return upsert.old_data_plan(target, table.target_id, table.delete_filter or table.target_filter, _is_hard(table))
 
 
 def _plan_deletes(run: TableRun, source: DataFrame, target: DataFrame) -> None:
@@ -241,7 +246,7 @@ def _plan_deferred(spec, table: TableSpec, run: TableRun, source: DataFrame, tar
     rows = rows.withColumnsRenamed({l.column: named[l.column] for l in late})
     # A row that is inserted in this run has no lookup value yet; a linked one has its old value.
     now = run.plan.where(F.col(matching.TARGET_ID).isNotNull()).select(
-        F.col(table.id).alias(matching.SOURCE_ID),
+        F.col(table.target_id).alias(matching.SOURCE_ID),
         matching.TARGET_ID,
         *[F.col(f"_t_{named[l.column]}") for l in late],
     )
@@ -257,15 +262,15 @@ def apply_run(runs: Mapping[str, TableRun], targets: Tables, deleted_flags: Mapp
         target, table = targets[name], run.spec
         flag = (deleted_flags or {}).get(name)
         if run.deletes is not None:
-            target = apply_.apply_plan(target, run.deletes, table.id, [], flag)
+            target = apply_.apply_plan(target, run.deletes, table.target_id, [], flag)
         if run.plan is not None:
             columns = [c for c in run.plan.columns if c in target.columns]
             target = apply_.apply_plan(
-                target, run.plan, table.id, columns, flag, table.not_insertable, table.not_updateable
+                target, run.plan, table.target_id, columns, flag, table.not_insertable, table.not_updateable
             )
         if run.deferred is not None:
             columns = [c for c in (table.rename.get(n, n) for n in table.lookup_columns) if c in run.deferred.columns]
-            target = apply_.apply_plan(target, run.deferred, table.id, columns, flag, not_updateable=table.not_updateable)
+            target = apply_.apply_plan(target, run.deferred, table.target_id, columns, flag, not_updateable=table.not_updateable)
         out[name] = target
     return out
 

@@ -63,6 +63,9 @@ class TableSpec:
 
     ``unique_id=False`` says that ids may repeat; the first row of each is then kept. A table
     that is not ``master`` takes part only as far as related rows are selected.
+
+    A part of ``key`` is a column, a lookup column (it stands for the parent's whole key) or a path
+    ``lookup.part`` into the parent, over any number of parents. Keys may form rings.
     """
 
     name: str
@@ -100,6 +103,11 @@ class TableSpec:
     def order(self) -> tuple[str, ...]:
         return self.order_by or (self.id,)
 
+    @property
+    def target_id(self) -> str:
+        """The name of the id column in the target."""
+        return self.rename.get(self.id, self.id)
+
     @property
     def lookup_columns(self) -> tuple[str, ...]:
         return tuple(lookup.column for lookup in self.lookups)

@@ -136,6 +136,46 @@ def two_tables(t: Tables):
     return spec, sources, {"customer": known_customers, "orders": known_orders}
 
 
+# A table that links orders and parts and has no key of its own: both parents' keys and the line make it.
+@case(
+    "m1_junction_table",
+    """WITH line AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, min_by(l_linestatus, l_extendedprice) AS l_linestatus, min_by(l_returnflag, l_extendedprice) AS l_returnflag
+    FROM lineitem GROUP BY ALL)
+  SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS l_id,
+  CASE WHEN o_orderstatus <> 'P' AND l_linestatus = 'F' THEN concat_ws('-', 'T', l_orderkey, l_partkey, l_suppkey, l_linenumber) END AS known_id,
+  CASE WHEN o_orderstatus = 'P' OR l_linestatus <> 'F' THEN 'insert' WHEN l_returnflag = 'R' THEN 'update' ELSE 'skip' END AS action
+  FROM line JOIN orders ON l_orderkey = o_orderkey""",
+)
+def m1_junction(t: Tables) -> DataFrame:
+    plan = migrate.plan_run(*junction_tables(t))["line"].plan
+    return plan.select("l_id", F.when(F.col("action") != "insert", F.col("target_id")).alias("known_id"), "action")
+
+
+def junction_tables(t: Tables):
+    spec = MigrationSpec(
+        (
+            TableSpec("orders", "o_orderkey", ("o_orderref",), ("o_orderref",), "Upsert"),
+            TableSpec("part", "p_partkey", ("p_name", "p_ref"), ("p_name", "p_ref"), "Upsert"),
+            TableSpec("line", "l_id", ("l_orderkey", "l_partkey.p_ref", "l_suppkey", "l_linenumber"), ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"), "Upsert",
+                      (LookupSpec("l_orderkey", "orders"), LookupSpec("l_partkey", "part"))),
+        )
+    )
+    orders = t.orders.select("o_orderkey", F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("o_orderref"), "o_orderstatus")
+    parts = t.part.select("p_partkey", "p_name", F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("p_ref"))
+    of = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]  # a key that two lines share counts once
+    lines = t.lineitem.groupBy(*of).agg(*[F.min_by(c, "l_extendedprice").alias(c) for c in ("l_quantity", "l_linestatus", "l_returnflag")]).withColumn("l_id", F.concat_ws("-", *of))
+    sources = {"orders": orders.drop("o_orderstatus"), "part": parts, "line": lines.select("l_id", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")}
+    known = orders.where("o_orderstatus <> 'P'")
+    old = lines.where("l_linestatus = 'F'").join(known, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
+    quantity = F.when(F.col("l_returnflag") == "R", F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    targets = {
+        "orders": known.select((F.col("o_orderkey") + 70000000).alias("o_orderkey"), "o_orderref"),
+        "part": parts.withColumn("p_partkey", F.col("p_partkey") + 800000),
+        "line": old.select(F.concat_ws("-", F.lit("T"), "l_id").alias("l_id"), (F.col("l_orderkey") + 70000000).alias("l_orderkey"), (F.col("l_partkey") + 800000).alias("l_partkey"), "l_suppkey", "l_linenumber", quantity.alias("l_quantity")),
+    }
+    return spec, sources, targets
+
+
 NEW_ID = "CAST('0x' || substr(sha256('{0}|' || CAST({1} AS VARCHAR)), 1, 15) AS BIGINT)"
 TWO = (
     X.CUSTOMER_TARGET,

@@ -59,8 +59,8 @@ def compare(spark_df, relation) -> str:
     at = [other_names.index(n) for n in order]
     theirs = sorted((tuple(plain(r[i]) for i in at) for r in other), key=repr)
     if len(mine) != len(theirs):
-        extra = [r for r in mine if r not in set(theirs)][:2]
-        lost = [r for r in theirs if r not in set(mine)][:2]
+        extra = sorted(set(mine) - set(theirs), key=repr)[:2]
+        lost = sorted(set(theirs) - set(mine), key=repr)[:2]
         return f"rows {len(mine)} != {len(theirs)}  only spark {extra}  only sql {lost}"
     for a, b in zip(mine, theirs):
         if a != b or [type(x) for x in a] != [type(x) for x in b]:
