@@ -5,9 +5,6 @@ import random
 
 import numpy as np
 import pytest
-from hypothesis import given, settings
-from hypothesis import strategies as st
-
 from rowferry.operators import batches, ranking
 
 
@@ -84,38 +81,60 @@ def test_empty_input(spark):
 def greedy(sizes, limit):
     out, batch, fill = [], 0, None
     for size in sizes:
+        size = max(size or 0, 0)
         if fill is not None and fill + size > limit:
-            batch, fill = batch + 1, None
-        fill = size if fill is None else fill + size
+            batch, fill = batch + 1, 0
+        fill = (fill or 0) + size
         out.append(batch)
     return out
 
 
-@settings(max_examples=300, deadline=None)
-@given(
-    st.lists(st.lists(st.integers(0, 30), min_size=1, max_size=12), min_size=1, max_size=6),
-    st.integers(0, 40),
-)
-def test_batches_in_parts_equal_greedy(parts, limit):
-    """Summaries, chaining and numbering of any cut give what one pass over the list gives."""
-    import pandas as pd
+def size_lists(rng):
+    return {
+        "equal": [10] * 300,
+        "random": rng.integers(0, 60, 400).tolist(),
+        "oversized": [int(x) for x in rng.choice([0, 0, 5, 99, 100, 101, 500], 300)],
+        "zeros": [0] * 200 + [101] + [0] * 50 + [3] * 100,
+        "one": [7],
+        "none": [None, 40, None, -5, 70, None],
+        "at the limit": [50, 50, 1, 99, 1, 100, 100, 0, 1] * 20,
+    }
+
+
+@pytest.mark.parametrize("block, kind", [(16, "int"), (7, "double"), (1, "bigint"), (1 << 16, "bigint")])
+def test_size_batches_equal_the_loop(spark, block, kind):
+    rng = np.random.default_rng(1)
+    lists = size_lists(rng)
+    rows = [(g, int(i), s if s is None or kind != "double" else float(s)) for g, sizes in lists.items() for i, s in enumerate(sizes)]
+    rows = [rows[i] for i in rng.permutation(len(rows))]
+    df = spark.createDataFrame(rows, f"g string, o bigint, size {kind}")
+    got = batches.size_batches(df, ["g"], ["o"], "size", 100, block=block).collect()
+    for g, sizes in lists.items():
+        assert [r["batch"] for r in sorted((r for r in got if r["g"] == g), key=lambda r: r["o"])] == greedy(sizes, 100), g
+
+
+def test_size_batches_without_groups_and_with_null_groups(spark):
+    sizes = np.random.default_rng(2).integers(1, 30, 500).tolist()
+    df = spark.createDataFrame([(i, int(s)) for i, s in enumerate(sizes)], "o bigint, size bigint")
+    got = batches.size_batches(df, [], ["o"], "size", 100, block=32).orderBy("o").collect()
+    assert [r["batch"] for r in got] == greedy(sizes, 100)
+    assert batches.size_batches(df.limit(0), [], ["o"], "size", 100).count() == 0
+    odd = spark.createDataFrame([(None, 1, 60), (None, 2, 60), ("", 3, 60), ("a|b", 4, 60)], "g string, o bigint, size bigint")
+    assert sorted(r["batch"] for r in batches.size_batches(odd, ["g"], ["o"], "size", 100).collect()) == [0, 0, 0, 1]
+
 
-    steps = []
-    for cell, sizes in enumerate(parts):
-        for row in batches.summarise_part(np.array(sizes, dtype=float), limit):
-            steps.append((cell, *row))
-    frame = pd.DataFrame(steps, columns=["_cell", "lo", "hi", "exit", "opened", "total", "fresh"])
-    got = []
-    for (cell, fill, batch, fresh), sizes in zip(batches.chain_parts(frame), parts):
-        got += list(batches.number_part(np.array(sizes, dtype=float), limit, fill, batch, fresh))
-    assert got == greedy([s for part in parts for s in part], limit)
+def test_paths_of_a_block():
+    link = np.array([2, 3, 5, 4, 9, 6, 9])
+    last, steps = batches.last_starts(link)
+    assert last.tolist() == [6, 4, 6, 4, 4, 6, 6] and steps.tolist() == [3, 2, 2, 1, 0, 1, 0]
+    assert batches.starts_from(link, 0).tolist() == [True, False, True, False, False, True, True]
 
 
 def test_size_batches_per_group(spark):
     draw = random.Random(3)
     data = [("hot" if i % 3 else f"g{i % 5}", i, draw.randrange(0, 50)) for i in range(900)]
     df = spark.createDataFrame(data, "g string, o long, size long")
-    got = batches.size_batches(df, ["g"], ["o"], "size", 100, cells=64).collect()
+    got = batches.size_batches(df, ["g"], ["o"], "size", 100, block=64).collect()
     assert len(got) == len(data)
     for group in {row[0] for row in data}:
         mine = sorted((r for r in got if r["g"] == group), key=lambda r: r["o"])
