@@ -3,9 +3,9 @@
 Picking a row per key is written as an aggregate, not as a window. The aggregate keeps one
 row per key on the map side, so a key with a third of all rows costs one row per task.
 
-Ordinals need every row. For a key that is too large for one task, ``rank_rows`` cuts the
-order into cells, ranks each (key, cell) on its own and adds the row count of the cells
-before it.
+Ordinals need every row. For a key that is too large for one task, ``rank_rows`` deals its rows
+by range over the whole order, ties by a hash of the row, ranks each range on its own and adds
+the row counts of the ranges before it.
 """
 
 from __future__ import annotations
@@ -135,6 +135,7 @@ def with_cells(
     if not bounds:
         return df.withColumn(name, F.lit(0).cast("long"))
     cell = _cell_of("_cell_value", bounds, max(1, wanted // _SEGMENTS))
+    cell = F.when(F.isnan("_cell_value"), F.lit(1 << 40)).otherwise(cell)  # NaN comes last
     return df.withColumn("_cell_value", number).withColumn(name, cell).drop("_cell_value")
 
 
@@ -154,6 +155,38 @@ def _key_parts(df: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
     return parts
 
 
+def _row_hash(df: DataFrame) -> Column:
+    """Tells rows apart that are equal in the order columns."""
+    plain = [f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]
+    return F.xxhash64(*flat(plain))
+
+
+def deal_by_range(df: DataFrame, parts: dict[str, Column], order_by: Sequence[str], cells: int | None = None) -> DataFrame:
+    """The rows with the key columns, ``_row_hash`` and ``_range``, a number that never falls in the order.
+
+    The ranges are over key, order and row hash, in the order that a window sorts by (nulls first, NaN
+    last), so a value that many rows share in the first order columns fills as many ranges as it needs.
+    The dealt rows are checkpointed: counts and ordinals are of the same rows, whatever is run again.
+    """
+    wanted = cells or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [*flat(order_by), F.col("_row_hash")]
+    marked = df.withColumn("_row_hash", _row_hash(df)).withColumns(parts)
+    return cut_lineage(marked.repartitionByRange(wanted, *parts, *order).withColumn("_range", F.spark_partition_id()))
+
+
+def _rank_by_ranges(df: DataFrame, parts: dict[str, Column], order_by: Sequence[str], name: str, cells: int | None) -> DataFrame:
+    """``row_number`` per key over rows that are dealt by range."""
+    names, order = list(parts), [*flat(order_by), F.col("_row_hash")]
+    dealt = deal_by_range(df, parts, order_by, cells)
+    at = [*names, "_range"]
+    counts = dealt.groupBy(*at).count()
+    earlier = Window.partitionBy(*names).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(*[F.col(c).alias(f"_at{i}") for i, c in enumerate(at)], F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_before"))
+    local = dealt.withColumn("_local", F.row_number().over(Window.partitionBy(*at).orderBy(*order)))
+    same = [F.col(c).eqNullSafe(F.col(f"_at{i}")) for i, c in enumerate(at)]
+    return local.join(before, same).withColumn(name, (F.col("_local") + F.col("_before")).cast("long")).select(*every(df), name)
+
+
 def rank_rows(
     df: DataFrame,
     keys: Sequence[str],
@@ -166,41 +199,23 @@ def rank_rows(
 
     Keys of at most ``hot_rows`` rows are ranked by a plain window. Whether there are larger
     ones is asked up front: a count per key, combined before the shuffle, over the key columns
-    alone. The few keys found are checkpointed, and only their rows are cut into cells.
+    alone. The few keys found are checkpointed, and only their rows are dealt by range. Rows that
+    are equal in all order columns follow each other by a hash of the row.
     """
     parts = _key_parts(df, keys)
     names = list(parts)
-    hot = None
-    if keys:
-        counted = df.select(*[c.alias(n) for n, c in parts.items()]).groupBy(*names).count()
-        hot = counted.where(F.col("count") > hot_rows).select(*[F.col(n).alias(f"_hot{n}") for n in names])
-        hot = cut_lineage(hot)
-        if hot.isEmpty():
-            within = Window.partitionBy(*flat(keys)).orderBy(*flat(order_by))
-            return df.withColumn(name, F.row_number().over(within).cast("long"))
-    celled = with_cells(df, order_by, "_rank_cell", cells).withColumns(parts)
-    if hot is not None:
-        # one row per hot key; Spark decides by size how to join it
-        same = [F.col(n) == F.col(f"_hot{n}") for n in names]
-        marked = celled.join(hot, same, "left")
-        cell = F.when(F.col(f"_hot{names[0]}").isNotNull(), F.col("_rank_cell")).otherwise(F.lit(-2))
-        celled = marked.withColumn("_rank_cell", cell).drop(*hot.columns)
-    at = [*names, "_rank_cell"]
-    local = F.row_number().over(Window.partitionBy(*at).orderBy(*flat(order_by)))
-    ranked = celled.withColumn("_local", local)
-    earlier = Window.partitionBy(*names).orderBy("_rank_cell").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        celled.where("_rank_cell <> -2")
-        .groupBy(*at)
-        .count()
-        .withColumn("_before", F.sum("count").over(earlier))
-        .drop("count")
-    )
-    return (
-        ranked.join(before, at, "left")
-        .withColumn(name, F.col("_local") + F.coalesce("_before", F.lit(0)))
-        .select(*every(df), name)
-    )
+    if not keys:
+        return _rank_by_ranges(df, {}, order_by, name, cells)
+    counted = df.select(*[c.alias(n) for n, c in parts.items()]).groupBy(*names).count()
+    hot = counted.where(F.col("count") > hot_rows).select(*[F.col(n).alias(f"_hot{n}") for n in names])
+    hot = cut_lineage(hot)
+    within = Window.partitionBy(*flat(keys)).orderBy(*flat(order_by))
+    if hot.isEmpty():
+        return df.withColumn(name, F.row_number().over(within).cast("long"))
+    # one row per hot key; Spark decides by size how to join it
+    same = [parts[n] == F.col(f"_hot{n}") for n in names]
+    cold = df.join(hot, same, "left_anti").withColumn(name, F.row_number().over(within).cast("long"))
+    return _rank_by_ranges(df.join(hot, same, "left_semi"), parts, order_by, name, cells).unionByName(cold)
 
 
 def duplicate_names(

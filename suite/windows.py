@@ -93,3 +93,23 @@ def w7(t: Tables) -> DataFrame:
 @case("w8_fixed_size_chunks", "SELECT event_id, (row_number() OVER (ORDER BY ts, event_id) - 1) // 500 AS chunk FROM events")
 def w8(t: Tables) -> DataFrame:
     return ranking.chunks(t.events.select("event_id", "ts"), ["ts", "event_id"], 500).select("event_id", "chunk")
+
+
+@case(
+    "w5_sequence_number_tied_order",
+    "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, row_number() OVER (ORDER BY l_linestatus, l_returnflag, l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice) AS number FROM lineitem",
+)
+def w5_tied(t: Tables) -> DataFrame:
+    """Two values in the first order column, three in the second."""
+    order = ["l_linestatus", "l_returnflag", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"]
+    return ranking.rank_rows(t.lineitem.select(*order), [], order, "number").select(*order[2:6], "number")
+
+
+@case(
+    "w8_chunks_with_nan",
+    """SELECT o_orderkey, (row_number() OVER (ORDER BY v NULLS FIRST, o_orderkey) - 1) // 700 AS chunk
+  FROM (SELECT o_orderkey, CASE o_orderstatus WHEN 'P' THEN NULL WHEN 'F' THEN CAST('NaN' AS DOUBLE) ELSE o_totalprice END AS v FROM orders)""",
+)
+def w8_nan(t: Tables) -> DataFrame:
+    price = F.when(F.col("o_orderstatus") == "P", None).when(F.col("o_orderstatus") == "F", float("nan")).otherwise(F.col("o_totalprice"))
+    return ranking.chunks(t.orders.select("o_orderkey", price.alias("v")), ["v", "o_orderkey"], 700).select("o_orderkey", "chunk")

@@ -139,3 +139,28 @@ def test_size_batches_per_group(spark):
     for group in {row[0] for row in data}:
         mine = sorted((r for r in got if r["g"] == group), key=lambda r: r["o"])
         assert [r["batch"] for r in mine] == greedy([r["size"] for r in mine], 100)
+
+
+def test_rank_rows_with_ties_nan_and_nulls(spark):
+    """A constant first order column, NaN and null values, and rows that are equal throughout."""
+    nan, inf = float("nan"), float("inf")
+    values = [1.0] * 500 + [nan] * 30 + [None] * 20 + [inf, -inf, 2.0, -3.0]
+    rows = [("k", v, i) for i, v in enumerate(values)] + [("k", 1.0, 7)] * 5
+    df = spark.createDataFrame(rows, "k string, v double, i int")
+
+    def place(row):
+        v = row["v"]
+        return (0 if v is None else 1, inf if v is not None and v != v else v or 0, v is not None and v != v, row["i"])
+
+    for keys, hot in (([], 10), (["k"], 10), (["k"], 10**6)):
+        got = sorted(ranking.rank_rows(df, keys, ["v", "i"], "rn", cells=8, hot_rows=hot).collect(), key=lambda r: r["rn"])
+        assert [r["rn"] for r in got] == list(range(1, len(rows) + 1))
+        assert [place(r) for r in got] == sorted(place(r) for r in got)
+
+
+def test_tied_orders_fill_all_ranges(spark):
+    df = spark.range(20_000).selectExpr("1 AS c", "id")
+    dealt = ranking._rank_by_ranges(df, {}, ["c"], "rn", 16)
+    assert [r["rn"] for r in dealt.select("rn").orderBy("rn").collect()] == list(range(1, 20_001))
+    sizes = [r["count"] for r in ranking.deal_by_range(df, {}, ["c"], 16).groupBy("_range").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 20_000 / 16
