@@ -68,7 +68,7 @@ def _linked(rows: DataFrame, limit: float) -> DataFrame:
     asked = F.col("_from") + F.lit(limit)
     sums = rows.groupBy("_group", F.col("_to").alias("_at")).agg(F.min("_pos").alias("_first")).withColumn("_asks", F.lit(False))
     asks = rows.select("_group", asked.alias("_at")).distinct().select("_group", "_at", F.lit(None).cast("bigint").alias("_first"), F.lit(True).alias("_asks"))
-    line = with_cells(cut_lineage(sums.unionByName(asks)), ["_at"], "_cell")
+    line = with_cells(sums.unionByName(asks), ["_at"], "_cell")
     ahead = Window.partitionBy("_group", "_cell").orderBy(F.desc("_at"), F.desc("_asks")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     later = Window.partitionBy("_group").orderBy(F.desc("_cell")).rowsBetween(Window.unboundedPreceding, -1)
     beyond = line.groupBy("_group", "_cell").agg(F.min("_first").alias("_least"))

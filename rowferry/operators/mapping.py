@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from rowferry.functions.cells import strip
 from rowferry.functions.names import every, quoted
+from rowferry.session import cut_lineage
 from rowferry.spec import ValueRule
 
 # Fixed values.
@@ -25,6 +26,27 @@ _NULL = ("null", "NULL", "undefined", "#N/A")
 MAX_INLINE_RULES = 200
 
 
+@dataclass(frozen=True)
+class RuleTable:
+    """A rule table of any size: ``rows`` (ObjectName, FieldName, RawValue, Value), in the order of
+    ``order_by``, which later rules come last in. It stays a DataFrame and is joined by value. Only what
+    is code goes through the driver: the one regular expression of each column, and the different
+    ``eval(...)`` texts, each once however many rules have it."""
+
+    rows: DataFrame
+    order_by: tuple[str, ...]
+
+    def of(self, table: str, columns: Sequence[str]) -> DataFrame:
+        """``_field``, ``_k``, ``_v`` and ``_seen``: the last value of each raw value, empty ones too,
+        and where the raw value stands first."""
+        text = lambda c: F.coalesce(strip(F.col(c).cast("string")), F.lit(""))
+        rows = self.rows.where(text("ObjectName") == table).select(
+            text("FieldName").alias("_field"), text("RawValue").alias("_k"), text("Value").alias("_v"), F.struct(*self.order_by).alias("_order")
+        )
+        named = rows.where(F.col("_field").isin(*columns))
+        return named.groupBy("_field", "_k").agg(F.max_by("_v", "_order").alias("_v"), F.min("_order").alias("_seen"))
+
+
 @dataclass(frozen=True)
 class FieldRules:
     """The rules of one column: literal values and the one regular expression that counts."""
@@ -33,6 +55,8 @@ class FieldRules:
     pattern: str | None = None
     pattern_key: str | None = None
     replacement: str | None = None
+    table: DataFrame | None = None
+    evals: tuple[str, ...] = ()
 
 
 def rules_for(rules: Sequence[ValueRule], table: str, column: str) -> FieldRules:
@@ -51,7 +75,8 @@ def rules_for(rules: Sequence[ValueRule], table: str, column: str) -> FieldRules
 
 
 def rules_from_table(df: DataFrame, limit: int = 100_000) -> list[ValueRule]:
-    """The rule table (ObjectName, FieldName, RawValue, Value) as rules. Its size is checked."""
+    """The rule table (ObjectName, FieldName, RawValue, Value) as rules. Its size is checked; a
+    ``RuleTable`` has no such bound."""
     rows = df.select("ObjectName", "FieldName", "RawValue", "Value").take(limit + 1)
     if len(rows) > limit:
         raise ValueError(f"more than {limit} value rules")
@@ -100,8 +125,58 @@ def _typed_text(column: Column) -> Column:
     )
 
 
+def _rules_of_table(rules: RuleTable, table: str, columns: Sequence[str]) -> dict[str, FieldRules]:
+    """The rules of each column, literal ones as a table (``_k``, ``_v``)."""
+    last = cut_lineage(rules.of(table, columns))
+    is_regex, is_eval = F.col("_k").rlike(r"(?s)^/.*/$"), F.col("_v").rlike(_EVAL)
+    regex = last.where(is_regex).groupBy("_field").agg(F.max_by(F.struct("_k", "_v"), "_seen").alias("r"))
+    regexes = {r["_field"]: r["r"] for r in regex.collect()}  # a row per column
+    evals: dict[str, list[str]] = {}
+    for row in last.where(is_eval).select("_field", "_v").distinct().orderBy("_field", "_v").collect():  # code, not data
+        evals.setdefault(row["_field"], []).append(row["_v"])
+    filled = {r["_field"] for r in last.where("_v <> ''").select("_field").distinct().collect()}
+    out = {}
+    for name in columns:
+        if name in filled:
+            raw, value = regexes.get(name, (None, None))
+            pattern = _REGEX_RULE.match(raw).group(1) if value else None
+            own = last.where((F.col("_field") == name) & (F.col("_v") != "")).select("_k", "_v")
+            out[name] = FieldRules({}, pattern, raw, value, own, tuple(evals.get(name, ())))
+    return out
+
+
+def _groups(pattern: str) -> int:
+    try:
+        return re.compile(pattern).groups
+    except re.error:
+        return len(re.findall(r"(?<!\\)\((?!\?)", pattern))
+
+
+def replacement_text(pattern: str, value: str) -> str:
+    """A replacement as users write it, for the regular expressions of the JVM: ``$1`` stands for a
+    group that the pattern has, ``$&`` for the match, ``$$`` for a dollar; all else is text."""
+    groups = _groups(pattern)
+
+    def swap(found: re.Match) -> str:
+        text = found.group(0)
+        if text in ("\\", "$$", "$&"):
+            return {"\\": "\\\\", "$$": "\\$", "$&": "$0"}[text]
+        for digits in (text[1:], text[1:2]):
+            if digits and 1 <= int(digits) <= groups:
+                return f"${int(digits)}" + text[1 + len(digits) :]
+        return "\\" + text
+
+    return re.sub(r"\\|\$(?:\$|&|\d\d?)?", swap, value)
+
+
+def _replacement(df: DataFrame, rules: FieldRules) -> Column:
+    if re.match(_EVAL, rules.replacement):
+        return F.regexp_replace(_evaluated(df, rules.replacement), r"([\\$])", r"\\$1")
+    return F.lit(replacement_text(rules.pattern, rules.replacement))
+
+
 def map_values(
-    df: DataFrame, table: str, rules: Sequence[ValueRule], columns: Sequence[str] | None = None, hits: bool = False
+    df: DataFrame, table: str, rules: Sequence[ValueRule] | RuleTable, columns: Sequence[str] | None = None, hits: bool = False
 ) -> DataFrame:
     """Applies the rules of ``table`` to each of its columns.
 
@@ -110,10 +185,11 @@ def map_values(
     the literal rules. ``true``, ``false`` and null words become typed. A mapped column is
     text, also where no rule hits. ``hits`` adds ``<column>__rules``, the rules that applied.
     """
-    out = df
-    for name in columns or df.columns:
-        found = rules_for(rules, table, name)
-        if found.literal or found.pattern:
+    out, names = df, list(columns or df.columns)
+    of_table = _rules_of_table(rules, table, names) if isinstance(rules, RuleTable) else None
+    for name in names:
+        found = rules_for(rules, table, name) if of_table is None else of_table.get(name, FieldRules({}))
+        if found.literal or found.pattern or found.table is not None:
             out = _map_column(out, name, found, hits)
     return out
 
@@ -123,13 +199,16 @@ def _map_column(df: DataFrame, name: str, rules: FieldRules, hits: bool) -> Data
     out = df.withColumn("_raw", raw)
     if rules.pattern:
         pattern = f"(?iu){rules.pattern}"
-        swapped = F.regexp_replace(F.col("_raw"), F.lit(pattern), _evaluated(out, rules.replacement))
+        swapped = F.regexp_replace(F.col("_raw"), F.lit(pattern), _replacement(out, rules))
         matched = F.col("_raw").rlike(pattern)
         out = out.withColumn("_regex", matched).withColumn("_new", F.when(matched, swapped).otherwise(""))
     else:
         out = out.withColumn("_regex", F.lit(False)).withColumn("_new", F.lit(""))
 
-    lookup = _lookup_map if len(rules.literal) <= MAX_INLINE_RULES else _lookup_join
+    if rules.table is not None:
+        lookup = _lookup_table
+    else:
+        lookup = _lookup_map if len(rules.literal) <= MAX_INLINE_RULES else _lookup_join
     if rules.pattern:
         out = lookup(out, rules, "_new", "_by_new")
     else:
@@ -180,6 +259,16 @@ def _lookup_join(df: DataFrame, rules: FieldRules, key: str, name: str) -> DataF
     return out
 
 
+def _lookup_table(df: DataFrame, rules: FieldRules, key: str, name: str) -> DataFrame:
+    """A rule table: one row per raw value, joined by it. Spark splits values that many rows have."""
+    known = rules.table.select(F.col("_k").alias("_rk"), F.col("_v").alias("_rv"))
+    out = df.join(known, F.col(key) == F.col("_rk"), "left")
+    value = F.when(F.col("_rv").isNotNull(), F.struct(_typed_text(F.col("_rv")).alias("v")))
+    for text in rules.evals:
+        value = F.when(F.col("_rv") == text, F.struct(_evaluated(df, text).alias("v"))).otherwise(value)
+    return out.withColumn(name, value).drop("_rk", "_rv")
+
+
 def _python_typed(value: str) -> str | None:
     if value in _TRUE:
         return "true"
@@ -197,7 +286,7 @@ def compute(df: DataFrame, column: str, expression: str) -> DataFrame:
     )
 
 
-def rule_hits(df: DataFrame, table: str, rules: Sequence[ValueRule], columns: Sequence[str]) -> DataFrame:
+def rule_hits(df: DataFrame, table: str, rules: Sequence[ValueRule] | RuleTable, columns: Sequence[str]) -> DataFrame:
     """A5: rows per applied rule, as (object, field, rule, rows). Rules without a hit give 0."""
     mapped = map_values(df, table, rules, columns, hits=True)
     def tagged(name: str) -> Column:
@@ -209,12 +298,15 @@ def rule_hits(df: DataFrame, table: str, rules: Sequence[ValueRule], columns: Se
         .groupBy(F.col("h.field").alias("field"), F.col("h.rule").alias("rule"))
         .agg(F.count("*").alias("rows"))
     )
-    names = [
-        (name, rule)
-        for name in columns
-        for rule in dict.fromkeys(r.raw.strip() for r in rules if r.table == table and r.column == name)
-    ]
-    every = df.sparkSession.createDataFrame(names, "field string, rule string")
+    if isinstance(rules, RuleTable):
+        every = rules.of(table, columns).select(F.col("_field").alias("field"), F.col("_k").alias("rule"))
+    else:
+        names = [
+            (name, rule)
+            for name in columns
+            for rule in dict.fromkeys(r.raw.strip() for r in rules if r.table == table and r.column == name)
+        ]
+        every = df.sparkSession.createDataFrame(names, "field string, rule string")
     return every.join(counted, ["field", "rule"], "left").select(
         F.lit(table).alias("object"), "field", "rule", F.coalesce("rows", F.lit(0)).alias("rows")
     )

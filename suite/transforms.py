@@ -44,6 +44,23 @@ def t1_many(t: Tables) -> DataFrame:
     return mapping.map_values(t.customer.select("c_custkey", "c_name"), "customer", rules)
 
 
+# Every customer and every order is a rule: the tables grow together.
+@case(
+    "t1_rules_from_dataframe",
+    """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CASE WHEN o_orderstatus = 'P' THEN CAST(l_orderkey AS VARCHAR) WHEN o_orderpriority = '5-LOW' THEN NULL
+    WHEN o_orderpriority = '1-URGENT' THEN 'urgent ' || CAST(l_orderkey AS VARCHAR) ELSE '$1 order\\' || CAST(l_orderkey AS VARCHAR) END AS "order"
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+)
+def t1_table(t: Tables) -> DataFrame:
+    key = F.col("o_orderkey").cast("string")
+    value = F.when(F.col("o_orderstatus") == "P", "").when(F.col("o_orderpriority") == "5-LOW", "#N/A").when(F.col("o_orderpriority") == "1-URGENT", "eval(concat('urgent ', RAW_VALUE))")
+    value = value.otherwise(F.concat(F.lit("$1 order\\"), key))
+    first = t.orders.select(F.lit("line").alias("ObjectName"), F.lit("order").alias("FieldName"), key.alias("RawValue"), F.lit("an earlier rule").alias("Value"), F.lit(0).alias("sheet"))
+    rules = first.unionByName(t.orders.select(F.lit("line").alias("ObjectName"), F.lit("order").alias("FieldName"), F.concat(F.lit(" "), key).alias("RawValue"), value.alias("Value"), F.lit(1).alias("sheet")))
+    rows = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_orderkey").alias("order"))
+    return mapping.map_values(rows, "line", mapping.RuleTable(rules, ("sheet",)), ["order"])
+
+
 @case(
     "t2_computed_mapping",
     """SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN '1-URGENT/8' WHEN '2-HIGH' THEN '2-HIGH' WHEN '3-MEDIUM' THEN 'medium' ELSE o_orderpriority END AS o_orderpriority FROM orders""",

@@ -146,3 +146,39 @@ def test_user_group_split(spark):
     df = spark.createDataFrame([("005x", "u"), ("00Gy", "g"), ("001z", "a"), (" ", "b"), (None, "c")], "Id string, Name string")
     parts = scan.split_by_prefix(df, "Id")
     assert {n: [r["Name"] for r in p.collect()] for n, p in parts.items()} == {"User": ["u"], "Group": ["g"]}
+
+
+def test_rule_table_equals_rule_list(spark):
+    """Later rules, empty values, regexes, typed words and expressions, from a table and from a list."""
+    rules = [
+        ("x", "v", "a", "first"), ("x", "v", " a ", "last"), ("x", "v", "b", "TRUE"), ("x", "v", "c", "null"), ("x", "v", "d", ""), ("x", "v", "/old(.)/", "unused"),
+        ("x", "v", "/n(\\d+)/", "m$1-$2$$"), ("x", "v", "m7-$2$", "hit"), ("x", "v", "e", "eval(upper(RAW_VALUE))"), ("x", "v", "f", "eval(upper(RAW_VALUE))"), ("x", "w", "a", "other"), ("y", "v", "z", "no"),
+    ]
+    df = spark.createDataFrame([(v, "a", i) for i, v in enumerate(["a", "b", "c", "d", "n7", "xn12", "e", "f", "z", "", None, " a "])], "v string, w string, i int")
+    table = spark.createDataFrame([(*r, n) for n, r in enumerate(rules)], "ObjectName string, FieldName string, RawValue string, Value string, line int")
+    listed = [ValueRule(*r) for r in rules]
+    by_table = mapping.map_values(df, "x", mapping.RuleTable(table, ("line",)), hits=True)
+    by_list = mapping.map_values(df, "x", listed, hits=True)
+    of = lambda out: [(r["v"], r["w"], r["v__rules"], r["w__rules"]) for r in out.orderBy("i").collect()]
+    assert of(by_table) == of(by_list)
+    assert [r[0] for r in of(by_table)][:9] == ["last", "true", None, "d", "hit", "xm12-$2$", "E", "F", "z"]
+    counts = lambda rules: sorted(tuple(r) for r in mapping.rule_hits(df, "x", rules, ["v", "w"]).collect())
+    assert counts(mapping.RuleTable(table, ("line",))) == counts(listed)
+
+
+def test_rule_table_with_many_rules(spark):
+    rules = spark.range(200_000).selectExpr("'x' AS ObjectName", "'v' AS FieldName", "cast(id AS string) AS RawValue", "concat('r', id) AS Value", "id AS line")
+    df = spark.range(0, 400_000, 1000).selectExpr("cast(id AS string) AS v", "id")
+    got = {r["id"]: r["v"] for r in mapping.map_values(df, "x", mapping.RuleTable(rules, ("line",)), ["v"]).collect()}
+    assert got == {i: f"r{i}" if i < 200_000 else str(i) for i in range(0, 400_000, 1000)}
+
+
+def test_replacements_are_text_but_for_groups():
+    assert mapping.replacement_text("a(b)", r"x\y $1 $2 $& $$ $") == r"x\\y $1 \$2 $0 \$ \$"
+    assert mapping.replacement_text("ab", "$1") == r"\$1"
+
+
+def test_dollar_and_backslash_in_replacements(spark):
+    df = spark.createDataFrame([("cost 5",)], "v string")
+    for value, out in (("$", "$ 5"), ("C:\\x", "C:\\x 5"), ("$9", "$9 5"), ("<$1>", "<cost> 5"), ("eval(concat('$1', chr(92)))", "$1\\ 5")):
+        assert mapping.map_values(df, "x", [ValueRule("x", "v", "/(cost)/", value)]).first()["v"] == out
