@@ -26,14 +26,23 @@ def where(df: DataFrame, condition: str | Column | None) -> DataFrame:
 
 
 def where_or_all(df: DataFrame, condition: str | None, what: str) -> DataFrame:
-    """a filter from outside. One that does not fit the table keeps every row."""
+    """a filter from outside. One that does not fit the table keeps every row.
+
+    A value that the condition cannot work on (text that is no number, a division by zero, a place
+    that a list does not have) gives null there and does not end the job: such a row is not kept.
+    """
     if not condition or not condition.strip():
         return df
+    conf, name = df.sparkSession.conf, "spark.sql.ansi.enabled"
+    strict = conf.get(name)
     try:
+        conf.set(name, "false")  # functions keep the mode in which they were resolved
         return df.where(F.expr(condition))
     except (AnalysisException, ParseException) as error:
         log.warning("%s is skipped: %s", what, error)
         return df
+    finally:
+        conf.set(name, strict)
 
 
 def source_records_filter(df: DataFrame, condition: str | None) -> DataFrame:

@@ -133,18 +133,26 @@ def add_ids(df: DataFrame, table: str, id_column: str, identify_by: Sequence[str
 
 
 def repair_ids(df: DataFrame, table: str, id_column: str, order_by: Sequence[str], length: int = 18) -> DataFrame:
-    """Q7: blank and repeated ids are replaced, the first row keeps its id. Ids become text.
+    """Q7: blank and repeated ids are replaced, the first row keeps its id. Ids become text, all distinct.
 
     Rows with a blank id need no comparison. The rest are compared on (id, order), which
-    spreads an id that a large share of the rows has.
+    spreads an id that a large share of the rows has. Rows that agree there are told apart by their
+    content, equal rows by their number. A new id that is taken already, by a row of the table or by
+    another new id, is made again from at least 128 bits.
     """
     trimmed = F.coalesce(strip(F.col(quoted(id_column)).cast("string")), F.lit(""))
-    prepared = df.withColumn("_trimmed", trimmed)
+    digest = F.sha2(F.to_json(F.struct(*every(df))), 256)
+    prepared = rank_rows(df.withColumns({"_trimmed": trimmed, "_digest": digest}), ["_trimmed", *order_by], ["_digest"], "_tie")
     filled = prepared.where("_trimmed <> ''")
-    flagged = flag_first(filled, ["_trimmed"], order_by, "_first").unionByName(
+    flagged = flag_first(filled, ["_trimmed"], [*order_by, "_tie"], "_first").unionByName(
         prepared.where("_trimmed = ''").withColumn("_first", F.lit(False))
     )
-    made = row_id(table, "_trimmed", *[F.col(quoted(o)) for o in order_by], length=length)
-    fixed = F.when(F.col("_first"), F.col("_trimmed")).otherwise(made)
+    parts = ["_trimmed", *[F.col(quoted(o)) for o in order_by]]
+    tied = F.col("_tie") > 1
+    made = F.when(tied, row_id(table, *parts, "_tie", length=length)).otherwise(row_id(table, *parts, length=length))
+    given = flagged.withColumn("_given", F.when(F.col("_first"), F.col("_trimmed")).otherwise(made))
+    taken = given.groupBy("_given").count().where("count > 1").select(F.col("_given").alias("_taken"))
+    again = row_id(table, F.lit("again"), "_trimmed", "_digest", "_tie", length=max(length, 32))
+    fixed = F.when(F.col("_first") | F.col("_taken").isNull(), F.col("_given")).otherwise(again)
     kept = [fixed.alias(c) if c == id_column else F.col(quoted(c)) for c in df.columns]
-    return flagged.select(*kept)
+    return given.join(taken, F.col("_given") == F.col("_taken"), "left").select(*kept)

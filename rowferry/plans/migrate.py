@@ -171,9 +171,16 @@ def plan_run(
                 skip_existing=table.skip_existing, always_update=table.always_update,
                 keep_target=[c for c in held if c in target.columns],
             )
-            plan = upsert.with_new_ids(plan, table.name, table.target_id, target.schema[table.target_id].dataType)
+            kind = target.schema[table.target_id].dataType
+            if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):
+                # the target as it was: ids of rows that are deleted in this run are not given again
+                dense = upsert.dense_pairs(chosen[table.name], links, table.id, target, table.target_id)
+                dense = _stored(dense, store, f"{table.name}/ids")
+                plan = upsert.with_ids_of(plan, dense, table.target_id)
+            else:
+                dense, plan = None, upsert.with_new_ids(plan, table.name, table.target_id, kind)
             plan = _stored(plan, store, f"{table.name}/plan")
-            xrefs[table.name] = _pairs(table, chosen[table.name], plan, links, target)
+            xrefs[table.name] = _pairs(table, chosen[table.name], plan, links, target, dense)
         else:
             plan = None
             xrefs[table.name] = links.select(matching.SOURCE_ID, matching.TARGET_ID)  # M11
@@ -199,7 +206,7 @@ def _stored(df: DataFrame, folder: str | None, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(f"{folder}/{name}")
 
 
-def _pairs(table: TableSpec, source: DataFrame, plan: DataFrame, links: DataFrame, target: DataFrame) -> DataFrame:
+def _pairs(table: TableSpec, source: DataFrame, plan: DataFrame, links: DataFrame, target: DataFrame, dense: DataFrame | None) -> DataFrame:
     """Source and target ids of the rows that children may point to."""
     known = links.select(matching.SOURCE_ID, matching.TARGET_ID)
     if table.operation == "Update":
@@ -207,6 +214,8 @@ def _pairs(table: TableSpec, source: DataFrame, plan: DataFrame, links: DataFram
     if table.prepared_filter or table.record_filter or table.before_update:
         # Not every row is written. Rows that are left out still serve where they are linked.
         return upsert.pairs_after(plan, table.target_id).unionByName(known).dropDuplicates([matching.SOURCE_ID])
+    if dense is not None:
+        return dense
     return upsert.pairs_of_all(source, links, table.name, table.id, target.schema[table.target_id].dataType)
 
 

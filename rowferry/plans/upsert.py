@@ -14,6 +14,7 @@ from rowferry.functions.cells import differs, strip
 from rowferry.functions.keys import row_id
 from rowferry.functions.names import every, flat, quoted
 from rowferry.operators.matching import SOURCE_ID, TARGET_ID
+from rowferry.operators.ranking import rank_rows
 
 INSERT, UPDATE, SKIP = "insert", "update", "skip"
 DELETE, HARD_DELETE = "delete", "hard_delete"
@@ -85,6 +86,25 @@ def with_new_ids(plan: DataFrame, table: str, source_id: str, id_type: T.DataTyp
     return plan.withColumn(TARGET_ID, F.when(F.col("action") == INSERT, made).otherwise(F.col(TARGET_ID)))
 
 
+def dense_pairs(source: DataFrame, links: DataFrame, source_id: str, target: DataFrame, target_id: str) -> DataFrame:
+    """M5 for ids of 32 bits or less, where hashes would not fit: new rows continue after the largest id
+    of the target, in the order of their source ids. Linked rows keep their pairs."""
+    ids = source.select(F.col(quoted(source_id)).alias("_sid"))
+    joined = ids.join(links.select(SOURCE_ID, TARGET_ID), F.col("_sid") == F.col(SOURCE_ID), "left")
+    new = rank_rows(joined.where(F.col(TARGET_ID).isNull()).select("_sid"), [], ["_sid"], "_n")
+    largest = target.agg(F.coalesce(F.max(quoted(target_id)).cast("bigint"), F.lit(0))).scalar()
+    kind = target.schema[target_id].dataType
+    made = new.select(F.col("_sid").alias(SOURCE_ID), (largest + F.col("_n")).cast(kind).alias(TARGET_ID))
+    return joined.where(F.col(TARGET_ID).isNotNull()).select(F.col("_sid").alias(SOURCE_ID), TARGET_ID).unionByName(made)
+
+
+def with_ids_of(plan: DataFrame, pairs: DataFrame, source_id: str) -> DataFrame:
+    """M5: inserts get their ids from pairs that are known already."""
+    theirs = pairs.select(F.col(SOURCE_ID).alias("_sid"), F.col(TARGET_ID).alias("_new_id"))
+    joined = plan.join(theirs, F.col(quoted(source_id)) == F.col("_sid"), "left")
+    return joined.withColumn(TARGET_ID, F.when(F.col("action") == INSERT, F.col("_new_id")).otherwise(F.col(TARGET_ID))).select(*every(plan))
+
+
 def pairs_after(plan: DataFrame, source_id: str) -> DataFrame:
     """M5: (source_id, target_id) of rows that were linked and of those just inserted."""
     return plan.where(F.col(TARGET_ID).isNotNull()).select(F.col(quoted(source_id)).alias(SOURCE_ID), TARGET_ID)
@@ -123,8 +143,6 @@ def hierarchy_delete_plan(links: DataFrame, hard: bool = False) -> DataFrame:
 
 def ordered_deletes(plan: DataFrame, rows: DataFrame, id_column: str, order_by: Sequence[str]) -> DataFrame:
     """O3: the delete plan with ``seq``, the place of each row in the order of the query."""
-    from rowferry.operators.ranking import rank_rows
-
     wanted = rows.select(F.col(id_column).alias("_id"), *order_by)
     return rank_rows(plan.join(wanted, F.col(TARGET_ID) == F.col("_id")), [], order_by, "seq").select(
         TARGET_ID, "action", "seq"

@@ -117,3 +117,19 @@ def q4(t: Tables) -> DataFrame:
 @case("q4_repair_chain_issues", X.with_ctes(X.ORDERS_DAMAGED, CHECKED, CONFLICTS, select="SELECT * FROM conflicts"))
 def q4_issues(t: Tables) -> DataFrame:
     return repaired(t).issues
+
+
+@case(
+    "q4_repair_repeated_ids",
+    X.with_ctes(
+        X.ORDERS_NO_ID,
+        select="""SELECT count(*) AS rows, count(*) AS ids, count(DISTINCT CASE WHEN trim(id) <> '' THEN trim(id) END) AS kept FROM orders_no_id""",
+    ),
+)
+def q4_repeated(t: Tables) -> DataFrame:
+    """No order is given, so that repeated ids tie in it. All rows stay, and no two share an id."""
+    spec = MigrationSpec((TableSpec("orders", "id", ("id",), ("o_custkey", "ord"), "Upsert"),))
+    out = repair.repair(spec, {"orders": X.orders_no_id(t)}).tables["orders"]
+    before = X.orders_no_id(t).select(F.trim("id").alias("_old")).where("_old <> ''").distinct()
+    kept = F.count_distinct(F.when(F.col("_old").isNotNull(), F.col("id")))
+    return out.join(before, F.col("id") == F.col("_old"), "left").agg(F.count("*").alias("rows"), F.count_distinct("id").alias("ids"), kept.alias("kept"))
