@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowferry.functions.text import ascii_bounds
 from rowferry.functions.names import quoted
@@ -108,13 +109,21 @@ def sequence_date(position: Column, start: str, step: str = "d") -> Column:
     return begin
 
 
-def test(expression: str, value: Column) -> Column:
-    """T5: ``*`` has a value, ``^*`` has none, anything else is a pattern in any case."""
+def test(expression: str, value: Column, kind: T.DataType | None = None) -> Column:
+    """T5: ``*`` has a value, ``^*`` has none, anything else is a pattern in any case.
+
+    0, NaN and false are no values; the texts ``0`` and ``false`` are.
+    """
     text = F.coalesce(value.cast("string"), F.lit(""))
+    filled = text != ""
+    if isinstance(kind, T.BooleanType):
+        filled = F.coalesce(value, F.lit(False))
+    elif isinstance(kind, T.NumericType):
+        filled = F.coalesce((value != 0) & ~F.isnan(value.cast("double")), F.lit(False))
     if expression == ANY_VALUE:
-        return text != ""
+        return filled
     if expression == NO_VALUE:
-        return text == ""
+        return ~filled
     return text.rlike(f"(?iu){ascii_bounds(expression)}")
 
 
@@ -149,8 +158,8 @@ def mask_flags(df: DataFrame, chosen: dict[str, MockField]) -> dict[str, Column]
         value = F.col(quoted(name))
         excl, excl_row = _pattern(mock.excluded)
         incl, incl_row = _pattern(mock.included)
-        excluded = test(excl, value) if excl else F.lit(False)
-        included = test(incl, value) if incl else F.lit(False)
+        excluded = test(excl, value, df.schema[name].dataType) if excl else F.lit(False)
+        included = test(incl, value, df.schema[name].dataType) if incl else F.lit(False)
         if incl and incl_row:
             row_included = row_included | included
         if excl and excl_row:

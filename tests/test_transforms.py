@@ -182,3 +182,10 @@ def test_dollar_and_backslash_in_replacements(spark):
     df = spark.createDataFrame([("cost 5",)], "v string")
     for value, out in (("$", "$ 5"), ("C:\\x", "C:\\x 5"), ("$9", "$9 5"), ("<$1>", "<cost> 5"), ("eval(concat('$1', chr(92)))", "$1\\ 5")):
         assert mapping.map_values(df, "x", [ValueRule("x", "v", "/(cost)/", value)]).first()["v"] == out
+
+
+def test_zero_and_false_are_no_values(spark):
+    df = spark.createDataFrame([(1, 0, False, float("nan"), "0"), (2, 5, True, 1.5, ""), (3, None, None, 0.0, "false")], "id int, n int, b boolean, d double, s string")
+    for expression, expected in (("*", [(2, "n"), (2, "b"), (2, "d"), (1, "s"), (3, "s")]), ("^*", [(1, "n"), (1, "b"), (1, "d"), (2, "s"), (3, "n"), (3, "b"), (3, "d")])):
+        got = [(r["id"], c) for c in "nbds" for r in df.where(mocking.test(expression, F.col(c), df.schema[c].dataType)).collect()]
+        assert sorted(got) == sorted(expected)
