@@ -28,10 +28,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 12, 18, 16
 KINDS = ("assign", "access", "hex", "markov")
 
-#: Documents, with the smallest hashes of their text, whose labelled strings train the models.
+#: Documents, with the smallest hashes of their text, that train the models: so many of those that may
+#: hold a labelled string, and so many of all.
 SAMPLE_DOCS = 4000
+_LABELLED = "(?i:password|passwd|secret|token|api_?key)|AKIA[A-Z0-9]{14}|[0-9a-f]{16}"
 #: Shortest run of token characters that the models judge.
-MIN_RUN = 20
+MIN_RUN = 12
 #: Summed log-likelihood ratio, and its mean per character, from which a run is reported.
 MIN_RATIO, MIN_MEAN = 12.0, 0.4
 
@@ -40,8 +42,14 @@ _TOKEN = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _STATES = len(_TOKEN) + 1
 _STATE = np.zeros(256, np.uint8)
 _STATE[np.frombuffer(_TOKEN, np.uint8)] = np.arange(1, _STATES)
+_CLASSES = ("start", "upper", "lower", "digit", "sign")
+_CLASS = np.array([0] + [1] * 26 + [2] * 26 + [3] * 10 + [4] * 5)
+# What follows what in names and numbers that a corpus may not show: mostly the same kind again.
+_FOLLOWS = np.array([[0, 0.3, 0.4, 0.2, 0.1]] + [[0, *np.where(np.arange(1, 5) == k, 0.6, np.where(np.arange(1, 5) == 4, 0.2, 0.1))] for k in range(1, 5)])
+_FOLLOWS /= _FOLLOWS.sum(1, keepdims=True)
 _HEX = np.zeros(256, bool)
 _HEX[np.frombuffer(b"0123456789abcdef", np.uint8)] = True
+_RUN = re.compile("[A-Za-z0-9+/_=-]{2,}")
 _KEYS = (b"password", b"passwd", b"secret", b"token", b"api_key", b"apikey")
 
 
@@ -102,11 +110,15 @@ def _points(text: bytes, start: int, kind: int, length: int) -> tuple[int, int,
 def train(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> np.ndarray:
     """Log-likelihood ratios, secret to ordinary, of each character after each other.
 
-    Two transition tables are counted over the sample by the tasks and added up.
+    Two transition tables are counted over the sample by the tasks and added up. Secrets are the
+    strings that the patterns find (of an assignment its value); ordinary are all other runs of token
+    characters. Half of the secret chain is uniform, so that it fits random strings of any alphabet
+    and holds where few strings are labelled.
     """
     batches_of_texts(docs.sparkSession)
     texts = pick(docs, text=text_col).where(F.col("text").isNotNull()).withColumn("rank", F.xxhash64("text"))
-    sample = sampled(texts, "rank", sample_docs).groupBy("rank").agg(F.min("text").alias("text")).select("text")
+    both = sampled(texts.where(F.col("text").rlike(_LABELLED)), "rank", sample_docs).unionByName(sampled(texts, "rank", sample_docs))
+    sample = both.groupBy("rank").agg(F.min("text").alias("text")).select("text")
     size = _STATES * _STATES
 
     def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -116,8 +128,11 @@ def train(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOC
             own = rows[lo:hi]
             spans = _found(own)[0]
             for text, secret in zip(own, spans):
-                strings = [(1, text[s:e].rpartition("=")[2] if kind == 0 else text[s:e]) for s, kind, e in secret]
-                strings += [(0, w) for w in re.findall("[A-Za-z_]{2,}", text)]
+                strings = [(1, ASSIGN.match(text, s)[2] if kind == 0 else text[s:e]) for s, kind, e in secret]
+                at = 0
+                for s, _, e in [*sorted(secret), (len(text), 0, 0)]:
+                    strings += [(0, w) for w in _RUN.findall(text, at, max(at, s))]
+                    at = max(at, e)
                 for label in (0, 1):
                     data = ("\n" + "\n".join(s for k, s in strings if k == label)).encode("ascii", "replace")
                     state = _STATE[np.frombuffer(data, np.uint8)].astype(np.int64)
@@ -132,12 +147,18 @@ def train(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOC
         tables[row["cell"]] = row["n"]
     ordinary, secret = tables.reshape(2, _STATES, _STATES)
     # a random string follows no order: its chain is shrunk to the plain frequencies of characters
-    plain = secret.sum(0) + 1.0
-    plain[0] = 0
-    plain /= plain.sum()
-    secret = (secret + 200 * plain) / (secret.sum(1, keepdims=True) + 200)
-    ordinary[:, 1:] += 0.05
-    ordinary /= ordinary.sum(1, keepdims=True)
+    even = np.full(_STATES, 1 / (_STATES - 1))
+    even[0] = 0
+    plain = (secret.sum(0) + 200 * even) / (secret.sum() + 200)
+    secret = ((secret + 200 * plain) / (secret.sum(1, keepdims=True) + 200) + even) / 2
+    # half of the ordinary chain knows kinds of characters only, so that words never seen stay ordinary
+    kinds = np.zeros((len(_CLASSES), len(_CLASSES)))
+    np.add.at(kinds, (_CLASS[:, None], _CLASS[None, :]), ordinary)
+    kinds = 0.9 * (kinds + _FOLLOWS) / (kinds + _FOLLOWS).sum(1, keepdims=True) + 0.1 * _FOLLOWS
+    of_kind = np.bincount(_CLASS, minlength=len(_CLASSES))
+    by_kind = (kinds / of_kind)[_CLASS][:, _CLASS]
+    ordinary = (ordinary / np.maximum(ordinary.sum(1, keepdims=True), 1) + by_kind) / 2
+    ordinary[:, 1:] += 1e-6
     ratio = np.zeros((_STATES, _STATES))
     ratio[:, 1:] = np.log(secret[:, 1:]) - np.log(ordinary[:, 1:])
     return np.clip(ratio, -6, 6)
@@ -147,8 +168,8 @@ def scan(docs: DataFrame, ratio: np.ndarray | None = None, id_col: str = "doc_id
     """All secret spans of every text.
 
     Returns one row per row of ``docs``: doc_id, text, the columns to ``keep``, and spans
-    array<struct<kind, start, end>> in code points, sorted by start and then kind. Spans of the patterns always stay; a run that the
-    models report is added unless it touches one of these. Null and empty texts have no spans;
+    array<struct<kind, start, end>> in code points, sorted by start and then kind. Spans of the patterns always stay; of a run that the
+    models report, what lies outside them is added. Null and empty texts have no spans;
     repeated rows give repeated rows; null ids stay null. ``ratio`` is what :func:`train` returns,
     by default trained on ``docs``.
     """
@@ -170,13 +191,22 @@ def scan(docs: DataFrame, ratio: np.ndarray | None = None, id_col: str = "doc_id
                 before = state[at - 1]
                 edges = np.cumsum(length) - length
                 before[edges] = 0
-                score = np.add.reduceat(ratio[before, state[at]], edges)
+                each = ratio[before, state[at]]
+                score, total = np.add.reduceat(each, edges), np.concatenate(([0.0], np.cumsum(each)))
+                rest: list[tuple[int, tuple[int, int, int]]] = []
                 for k in np.flatnonzero((score >= MIN_RATIO) & (score >= MIN_MEAN * length)):
                     s = int(start[k])
                     i = int(np.searchsorted(first, s, "right")) - 1
                     span = _points(data[int(first[i]) : int(first[i + 1])], s - int(first[i]), 3, int(length[k]))
-                    if all(span[2] <= a or b <= span[0] for a, _, b in spans[i]):
-                        spans[i].append(span)
+                    place = span[0]
+                    for a, _, b in [*sorted(x for x in spans[i] if x[1] < 3 and x[0] < span[2] and x[2] > span[0]), (span[2], 3, span[2])]:
+                        lo_, hi_ = (int(edges[k]) + x - span[0] for x in (place, max(a, place)))
+                        # what a pattern leaves of the run has to look random by itself
+                        if hi_ > lo_ and total[hi_] - total[lo_] >= MIN_MEAN * (hi_ - lo_):
+                            rest.append((i, (place, 3, a)))
+                        place = max(place, b)
+                for i, span in rest:
+                    spans[i].append(span)
             out += [[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in sorted(x)] for x in spans]
         yield record(**dict(zip(batch.schema.names, batch.columns)), spans=pa.array(out, pa.list_(kind_of)))
 

@@ -158,6 +158,25 @@ def test_secrets(spark, nothing):
     assert secrets.scan(nothing).count() == 0
 
 
+def test_random_strings_are_found_and_names_are_not(spark):
+    """Of unlabelled random strings of 16 and more characters nine in ten at least, no ordinary name."""
+    rng = np.random.default_rng(9)
+    alphabet = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    draw = lambda n: "".join(rng.choice(alphabet, n))
+    names = ["getElementByIdentifier", "internationalization", "user_account_settings", "2024-01-15/2024-02-16", "Donaudampfschifffahrtsgesellschaft", "thequickbrownfoxjumpsoverthelazydog", "some/long/path/to/file-name_v2", "2024/01/15/10-30-45"]
+    prose = [(i, text(rng, 80, ["the", "quick", "brown", "letters", "of", "a", "language", "and", "their", "words/of", "two-part", "file_name"]) + (f' token: "{draw(24)}"' if i % 4 == 0 else "")) for i in range(400)]
+    ratio = secrets.train(spark.createDataFrame(prose, "doc_id bigint, text string"))
+    planted = [(1000 * n + j, f"before {draw(n)} after") for n in (16, 18, 24, 40) for j in range(40)]
+    ordinary = [(i, f"the {name} of words") for i, name in enumerate(names)]
+    found = {r["doc_id"] for r in secrets.scan(spark.createDataFrame(planted + ordinary, "doc_id bigint, text string"), ratio).where(F.size("spans") > 0).collect()}
+    assert not found & {i for i, _ in ordinary}
+    assert len(found) >= 0.9 * len(planted)
+    # what a pattern leaves of a random string is found too, so that all of it is masked
+    whole = draw(10) + "XyZ9" + "deadbeefdeadbeef" + "Zq8K" + draw(10)
+    masked = secrets.redact(secrets.scan(spark.createDataFrame([(1, f"a {whole} b")], "doc_id bigint, text string"), ratio)).first()["text"]
+    assert masked.replace("[secret]", "") == "a  b"
+
+
 def test_packing(corpus, nothing):
     from tokenizers import Tokenizer
 
