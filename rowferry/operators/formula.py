@@ -6,18 +6,16 @@ expression as ``formula.alias``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowferry.functions.names import every
 
+from rowferry.operators.conditions import first_where
 from rowferry.operators.ranking import first_per_key, with_cells
 
-# A free condition is tested against every row of the other table. That table must be small.
-MAX_FREE_ROWS = 1000
-
 
 def same_row(df: DataFrame, other: DataFrame, on: str, other_id: str, value: str, name: str) -> DataFrame:
     """A value of the row itself as it is on the other side."""
@@ -95,30 +93,32 @@ def by_comparison(
     theirs, op, ours = compare
     if op not in ("<=", "<", ">=", ">"):
         raise ValueError(f"comparison {op} is not supported")
-    sign = 1 if op in ("<=", "<") else -1
+    along = F.asc if op in ("<=", "<") else F.desc
+    both = other.select(F.col(theirs).alias("_at")).union(df.select(ours))
+    kind = both.schema["_at"].dataType
     other_first = op in ("<=", ">=")
     best = F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order_by)], F.col(value).alias("v"))
     their_key = F.struct(F.lit(1).alias("k"), *[F.col(t).alias(f"k{i}") for i, (_, t) in enumerate(on)])
     our_key = F.struct(F.lit(1).alias("k"), *[F.col(o).alias(f"k{i}") for i, (o, _) in enumerate(on)])
     candidates = (
         other.na.drop(subset=[theirs, *[t for _, t in on]])
-        .select(their_key.alias("_key"), (F.col(theirs).cast("double") * sign).alias("_at"), best.alias("_best"))
+        .select(their_key.alias("_key"), F.col(theirs).cast(kind).alias("_at"), best.alias("_best"))
         .groupBy("_key", "_at")
         .agg(F.min("_best").alias("_best"))
         .withColumn("_side", F.lit(0 if other_first else 1))
     )
     wanted = df.na.drop(subset=[ours, *[o for o, _ in on]])
     asked = (
-        wanted.select(our_key.alias("_key"), (F.col(ours).cast("double") * sign).alias("_at"))
+        wanted.select(our_key.alias("_key"), F.col(ours).cast(kind).alias("_at"))
         .distinct()
         .withColumn("_best", F.lit(None).cast(candidates.schema["_best"].dataType))
         .withColumn("_side", F.lit(1 if other_first else 0))
     )
     line = with_cells(candidates.unionByName(asked), ["_at"], "_cell", cells)
-    upto = Window.partitionBy("_key", "_cell").orderBy("_at", "_side")
+    upto = Window.partitionBy("_key", "_cell").orderBy(along("_at"), "_side")
     upto = upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = line.withColumn("_local", F.min("_best").over(upto))
-    earlier = Window.partitionBy("_key").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("_key").orderBy(along("_cell")).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         line.groupBy("_key", "_cell")
         .agg(F.min("_best").alias("_min"))
@@ -129,33 +129,12 @@ def by_comparison(
         .join(carried, ["_key", "_cell"])
         .select("_key", "_at", F.least("_local", "_carry").getField("v").alias(name))
     )
-    asking = df.withColumn("_key", our_key).withColumn("_at", F.col(ours).cast("double") * sign)
+    asking = df.withColumn("_key", our_key).withColumn("_at", F.col(ours).cast(kind))
     return asking.join(answers, ["_key", "_at"], "left").select(*every(df), name)
 
 
-def by_condition(
-    df: DataFrame,
-    other: DataFrame,
-    condition: Callable[[Column], Column],
-    value: str,
-    order_by: Sequence[str],
-    name: str,
-    max_rows: int = MAX_FREE_ROWS,
-) -> DataFrame:
-    """J26 with a free condition of our columns and one row of the other table.
-
-    Nothing but testing every row can answer it, so the other table must be small. Its size
-    is checked up front (one count of at most ``max_rows + 1`` rows); a larger one is refused
-    and wants ``by_equality`` or ``by_comparison``.
-    """
-    if other.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"a free condition needs a lookup table of at most {max_rows} rows")
-    entries = other.agg(
-        F.sort_array(F.collect_list(F.struct(F.struct(*order_by).alias("o"), F.struct(*other.columns).alias("r")))).alias("a")
-    )
-    listed = df.withColumn("_entries", entries.scalar())
-    hits = F.filter("_entries", lambda entry: condition(entry["r"]))
-    return listed.withColumn(name, F.get(hits, F.lit(0))["r"][value]).select(*every(df), name)
+#: J26 with equalities, comparisons and a rest: the general form.
+by_condition = first_where
 
 
 def constant(df: DataFrame, other: DataFrame, value: str, order_by: Sequence[str], name: str, condition: Column | str | None = None) -> DataFrame:

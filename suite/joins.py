@@ -379,10 +379,43 @@ def j26_comparison(t: Tables) -> DataFrame:
 def j26_free(t: Tables) -> DataFrame:
     rows = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
 
-    def holds(entry):
-        return (entry["n_nationkey"] > F.col("c_nationkey")) & (F.length(entry["n_name"]) != F.length("c_mktsegment"))
+    def names_differ(nation):
+        return F.length(nation["n_name"]) != F.length("c_mktsegment")
 
-    return formula.by_condition(rows, t.nation, holds, "n_name", ["n_nationkey"], "nation").select("c_custkey", "nation")
+    return formula.by_condition(
+        rows, t.nation, [("n_nationkey", ">", "c_nationkey")], "n_name", ["n_nationkey"], "nation", names_differ, ["c_mktsegment"]
+    ).select("c_custkey", "nation")
+
+
+@case(
+    "j26_lookup_by_range",
+    """WITH days AS (SELECT DISTINCT o_orderdate AS d FROM orders),
+  hits AS (SELECT d, min_by(p.o_orderkey, (p.o_totalprice, p.o_orderkey)) AS k FROM days JOIN orders p ON p.o_orderdate > d AND p.o_orderdate <= d + INTERVAL 7 DAY GROUP BY d)
+  SELECT o_orderkey, k AS next_cheapest FROM orders LEFT JOIN hits ON o_orderdate = d""",
+)
+def j26_range(t: Tables) -> DataFrame:
+    rows = t.orders.select("o_orderkey", F.col("o_orderdate").alias("day"), (F.col("o_orderdate") + F.expr("INTERVAL 7 DAYS")).alias("until"))
+    week = [("o_orderdate", ">", "day"), ("o_orderdate", "<=", "until")]
+    out = formula.by_condition(rows, t.orders, week, "o_orderkey", ["o_totalprice", "o_orderkey"], "next_cheapest")
+    return out.select("o_orderkey", "next_cheapest")
+
+
+@case(
+    "j26_lookup_by_range_of_key",
+    """SELECT a.o_orderkey, min_by(b.o_orderkey, (b.o_orderdate, b.o_orderkey)) AS answer FROM orders a
+  LEFT JOIN orders b ON b.o_custkey = a.o_custkey AND b.o_orderdate >= a.o_orderdate AND b.o_orderdate <= a.o_orderdate + INTERVAL 365 DAY
+  AND b.o_orderpriority <> a.o_orderpriority GROUP BY a.o_orderkey""",
+)
+def j26_range_of_key(t: Tables) -> DataFrame:
+    until = F.col("o_orderdate") + F.expr("INTERVAL 365 DAYS")
+    rows = t.orders.select("o_orderkey", "o_custkey", F.col("o_orderdate").alias("day"), until.alias("until"), F.col("o_orderpriority").alias("priority"))
+    terms = [("o_custkey", "=", "o_custkey"), ("o_orderdate", ">=", "day"), ("o_orderdate", "<=", "until")]
+
+    def other_priority(order):
+        return order["o_orderpriority"] != F.col("priority")
+
+    out = formula.by_condition(rows, t.orders, terms, "o_orderkey", ["o_orderdate", "o_orderkey"], "answer", other_priority, ["priority"])
+    return out.select("o_orderkey", "answer")
 
 
 @case(

@@ -1,6 +1,9 @@
 """Lookups, closure, pairing, formulas."""
 
+import datetime as dt
+import functools
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -115,10 +118,69 @@ def test_comparison_lookup_equals_brute_force(spark, op, keyed):
     assert {r["i"]: r["found"] for r in got} == expected and len(got) == len(ours)
 
 
-def test_free_condition_refuses_large_tables(spark):
-    df = spark.range(3)
+OPS = {"=": lambda a, b: a == b, "<": lambda a, b: a < b, "<=": lambda a, b: a <= b, ">": lambda a, b: a > b, ">=": lambda a, b: a >= b}
+LARGE = 2**60  # neighbours that a double cannot tell apart
+KINDS = {
+    "bigint": lambda n: LARGE + n,
+    "date": lambda n: dt.date(2020, 1, 1) + dt.timedelta(days=n),
+    "string": lambda n: f"w{n:03d}",
+    "decimal(30,2)": lambda n: Decimal(10**25) + Decimal(n) / 100,
+}
+CONDITIONS = {
+    "our point in their range": [("lo", "<=", "x"), ("hi", ">", "x")],
+    "their point in our range": [("lo", ">", "x"), ("lo", "<", "y")],
+    "key and range": [("k", "=", "k"), ("lo", "<", "x"), ("hi", ">=", "x")],
+    "overlap": [("lo", "<=", "y"), ("hi", ">=", "x")],
+    "one side": [("lo", ">=", "x")],
+    "key alone": [("k", "=", "k")],
+}
+
+
+MIXES = [("bigint", c) for c in CONDITIONS] + [(k, c) for k in KINDS for c in list(CONDITIONS)[:2] if k != "bigint"]
+
+
+@pytest.mark.parametrize("kind, condition", MIXES)
+@pytest.mark.parametrize("with_rest", [False, True])
+def test_conditions_equal_brute_force(spark, kind, condition, with_rest):
+    draw, terms = random.Random(11), CONDITIONS[condition]
+
+    def some():
+        return draw.choice([None, *map(KINDS[kind], range(40))])
+
+    ours = [(i, draw.choice(["a", "a", "b", None]), some(), some(), draw.choice([None, 0, 1, 2])) for i in range(120)]
+    theirs = [(i, draw.choice(["a", "a", "b", None]), some(), some(), i % 3) for i in range(50)]
+    left, right = ("i", "k", "x", "y", "r"), ("j", "k", "lo", "hi", "s")
+
+    def holds(a, b):
+        pairs = [(b[t], a[o], op) for t, op, o in terms] + ([(b["s"], a["r"], "=")] if with_rest else [])
+        return all(None not in (p, q) and OPS[op](p, q) for p, q, op in pairs)
+
+    expected = {}
+    for a in (dict(zip(left, row)) for row in ours):
+        expected[a["i"]] = max((b["j"] for b in (dict(zip(right, row)) for row in theirs) if holds(a, b)), default=None)
+    df = spark.createDataFrame(ours, f"i int, k string, x {kind}, y {kind}, r int")
+    other = spark.createDataFrame(theirs, f"j int, k string, lo {kind}, hi {kind}, s int").withColumn("back", -F.col("j"))
+    rest = (lambda their: their["s"] == F.col("r")) if with_rest else None
+    got = formula.by_condition(df, other, terms, "j", ["back"], "found", rest, ["r"] if with_rest else []).collect()
+    assert {r["i"]: r["found"] for r in got} == expected and len(got) == len(ours)
+
+
+def test_conditions_on_empty_tables_mixed_types_and_nan(spark):
+    df = spark.createDataFrame([(1, 2.5), (2, float("nan")), (3, None), (3, None)], "id int, v double")
+    other = spark.createDataFrame([(7, 2), (8, 3)], "id int, w int")
+    find = functools.partial(formula.by_condition, terms=[("w", "<=", "v")], value="id", order_by=["id"], name="found")
+    assert sorted((r["id"], r["found"]) for r in find(df, other).collect() if r["found"]) == [(1, 7), (2, 7)]
+    assert [r["found"] for r in find(df, other.limit(0)).collect()] == [None] * 4
+    assert find(df.limit(0), other).count() == 0
     with pytest.raises(ValueError):
-        formula.by_condition(df, spark.range(20), lambda e: e["id"] > F.col("id"), "id", ["id"], "x", max_rows=10)
+        find(df, other, terms=[])
+
+
+def test_comparison_lookup_tells_large_numbers_apart(spark):
+    df = spark.createDataFrame([(LARGE + n,) for n in range(6)], "v bigint")
+    other = spark.createDataFrame([(LARGE + 2,), (LARGE + 4,)], "w bigint").withColumn("back", -F.col("w"))
+    got = formula.by_comparison(df, other, [], ("w", "<=", "v"), "w", ["back"], "found").orderBy("v").collect()
+    assert [r["found"] and r["found"] - LARGE for r in got] == [None, None, 2, 2, 4, 4]
 
 
 def test_last_filled_lookup_wins(spark):
