@@ -9,7 +9,11 @@ from __future__ import annotations
 import functools
 import hashlib
 import hmac
+import itertools
+import json
 import operator
+import os
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
@@ -116,14 +120,43 @@ def _group(hit: Column, pattern: str, number: int) -> Column:
     return F.regexp_extract(hit, ascii_bounds(pattern), number)
 
 
+def holds_known(values: Sequence[str]) -> str:
+    """A pattern that finds whether any of the values stands in a text, as one tree of shared beginnings.
+
+    A value that begins with another one adds nothing, so the tree only branches where values differ.
+    """
+    kept: list[str] = []
+    for value in sorted(set(values)):
+        if not (kept and value.startswith(kept[-1])):
+            kept.append(value)
+
+    def tree(words: list[str]) -> str:
+        head = os.path.commonprefix([words[0], words[-1]])
+        branches = [[w[len(head):] for w in group] for _, group in itertools.groupby(words, lambda w: w[len(head): len(head) + 1])]
+        if len(words) == 1:
+            return re.escape(head)
+        return re.escape(head) + "(?:" + "|".join(tree(branch) for branch in branches) + ")"
+
+    return tree(kept)
+
+
 def mask_known(text: Column, entries: Sequence[tuple[str, str]], seed: str) -> Column:
-    """Literal ``(value, label)`` pairs, longest value first. Record ids stay."""
+    """Literal ``(value, label)`` pairs, longest value first. Record ids stay.
+
+    The entries are one constant array that is walked inside a task, so the expression is as deep for
+    thousands of them as for one. Texts that hold none, mostly, cost one search of a pattern.
+    """
     unique = list(dict.fromkeys((value.strip(), label.strip()) for value, label in entries))
-    for value, label in sorted(unique, key=lambda entry: -len(entry[0])):
-        is_id = value.isascii() and value.isalnum() and len(value) in (15, 18)
-        if value and label and not is_id:
-            text = F.replace(text, F.lit(value), F.lit(f"{label}<{keyed_hash_text(value, seed)}>"))
-    return text
+    swaps = [
+        (value, f"{label}<{keyed_hash_text(value, seed)}>")
+        for value, label in sorted(unique, key=lambda entry: -len(entry[0]))
+        if value and label and not (value.isascii() and value.isalnum() and len(value) in (15, 18))
+    ]
+    if not swaps:
+        return text
+    table = F.from_json(F.lit(json.dumps([{"v": v, "t": t} for v, t in swaps])), "array<struct<v:string,t:string>>")
+    masked = F.aggregate(table, text, lambda out, swap: F.replace(out, swap["v"], swap["t"]))
+    return F.when(text.rlike(holds_known([v for v, _ in swaps])), masked).otherwise(text)
 
 
 def mask_double_quoted_secrets(text: Column, seed: str, likely: Column | None = None) -> Column:

@@ -2,6 +2,7 @@
 
 import hashlib
 import hmac
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -28,6 +29,33 @@ def test_keyed_hash(spark):
         assert got == hmac.new(seed.encode(), "välue".encode(), hashlib.sha256).hexdigest().upper()[:16]
 
 
+def test_many_known_values_equal_one_replacement_after_the_other(spark):
+    draw = random.Random(3)
+    letters = "ab<>\u00e9\\$.\U0001f600 "
+    entries = [("".join(draw.choices(letters, k=draw.randint(1, 5))), draw.choice(["a", "ab", "org"])) for _ in range(150)]
+    texts = ["", *("".join(draw.choices(letters + "xyz", k=draw.randint(0, 25))) for _ in range(60))]
+    unique = dict.fromkeys((v.strip(), label) for v, label in entries if v.strip())
+    expected = []
+    for text in texts:
+        for value, label in sorted(unique, key=lambda entry: -len(entry[0])):
+            text = text.replace(value, f"{label}<{M.keyed_hash_text(value, 'seed')}>")
+        expected.append(text)
+    df = spark.createDataFrame([*enumerate(texts), (999, None)], "i int, t string")
+    got = df.select("i", M.mask_known(F.col("t"), entries, "seed").alias("t")).orderBy("i").collect()
+    assert [r["t"] for r in got] == [*expected, None]
+
+
+def test_ten_thousand_known_values(spark):
+    entries = [(f"user{i}@example", "user") for i in range(10_000)]
+    df = spark.createDataFrame([(f"from user{i}@example to user{i + 1}@example, user and {i}",) for i in range(0, 9_000, 100)], "t string")
+    got = [r["t"] for r in df.select(M.mask_known(F.col("t"), entries, "s").alias("t")).collect()]
+
+    def hidden(i):
+        return f"user<{M.keyed_hash_text(f'user{i}@example', 's')}>"
+
+    assert sorted(got) == sorted(f"from {hidden(i)} to {hidden(i + 1)}, user and {i}" for i in range(0, 9_000, 100))
+
+
 def test_known_values(spark):
     got = masked(spark, "user bob@x at acme", "0015g00000ABCDE stays", known=[("acme", "org"), ("0015g00000ABCDE", "org")])
     assert got == [f"user bob@x at org<{h('acme')}>", "0015g00000ABCDE stays"]
