@@ -15,6 +15,10 @@ from rowferry.session import cut_lineage
 # Tables that are never used to select others.
 NEVER_PIVOTS = ("User", "Group", "RecordType")
 
+#: J7 walks at most so many hops one by one, and only while they find less than this share of the links.
+EARLY_HOPS = 6
+LARGE_SHARE = 0.05
+
 
 def allowed_lookups(
     lookups: Sequence[tuple[str, str]],
@@ -76,24 +80,39 @@ def with_self_references(
 ) -> DataFrame:
     """The selected rows and all rows they point to, directly or over others.
 
-    Only ids move. Every round doubles the distance: ids reached so far take a jump of as many
-    hops as they are apart, and jumps are joined with themselves, so a chain of h rows takes log(h)
-    rounds. A round without new ids ends the walk; rings end it as well. With ``max_hops`` the walk
-    goes hop by hop and stops there. The rows are fetched once.
+    Only ids move. The walk starts hop by hop, each hop a join of the ids found last. Where these are a large
+    share of the table, and after ``EARLY_HOPS``, it goes on in larger steps: the links that lead on to rows not reached yet are joined with
+    themselves, so that every round doubles the distance and a chain of h rows takes log(h) rounds. A round
+    without new ids ends the walk; rings end it as well. With ``max_hops`` all of it goes hop by hop and
+    stops there. The rows are fetched once.
     """
     links = table.select(F.col(id_column).alias("_id"), F.col(parent_column).alias("_up")).where("_id IS NOT NULL AND _up IS NOT NULL")
-    ids = frontier = cut_lineage(selected.select(F.col(id_column).alias("_id")).distinct())
-    jumps = cut_lineage(links.distinct())
-    hops = 0
-    while max_hops is None or hops < max_hops:
-        start = ids if max_hops is None else frontier
-        up = jumps.join(start, "_id", "left_semi").select(F.col("_up").alias("_id")).distinct()
-        frontier = cut_lineage(up.join(ids, "_id", "left_anti"))
-        if frontier.isEmpty():
+    frontier = cut_lineage(selected.select(F.col(id_column).alias("_id")).where("_id IS NOT NULL").distinct())
+    ids, closed, hops = frontier, None, 0
+    many = links.count() * LARGE_SHARE if max_hops is None else None
+    while (size := frontier.count()) and hops != max_hops:
+        if max_hops is None and (hops == EARLY_HOPS or size > many):
+            onward = links if closed is None else links.join(closed, "_id", "left_anti")
+            onward = onward.join(ids.withColumnRenamed("_id", "_up"), "_up", "left_anti")
+            ids = ids.unionByName(_by_doubling(onward, frontier))
             break
-        ids = cut_lineage(ids.unionByName(frontier))
-        hops += 1
-        if max_hops is None:
-            second = jumps.select(F.col("_id").alias("_up"), F.col("_up").alias("_far"))
-            jumps = cut_lineage(jumps.join(second, "_up").select("_id", F.col("_far").alias("_up")).distinct())
+        found = cut_lineage(_one_up(links, frontier).join(ids, "_id", "left_anti"))
+        closed, frontier, hops = ids, found, hops + 1
+        ids = ids.unionByName(found)
     return table.join(ids, F.col(id_column) == F.col("_id"), "left_semi")
+
+
+def _one_up(links: DataFrame, start: DataFrame) -> DataFrame:
+    return links.join(start, "_id", "left_semi").select(F.col("_up").alias("_id")).distinct()
+
+
+def _by_doubling(links: DataFrame, start: DataFrame) -> DataFrame:
+    """The ids that ``start`` leads to over any number of links, ``start`` itself left out."""
+    jumps, reached = cut_lineage(links.select("_id", "_up").distinct()), start
+    while True:
+        found = cut_lineage(_one_up(jumps, reached).join(reached, "_id", "left_anti"))
+        if found.isEmpty():
+            return reached.join(start, "_id", "left_anti")
+        reached = reached.unionByName(found)
+        second = jumps.select(F.col("_id").alias("_up"), F.col("_up").alias("_far"))
+        jumps = cut_lineage(jumps.join(second, "_up").select("_id", F.col("_far").alias("_up")).distinct())

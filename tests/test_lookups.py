@@ -74,6 +74,25 @@ def test_polymorphic_lookup(spark):
     assert {r["Id"]: r["o"] for r in lookups.polymorphic(child, "OwnerId", None, groups, "o").collect()} == {"1": "G", "2": "H", "3": None}
 
 
+@pytest.mark.parametrize("chosen", [1, 4, 60])
+@pytest.mark.parametrize("early, share", [(0, 0.05), (2, 1.0), (6, 0.05), (100, 1.0)])
+def test_self_references_equal_brute_force(spark, monkeypatch, chosen, early, share):
+    draw = random.Random(chosen)
+    up = {i: draw.choice([None, i - 1, i - 1, i - 1, draw.randrange(300), 999]) for i in range(300)}
+    up.update({10: 9, 9: 8, 8: 10, 20: 20})  # a ring, a row that points to itself
+    start = draw.sample(range(300), chosen)
+    expected, todo = set(), list(start)
+    while todo:
+        if (row := todo.pop()) in up and row not in expected:
+            expected.add(row)
+            todo.append(up[row])
+    monkeypatch.setattr(closure, "EARLY_HOPS", early)
+    monkeypatch.setattr(closure, "LARGE_SHARE", share)
+    table = spark.createDataFrame([*up.items(), (None, 3)], "id int, up int")
+    got = closure.with_self_references(table, "id", "up", table.where(F.col("id").isin(start)))
+    assert sorted(r["id"] for r in got.collect()) == sorted(expected)
+
+
 def test_self_reference_goes_to_the_end(spark):
     chain = spark.createDataFrame([(i, i - 1 if i else None) for i in range(20)], "id int, up int")
     start = chain.where("id = 10")
