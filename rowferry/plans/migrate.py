@@ -265,22 +265,20 @@ def _plan_deferred(spec, table: TableSpec, run: TableRun, source: DataFrame, tar
 
 
 def apply_run(runs: Mapping[str, TableRun], targets: Tables, deleted_flags: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
-    """M13 for all tables: deletes first, then inserts and updates, then deferred lookups."""
+    """M13 for all tables: deletes first, then inserts and updates, then deferred lookups; one join a table."""
     out = {}
     for name, run in runs.items():
-        target, table = targets[name], run.spec
-        flag = (deleted_flags or {}).get(name)
+        target, table, phases = targets[name], run.spec, []
         if run.deletes is not None:
-            target = apply_.apply_plan(target, run.deletes, table.target_id, [], flag)
+            phases.append(apply_.Phase(run.deletes, []))
         if run.plan is not None:
             columns = [c for c in run.plan.columns if c in target.columns]
-            target = apply_.apply_plan(
-                target, run.plan, table.target_id, columns, flag, table.not_insertable, table.not_updateable
-            )
+            phases.append(apply_.Phase(run.plan, columns, table.not_insertable, table.not_updateable))
         if run.deferred is not None:
             columns = [c for c in (table.rename.get(n, n) for n in table.lookup_columns) if c in run.deferred.columns]
-            target = apply_.apply_plan(target, run.deferred, table.target_id, columns, flag, not_updateable=table.not_updateable)
-        out[name] = target
+            phases.append(apply_.Phase(run.deferred, columns, not_updateable=table.not_updateable))
+        flag = (deleted_flags or {}).get(name)
+        out[name] = apply_.apply_phases(target, phases, table.target_id, flag) if phases else target
     return out
 
 

@@ -329,6 +329,30 @@ def m13(t: Tables) -> DataFrame:
     return A.apply_plan(target, plan, "target_id", target.columns)
 
 
+@case(
+    "m13_apply_three_plans",
+    X.with_ctes(
+        *HEAD,
+        select="""SELECT coalesce(CAST(l.target_id AS VARCHAR), upper(substr(sha256('customer|' || CAST(s.c_custkey AS VARCHAR)), 1, 18))) AS target_id,
+  s.c_name, s.c_nationkey, s.c_mktsegment,
+  CASE WHEN l.target_id IS NOT NULL AND s.c_mktsegment = 'BUILDING' AND s.c_nationkey < 20 THEN 0.0 ELSE s.c_acctbal END AS c_acctbal
+  FROM customer_dup s LEFT JOIN links l ON s.c_custkey = l.source_id
+  WHERE l.target_id IS NULL OR s.c_nationkey < 20 OR s.c_mktsegment IN ('MACHINERY', 'FURNITURE')""",
+    ),
+)
+def m13_three(t: Tables) -> DataFrame:
+    """Deletes, then the upsert, which writes some of the deleted rows anew, then a second update."""
+    target = X.customer_target(t).withColumn("target_id", F.col("target_id").cast("string"))
+    deletes = upsert.old_data_plan(target, "target_id", "c_nationkey >= 20", hard=True)
+    plan = customer_plan(t).withColumn("target_id", F.col("target_id").cast("string"))
+    plan = upsert.with_new_ids(plan, "customer", "c_custkey")
+    later = target.where("c_mktsegment = 'BUILDING' AND c_nationkey < 20").select(
+        "target_id", F.lit(upsert.UPDATE).alias("action"), F.lit(0.0).alias("c_acctbal")
+    )
+    phases = [A.Phase(deletes, []), A.Phase(plan, target.columns), A.Phase(later, ["c_acctbal"])]
+    return A.apply_phases(target, phases, "target_id")
+
+
 PERSONS = """people AS (
   SELECT c_custkey AS Id, CASE WHEN c_acctbal < 0 THEN ' ' ELSE c_mktsegment || ' ' || c_name || ' x' END AS Name,
          CASE WHEN c_mktsegment = 'BUILDING' THEN 'First' END AS FirstName,

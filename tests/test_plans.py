@@ -1,5 +1,7 @@
 """Plans and whole runs: every row gets one outcome, and an applied plan leaves nothing to do."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -214,3 +216,34 @@ def test_person_split(spark):
 def test_unknown_operation():
     with pytest.raises(ValueError):
         TableSpec("t", "Id", ("Id",), (), "Merge")
+
+
+@pytest.mark.parametrize("flag", [None, "gone"])
+def test_phases_equal_one_plan_after_the_other(spark, rows, flag):
+    draw = random.Random(8)
+
+    def plan(actions, values):
+        picked = [(str(i), draw.choice(actions), *draw.choices([None, 1, 2, 3], k=values)) for i in draw.sample(range(40), 25)]
+        return spark.createDataFrame(picked, ", ".join(["target_id string, action string", *["a int", "`b.c` int"][:values]]))
+
+    target = spark.createDataFrame([(str(i), i, -i, i % 5 == 0) for i in range(25)], "id string, a int, `b.c` int, gone boolean")
+    phases = [
+        A.Phase(plan(["delete", "hard_delete"], 0), []),
+        A.Phase(plan(["insert", "update", "skip"], 2), ["a", "b.c"], ["a"], ["b.c"]),
+        A.Phase(plan(["update"], 1), ["a"]),
+    ]
+    expected = target
+    for phase in phases:
+        expected = A.apply_phases(expected, [phase], "id", flag)
+    got = A.apply_phases(target, phases, "id", flag)
+    assert rows(got) == rows(expected) and got.count() > 20
+    plan_text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan_text.count("Join FullOuter") == 1
+
+
+def test_phases_keep_rows_without_an_id(spark):
+    target = spark.createDataFrame([("1", 1)], "id string, a int")
+    new = spark.createDataFrame([(None, "insert", 5), (None, "insert", 6)], "target_id string, action string, a int")
+    again = new.limit(0)
+    got = A.apply_phases(target, [A.Phase(new, ["a"]), A.Phase(again, ["a"])], "id")
+    assert sorted(r["a"] for r in got.collect()) == [1, 5, 6]
