@@ -60,7 +60,7 @@ FIELD_COMPARISON = (
 # Runs between backslashes are taken whole. One step per character would use up the stack.
 QUOTED_SINGLE = r"'((?:[^'\\]++|\\.|\\)*)'"
 QUOTED_DOUBLE = r'"((?:[^"\\]++|\\.|\\)*)"'
-VALUE_PAIR = r"(\]\s\{[^}]+\}\s+-\s*[^:]{1,200}:\s*)(.+?)(\.)?\z"
+VALUE_PAIR = r"(\]\s\{[^}]+\}\s+-\s*[^:]+:\s*)(.+?)(\.)?\z"
 SELECT_FROM = r"(?i)\bselect\b[\s\S]*\bfrom\b"
 STACK_LINE = r"\n\s*at\s+"
 STACK_CALL = r"\sat\s+[^(]+\([^)]+\)"

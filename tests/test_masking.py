@@ -112,3 +112,8 @@ def test_same_tokens_on_every_run(spark):
     text = "a@b.org and a@b.org"
     first, second = masked(spark, text), masked(spark, text)
     assert first == second and len(set(re.findall("email<.*?>", first[0]))) == 1
+
+
+def test_a_value_behind_a_long_name_is_masked(spark):
+    name = "n" * 500
+    assert masked(spark, f"[x] {{Account}} - {name}: hidden value") == [f"[x] {{Account}} - {name}: value<{h('hidden value')}>"]
