@@ -112,6 +112,14 @@ def _cell_of(name: str, bounds: list[float], per_segment: int) -> Column:
     return F.coalesce(F.expr(branch(0, len(bounds) - 1)).cast("long"), F.lit(-1))
 
 
+def _ranges(df: DataFrame) -> int:
+    """Into how many ranges rows are dealt: up to four times the session's shuffle partitions, as far as
+    map tasks still write straight to a file per range. With more they buffer and sort all they read."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    unbuffered = int(df.sparkSession.conf.get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+    return max(partitions, min(4 * partitions, unbuffered))
+
+
 def with_cells(
     df: DataFrame, order_by: Sequence[str], name: str = "_cell", cells: int | None = None
 ) -> DataFrame:
@@ -127,7 +135,7 @@ def with_cells(
     wanted = cells or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     number = _as_number(df, order_by[0])
     if number is None:
-        ranged = df.repartitionByRange(wanted, *flat(order_by))
+        ranged = df.repartitionByRange(cells or _ranges(df), *flat(order_by))
         return cut_lineage(ranged.withColumn(name, F.spark_partition_id().cast("long")))
     probabilities = [i / _SEGMENTS for i in range(_SEGMENTS + 1)]
     finite = df.select(number.alias("_v")).where("_v IS NOT NULL AND abs(_v) < double('Infinity')")
@@ -168,7 +176,7 @@ def deal_by_range(df: DataFrame, parts: dict[str, Column], order_by: Sequence[st
     last), so a value that many rows share in the first order columns fills as many ranges as it needs.
     The dealt rows are checkpointed: counts and ordinals are of the same rows, whatever is run again.
     """
-    wanted = cells or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = cells or _ranges(df)
     order = [*flat(order_by), F.col("_row_hash")]
     marked = df.withColumn("_row_hash", _row_hash(df)).withColumns(parts)
     return cut_lineage(marked.repartitionByRange(wanted, *parts, *order).withColumn("_range", F.spark_partition_id()))

@@ -164,3 +164,17 @@ def test_tied_orders_fill_all_ranges(spark):
     assert [r["rn"] for r in dealt.select("rn").orderBy("rn").collect()] == list(range(1, 20_001))
     sizes = [r["count"] for r in ranking.deal_by_range(df, {}, ["c"], 16).groupBy("_range").count().collect()]
     assert len(sizes) == 16 and max(sizes) < 2 * 20_000 / 16
+
+
+def test_dealing_does_not_buffer_the_rows_of_a_map_task(spark):
+    """Ranges are as few as map tasks write to without sorting what they read."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        df = spark.range(0, 3_000, 1, 1).selectExpr("cast(id % 7 AS string) AS c", "id")
+        assert ranking.deal_by_range(df, {}, ["id"]).rdd.getNumPartitions() <= 200
+        assert ranking.with_cells(df, ["c", "id"]).rdd.getNumPartitions() <= 200
+        got = ranking.rank_rows(df, [], ["id"], "rn").orderBy("id").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert [r["rn"] for r in got] == list(range(1, 3_001))
