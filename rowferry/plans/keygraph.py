@@ -11,19 +11,21 @@ tells rows apart that were equal before.
 from __future__ import annotations
 
 import functools
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowferry.functions.keys import SEPARATOR, key_text
 from rowferry.functions.names import quoted
 from rowferry.session import cut_lineage
 from rowferry.spec import LookupSpec, MigrationSpec, TableSpec
 
-#: The key column that ``with_keys`` adds.
+#: The key column that the functions of ``natural_keys`` add.
 NATURAL = "_natural"
+Keyed = Callable[[DataFrame], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -84,36 +86,52 @@ class _Side:
         return table.rename.get(column, column) if self.renamed else column
 
     def id(self, table: TableSpec) -> Column:
-        return F.col(quoted(self.name(table, table.id))).cast("string")
+        return F.col(quoted(self.name(table, table.id)))
 
-    def parts(self, table: TableSpec, ring: set[str]) -> DataFrame:
-        """``_kid``, a column ``_p<i>`` per key part as text, and for parts that stand for the key of a
-        table in ``ring`` the parent's id in ``_r<i>`` instead."""
+    def parts(self, table: TableSpec, rows: DataFrame, ring: set[str]) -> DataFrame:
+        """``rows`` of the table with a column ``_p<i>`` per key part as text, and for parts that stand for
+        the key of a table in ``ring`` the parent's id in ``_r<i>`` instead.
+
+        All lookups that go through one column follow each other, so that the rows move once for them.
+        """
         parts = [part_of(self.spec, table, k) for k in table.key]
         first = lambda p: p.hops[0].column if p.hops else p.column
-        rows = self.tables[table.name].select(
-            self.id(table).alias("_kid"), *[F.col(quoted(self.name(table, first(p)))).cast("string").alias(f"_p{i}") for i, p in enumerate(parts)]
-        )
-        for i, part in enumerate(parts):
+        rows = rows.withColumns({f"_p{i}": F.col(quoted(self.name(table, first(p)))) for i, p in enumerate(parts)})
+        for i in sorted(range(len(parts)), key=lambda i: first(parts[i])):
+            part = parts[i]
             for hop, follows in zip(part.hops, [*part.hops[1:], None]):
                 parent = self.spec.table(hop.parent)
                 if follows is not None or part.column is not None:
                     column = follows.column if follows is not None else part.column
-                    step = self.tables[parent.name].select(self.id(parent).alias("_pid"), F.col(quoted(self.name(parent, column))).cast("string").alias("_value"))
+                    step = self.tables[parent.name].select(self.id(parent).alias("_pid"), F.col(quoted(self.name(parent, column))).alias("_value"))
                 elif parent.name in ring:
-                    rows = rows.withColumnRenamed(f"_p{i}", f"_r{i}").withColumn(f"_p{i}", F.lit(None).cast("string"))
+                    rows = rows.withColumn(f"_r{i}", F.col(f"_p{i}").cast("string")).withColumn(f"_p{i}", F.lit(None).cast("string"))
                     continue
                 else:
                     step = self.of(parent).select(F.col("_kid").alias("_pid"), F.col(NATURAL).alias("_value"))
-                rows = rows.join(step, F.col(f"_p{i}") == F.col("_pid"), "left").drop("_pid", f"_p{i}").withColumnRenamed("_value", f"_p{i}")
-        return rows
+                rows = rows.join(step, _same_id(rows, f"_p{i}", step, "_pid"), "left").drop("_pid", f"_p{i}").withColumnRenamed("_value", f"_p{i}")
+        return rows.withColumns({f"_p{i}": F.col(f"_p{i}").cast("string") for i in range(len(parts))})
+
+    def keyed(self, table: TableSpec, rows: DataFrame) -> DataFrame:
+        """``rows`` of a table, all or some, with their natural key."""
+        if table.name in self.keys:  # a ring's table
+            theirs = self.keys[table.name].withColumnRenamed("_kid", "_key_id")
+            return rows.join(theirs, self.id(table).cast("string") == F.col("_key_id"), "left").drop("_key_id")
+        names = [f"_p{i}" for i in range(len(table.key))]
+        return self.parts(table, rows, set()).withColumn(NATURAL, key_text(names)).drop(*names)
 
     def of(self, table: TableSpec) -> DataFrame:
-        """``_kid`` and the natural key of every row of a table that is in no ring."""
-        if table.name not in self.keys:
-            parts = [f"_p{i}" for i in range(len(table.key))]
-            self.keys[table.name] = self.parts(table, set()).select("_kid", key_text(parts).alias(NATURAL))
-        return self.keys[table.name]
+        """``_kid`` and the natural key of every row of a table."""
+        return self.keyed(table, self.tables[table.name]).select(self.id(table).alias("_kid"), NATURAL)
+
+
+def _same_id(left: DataFrame, a: str, right: DataFrame, b: str) -> Column:
+    """Whether two ids are the same text. Texts and whole numbers meet as they are, so that a join finds
+    the rows where an earlier one on the same column has left them."""
+    kinds = left.schema[a].dataType, right.schema[b].dataType
+    if all(isinstance(k, T.IntegralType) for k in kinds) or all(isinstance(k, T.StringType) for k in kinds):
+        return F.col(a) == F.col(b)
+    return F.col(a).cast("string") == F.col(b).cast("string")
 
 
 def _resolve_ring(spec: MigrationSpec, names: set[str], sides: tuple[_Side, _Side]) -> None:
@@ -123,7 +141,7 @@ def _resolve_ring(spec: MigrationSpec, names: set[str], sides: tuple[_Side, _Sid
 
     def rows(side: int, name: str) -> DataFrame:
         table = spec.table(name)
-        parts = sides[side].parts(table, names)
+        parts = sides[side].parts(table, sides[side].tables[name], names).withColumn("_kid", sides[side].id(table).cast("string"))
         ends = [part_of(spec, table, k).end for k in table.key]
         refs = [(f"_r{i}", spec.table(e).name) if e and spec.table(e).name in names else None for i, e in enumerate(ends)]
         refs += [None] * (most - len(refs))
@@ -159,9 +177,13 @@ def _resolve_ring(spec: MigrationSpec, names: set[str], sides: tuple[_Side, _Sid
             side.keys[name] = state.where((F.col("_side") == i) & (F.col("_table") == name)).select("_kid", NATURAL)
 
 
-def natural_keys(spec: MigrationSpec, sources: Mapping[str, DataFrame], targets: Mapping[str, DataFrame]) -> dict[str, tuple[DataFrame, DataFrame]]:
-    """For each table whose key reaches through parents, the keys (``_kid``, ``_natural``) of its rows
-    on both sides. Missing parents are empty parts."""
+def natural_keys(spec: MigrationSpec, sources: Mapping[str, DataFrame], targets: Mapping[str, DataFrame]) -> dict[str, tuple[Keyed, Keyed]]:
+    """For each table whose key reaches through parents, functions that give rows of its source and of
+    its target their keys in ``_natural``. Missing parents are empty parts.
+
+    The rows themselves go through the joins to their parents; no table of keys is made that they would
+    have to meet by id. Only the keys of a ring come from such a table.
+    """
     wanted = [t for t in spec.tables if reaches_parents(spec, t)]
     sides = (_Side(spec, sources, False, {}), _Side(spec, targets, True, {}))
     below = {t.name: _below(spec, t.name) for t in spec.tables}
@@ -169,10 +191,4 @@ def natural_keys(spec: MigrationSpec, sources: Mapping[str, DataFrame], targets:
     # a ring that another one's keys contain comes first
     for ring in sorted(rings, key=lambda r: len(set().union(*[below[n] for n in r]))):
         _resolve_ring(spec, set(ring), sides)
-    return {t.name: (sides[0].of(t), sides[1].of(t)) for t in wanted}
-
-
-def with_key(rows: DataFrame, id_column: str, keys: DataFrame) -> DataFrame:
-    """``rows`` with their natural key."""
-    theirs = keys.withColumnRenamed("_kid", "_key_id")
-    return rows.join(theirs, F.col(quoted(id_column)).cast("string") == F.col("_key_id"), "left").drop("_key_id")
+    return {t.name: tuple(functools.partial(side.keyed, t) for side in sides) for t in wanted}

@@ -153,7 +153,7 @@ def plan_run(
         there = _without(target, _old_data(table, target), table.target_id) if table.delete_old_data and table.operation in WRITES else target
         ours, theirs, own_key = chosen[table.name], filters.target_read(there, table.target_filter), table.key
         if table.name in through:
-            ours, theirs = keygraph.with_key(ours, table.id, through[table.name][0]), keygraph.with_key(theirs, table.target_id, through[table.name][1])
+            ours, theirs = (keyed(rows) for keyed, rows in zip(through[table.name], (ours, theirs)))
             own_key = key = [keygraph.NATURAL]
         links = matching.match(
             ours,

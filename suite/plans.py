@@ -163,7 +163,9 @@ def junction_tables(t: Tables):
     orders = t.orders.select("o_orderkey", F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("o_orderref"), "o_orderstatus")
     parts = t.part.select("p_partkey", "p_name", F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("p_ref"))
     of = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]  # a key that two lines share counts once
-    lines = t.lineitem.groupBy(*of).agg(*[F.min_by(c, "l_extendedprice").alias(c) for c in ("l_quantity", "l_linestatus", "l_returnflag")]).withColumn("l_id", F.concat_ws("-", *of))
+    # dealt by order, so that grouping and what looks up orders share one shuffle
+    dealt = t.lineitem.repartition(int(t.lineitem.sparkSession.conf.get("spark.sql.shuffle.partitions")), "l_orderkey")
+    lines = dealt.groupBy(*of).agg(*[F.min_by(c, "l_extendedprice").alias(c) for c in ("l_quantity", "l_linestatus", "l_returnflag")]).withColumn("l_id", F.concat_ws("-", *of))
     sources = {"orders": orders.drop("o_orderstatus"), "part": parts, "line": lines.select("l_id", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")}
     known = orders.where("o_orderstatus <> 'P'")
     old = lines.where("l_linestatus = 'F'").join(known, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")

@@ -114,3 +114,29 @@ def test_other_operations_use_the_key_too(spark, operation):
     sources = {"land": frame(spark, "id string, code string", ("l1", "DE")), "city": frame(spark, "id string, name string, land string", ("c1", "Bonn", "l1"))}
     targets = {"land": frame(spark, "id string, code string", ("L1", "DE")), "city": frame(spark, "id string, name string, land string", ("C0", "Bonn", None), ("C1", "Bonn", "L1"))}
     assert [(r["source_id"], r["target_id"]) for r in plan_run(spec, sources, targets)["city"].links.collect()] == [("c1", "C1")]
+
+
+def test_rows_do_not_meet_their_keys_by_id(spark):
+    """Rows go through the joins to their parents; keys are no table that is joined by id."""
+    spec = MigrationSpec((
+        TableSpec("head", "h_id", ("h_ref",), ("h_ref",), "Upsert"),
+        TableSpec("line", "l_id", ("l_head", "n"), ("l_head", "n", "q"), "Upsert", (LookupSpec("l_head", "head"),)),
+    ))
+    heads = spark.createDataFrame([(1, "a"), (2, "b")], "h_id bigint, h_ref string")
+    lines = spark.createDataFrame([("x", 1, 1, 5.0), ("y", 2, 1, 6.0), ("z", None, 1, 7.0)], "l_id string, l_head bigint, n int, q double")
+    there = {
+        "head": spark.createDataFrame([(101, "a"), (102, "b")], "h_id bigint, h_ref string"),
+        # two rows with one id keep their own keys
+        "line": spark.createDataFrame([("X", 101, 1, 5.0), ("X", 102, 1, 9.0)], "l_id string, l_head bigint, n int, q double"),
+    }
+    plan = plan_run(spec, {"head": heads, "line": lines}, there)["line"].plan
+    assert {r["l_id"]: r["action"] for r in plan.collect()} == {"x": "skip", "y": "update", "z": "insert"}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keyed = [keys(rows) for keys, rows in zip(keygraph.natural_keys(spec, {"head": heads, "line": lines}, there)["line"], (lines, there["line"]))]
+        assert [sorted(r[keygraph.NATURAL] for r in k.collect()) for k in keyed] == [["1", "a;1", "b;1"], ["a;1", "b;1"]]
+        text = plan_run(spec, {"head": heads, "line": lines}, there)["line"].plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert text.count("Exchange hashpartitioning") <= 13  # 17 where keys are a table of their own
