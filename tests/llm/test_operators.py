@@ -372,3 +372,13 @@ def test_pipeline_keeps_clean_documents_and_applies_its_decisions(spark, tmp_pat
     packed = corpus_pipeline.run(spark, str(tmp_path))
     assert {r["doc_id"] for r in packed.collect()} == set(left)
     assert hashlib.sha256(left[0].encode()).hexdigest() == hashlib.sha256(rows[0][1].encode()).hexdigest()
+
+
+def test_index_orders_ends_before_zero_bytes():
+    """Suffixes sort by bytes, an end first, ends in the order of the strings; also ends shorter than a sort key."""
+    draw = np.random.default_rng(5)
+    strings = [bytes(draw.choice([0, 1, 255], n).astype(np.uint8)) for n in (0, 1, 3, 6, 7, 8, 30, 30, 200)]
+    strings += [strings[-1], b"\0" * 20, b"\0" * 9, b"\xff" * 9]
+    index = longmatches.RunLengthIndex(strings)
+    suffixes = [([*(c + 1 for c in text[i:]), 0], nth, int(first) + i) for nth, (text, first) in enumerate(zip(strings, index.first)) for i in range(len(text) + 1)]
+    assert index.sa.tolist() == [at for _, _, at in sorted(suffixes)]
