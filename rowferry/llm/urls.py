@@ -15,6 +15,8 @@ by host.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,22 +71,38 @@ def suffix_of(host: Column) -> Column:
     return F.when(name.rlike(_ADDRESS), "").when(name.rlike(_SECOND), F.substring_index(name, ".", -2)).otherwise(F.substring_index(name, ".", -1))
 
 
+def _replace_closed(text: Column, pattern: str, new: str, closed: str) -> Column:
+    """``regexp_replace`` for a pattern whose matches all end like ``closed``: what follows the last such end is not searched."""
+    head = F.regexp_extract(text, rf"(?is)^.*(?:{closed})", 0)
+    return F.concat(F.regexp_replace(head, pattern, new), F.substring(text, F.length(head) + 1, F.length(text)))
+
+
 def junk(html: Column) -> Column:
     """1 if the text of a page is junk, else 0; null for a page without words.
 
     The text is what stands outside tags, scripts, styles, comments, title and first-level headings
-    (which repeat a line of the text on sound pages too). A tag ends a line.
+    (which repeat a line of the text on sound pages too). A tag ends a line. Time grows with a page's
+    length, also where a page of any length opens tags and never closes one, or is all blanks.
     """
-    text = F.regexp_replace(html, r"(?is)<(script|style|title|h1)\b.*?</\1\s*>|<!--.*?-->", "\n")
-    text = F.regexp_replace(F.regexp_replace(text, r"<[^>]*>", "\n"), r"&[A-Za-z]+;|&#[0-9A-Za-z]+;", " ")
     left = lambda t, pattern: F.length(F.regexp_replace(t, pattern, ""))
     number = lambda t, pattern: F.regexp_count(t, F.lit(pattern))
 
-    def counts(t: Column) -> Column:
-        lines = F.filter(F.split(t, r"\s*\n\s*"), lambda line: line != "")
+    def outside(h: Column) -> Column:
+        return _replace_closed(h, r"(?is)<(script|style|title|h1)\b.*?</\1\s*>|<!--.*?-->", "\n", r"</(?:script|style|title|h1)\s*>|-->")
+
+    def plain(t: Column) -> Column:
+        return F.regexp_replace(_replace_closed(t, r"<[^>]*>", "\n", ">"), r"&[A-Za-z]+;|&#[0-9A-Za-z]+;", " ")
+
+    def both(t: Column) -> Column:
+        """The text, and the text with one letter for each run of letters and digits: blanks, signs and words are as many there."""
+        return F.struct(t.alias("full"), F.regexp_replace(t, r"[\p{L}\p{N}]+", "a").alias("short"))
+
+    def counts(c: Column) -> Column:
+        t, short = c["full"], c["short"]
+        lines = F.filter(F.split(t, r"(?<!\s)\s*\n\s*"), lambda line: line != "")
         return F.struct(
-            left(t, r"\s+").alias("shown"), left(t, r"[\s\p{L}\p{M}\p{N}]+").alias("signs"), left(t, r"\P{L}+").alias("letters"), left(t, r"\P{Lu}+").alias("upper"),
-            number(t, r"\S+").alias("words"), left(t, r"[^!]+").alias("shouts"), number(t, r"(?<!\S)[^\s\p{L}\p{N}]+(?!\S)").alias("bare"),
+            (F.length(t) - F.length(short) + left(short, r"\s+")).alias("shown"), left(short, r"[\sa\p{L}\p{M}]+").alias("signs"), left(t, r"\P{L}+").alias("letters"), left(t, r"\P{Lu}+").alias("upper"),
+            left(short, r"\s+|(?<=\S)\S+").alias("words"), left(short, r"[^!]+").alias("shouts"), number(short, r"(?<!\S)[^\s\p{L}]+(?!\S)").alias("bare"),
             number(t, r"(?<!\S)(\S+)\s+(?=\1(?!\S))").alias("echoes"), F.size(lines).alias("lines"), F.size(F.array_distinct(lines)).alias("kinds"),
         )
 
@@ -93,8 +111,8 @@ def junk(html: Column) -> Column:
         bad = over("signs", "shown", SIGNS) | over("upper", "letters", UPPER) | over("shouts", "words", SHOUTS) | over("bare", "words", BARE) | over("echoes", "words", ECHOES)
         return F.when(c["words"] > 0, (bad | (c["lines"] - c["kinds"] > c["lines"] * REPEATS)).cast("int"))
 
-    # as elements of arrays, the text and its counts are worked out once, however often they are named
-    return F.get(F.transform(F.transform(F.array(text), counts), verdict), F.lit(0))
+    # as elements of arrays, what each step gives is worked out once, however often the next one names it
+    return F.get(functools.reduce(F.transform, (outside, plain, both, counts, verdict), F.array(html)), F.lit(0))
 
 
 def _rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> tuple[Column, Column]:

@@ -1,6 +1,7 @@
 """Each operator against brute force on small tables with odd rows, and its defined results."""
 
 import hashlib
+import time
 import zlib
 from collections import Counter
 
@@ -263,6 +264,16 @@ def test_junk(spark):
     assert [r[0] for r in rows.select(urls.junk(F.col("html")), "i").orderBy("i").collect()] == [c for _, c in cases]
 
 
+def test_junk_of_long_pages_takes_linear_time(spark):
+    """What opens and never closes, or is all blanks, is not searched again from each of its characters."""
+    size = 400_000
+    odd = {" " * size: None, "<" * size: 1, "<h1 " * (size // 4): 1, "<!--" * (size // 4): 1, "<script>" * (size // 8): None, "a" + " " * size + "b": 0}
+    rows = spark.createDataFrame([(i, html) for i, html in enumerate(odd)], "i int, html string")
+    began = time.monotonic()
+    assert [r[0] for r in rows.select(urls.junk(F.col("html")), "i").orderBy("i").collect()] == [*odd.values()]
+    assert time.monotonic() - began < 60  # before, some of these pages took minutes each
+
+
 def test_registered_domains(spark):
     cases = [("a.b.co.uk", "b.co.uk", "co.uk"), ("x.y.example.com:80", "example.com", "com"), ("u@10.0.0.1:8", "10.0.0.1", ""), ("co.uk", "co.uk", "co.uk"), ("", "", "")]
     rows = spark.createDataFrame(cases, "host string, d string, s string")
