@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowferry.functions.cells import truncate
+from rowferry.functions.names import flat
 from rowferry.operators import closure, filters, lookups, mapping, matching, mocking, project, ranking
 from rowferry.plans import apply as apply_
 from rowferry.plans import keygraph, upsert
+from rowferry.session import settled
 from rowferry.spec import MigrationSpec, TableSpec
 
 Tables = Mapping[str, DataFrame]
@@ -116,7 +118,7 @@ def plan_run(
     lengths: Mapping[str, Mapping[str, int]] | None = None,
     store: str | None = None,
 ) -> dict[str, TableRun]:
-    """The plan of every table (M6: nothing is written).
+    """The plan of every table (M6: nothing is written but scratch tables, where keys go through parents).
 
     Forward, in table order: plain columns and lookups to earlier tables (M3). Ids of inserts
     come from the source ids, so later tables can point to rows that do not exist yet.
@@ -152,18 +154,27 @@ def plan_run(
         # Old data goes before anything is matched, so a row that is deleted is never linked.
         there = _without(target, _old_data(table, target), table.target_id) if table.delete_old_data and table.operation in WRITES else target
         ours, theirs, own_key = chosen[table.name], filters.target_read(there, table.target_filter), table.key
+        payload = [c for c in (*compare, *held) if c in target.columns]
+        unlinked = table.operation == "Insert" and not table.skip_existing  # every row is inserted, whatever the target has
+        # Keys through parents take joins of whole tables. The target's rows and the links are then written,
+        # so that what one step has shuffled is off the disk before the next one starts.
+        in_steps = table.name in through and table.operation in WRITES and not unlinked
         if table.name in through:
             ours, theirs = (keyed(rows) for keyed, rows in zip(through[table.name], (ours, theirs)))
             own_key = key = [keygraph.NATURAL]
+        if in_steps:
+            theirs = settled(theirs.select(*flat(dict.fromkeys([keygraph.NATURAL, table.target_id, *payload]))), "keyed")
         links = matching.match(
             ours,
             theirs,
             table.id, table.target_id, own_key, key,
             source_order=table.order, target_order=[table.target_id],
-            payload=[c for c in (*compare, *held) if c in target.columns],
+            payload=payload,
         )
-        if table.operation == "Insert" and not table.skip_existing:
-            links = links.limit(0)  # every row is inserted, whatever the target has
+        if unlinked:
+            links = links.limit(0)
+        if in_steps:
+            links = settled(links, "links")
         if table.operation in WRITES:
             rows = prepare(table, source, columns, (lengths or {}).get(table.name))
             plan = upsert.classify(

@@ -1,10 +1,13 @@
 """Keys that reach through parents: junction rows, paths over two parents, rings, renamed columns."""
 
+import time
+
 import pytest
 
 from rowferry import LookupSpec, MigrationSpec, TableSpec
 from rowferry.plans import keygraph
 from rowferry.plans.migrate import apply_run, plan_run
+from rowferry.session import settled
 
 
 def frame(spark, schema, *rows):
@@ -140,3 +143,41 @@ def test_rows_do_not_meet_their_keys_by_id(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert text.count("Exchange hashpartitioning") <= 13  # 17 where keys are a table of their own
+
+
+def shuffled(spark):
+    """What lies on disk of all that was shuffled."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").splitlines()
+    return {f for f in files if "shuffle_" in f and f.endswith(".data")}
+
+
+def test_shuffles_of_a_step_are_removed_before_the_next_one(spark):
+    """Links of a table that is keyed through parents are there when the plan is; nothing shuffled for them is left."""
+    spec = MigrationSpec(
+        (
+            TableSpec("city", "id", ("name",), ("name",), "Upsert"),
+            TableSpec("shop", "id", ("city", "no"), ("city", "no", "size"), "Upsert", (LookupSpec("city", "city"),)),
+        )
+    )
+    city, shop = "id string, name string", "id string, city string, no string, size int"
+    sources = {"city": frame(spark, city, ("c1", "Bonn"), ("c2", "Rome")), "shop": frame(spark, shop, ("s1", "c1", "1", 5), ("s2", "c2", "1", 6), ("s3", "c9", None, 7))}
+    targets = {"city": frame(spark, city, ("C1", "Bonn"), ("C2", "Rome")), "shop": frame(spark, shop, ("S1", "C1", "1", 5), ("S2", "C2", "1", 8), ("S2", "C2", "1", 8))}
+    before = shuffled(spark)
+    runs = plan_run(spec, sources, targets)
+    assert runs["shop"].links.inputFiles()
+    for _ in range(50):  # Spark removes files a little later
+        if not (left := shuffled(spark) - before):
+            break
+        time.sleep(0.2)
+    assert not left
+    assert actions(runs, "shop") == {"s1": ("skip", "S1"), "s2": ("update", "S2"), "s3": ("insert", None)}
+
+
+def test_settled_keeps_rows_names_and_types(spark, rows):
+    df = spark.sql("SELECT 1 AS `a.b`, 'x' AS A, CAST(NULL AS int) AS a, map('k', 0D) AS m, array(struct(1 AS s)) AS l").union(spark.sql("SELECT NULL, NULL, 2, NULL, NULL"))
+    kept = settled(df, "kept")
+    assert kept.inputFiles() and kept.columns == df.columns and kept.dtypes == df.dtypes and rows(kept) == rows(df)
+    assert settled(df.where("false"), "kept").count() == 0
+    void = spark.sql("SELECT 1 AS i, NULL AS nothing")
+    assert rows(settled(void, "kept")) == [(1, None)] and settled(void, "kept").dtypes == void.dtypes
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
