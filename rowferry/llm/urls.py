@@ -170,7 +170,8 @@ def reputation(outcomes: DataFrame) -> DataFrame:
     so all later steps see one row per host at most.
     """
     hosts = stored(outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")), "hosts")
-    hosts = hosts.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
+    # as doubles, since products of three counts pass what a bigint holds from some 300,000 pages of a host on
+    hosts = hosts.withColumns({"n": F.col("n").cast("double"), "bad": F.col("bad").cast("double"), "domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     total = suffixes.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()

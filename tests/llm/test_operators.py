@@ -256,6 +256,15 @@ def test_html_decides_where_no_rule_does(spark):
     assert found["bad", "fr"] == {"allow"} and found["bad", "en"] == {"block"}
 
 
+def test_reputation_of_a_host_with_millions_of_pages(spark):
+    """Products of counts do not run over: cubes of 295,000 pages and more of one outcome did."""
+    big = spark.range(2_800_000).select(F.lit("big.example.org").alias("host"), (F.col("id") % 4 != 0).cast("int").alias("bad"))
+    small = spark.range(40_000).select(F.concat(F.lit("h"), F.col("id") % 40, F.lit(".example.com")).alias("host"), (F.col("id") % 40 < 4).cast("int").alias("bad"))
+    bound = {r["host"]: r["bound"] for r in urls.reputation(big.unionByName(small)).collect()}
+    assert len(bound) == 41 and abs(bound["big.example.org"] - 0.75) < 0.001
+    assert bound["h3.example.com"] > 0.95 and bound["h4.example.com"] < 0.01
+
+
 def test_junk(spark):
     plain = "One plain line of words, and a second.</p><p>Another line; it has others."
     cases = [(f"<p>{plain}</p>", 0), (f"<p>{plain.upper()}</p>", 1), ("<p>" + "same line here</p><p>" * 5, 1), ("<p>buy " + "cheap " * 20, 1), ("<p>a | b | c | d", 1), ("<p>of$$$ the### in%%% at***", 1)]
