@@ -71,12 +71,6 @@ def suffix_of(host: Column) -> Column:
     return F.when(name.rlike(_ADDRESS), "").when(name.rlike(_SECOND), F.substring_index(name, ".", -2)).otherwise(F.substring_index(name, ".", -1))
 
 
-def _replace_closed(text: Column, pattern: str, new: str, closed: str) -> Column:
-    """``regexp_replace`` for a pattern whose matches all end like ``closed``: what follows the last such end is not searched."""
-    head = F.regexp_extract(text, rf"(?is)^.*(?:{closed})", 0)
-    return F.concat(F.regexp_replace(head, pattern, new), F.substring(text, F.length(head) + 1, F.length(text)))
-
-
 def junk(html: Column) -> Column:
     """1 if the text of a page is junk, else 0; null for a page without words.
 
@@ -87,11 +81,20 @@ def junk(html: Column) -> Column:
     left = lambda t, pattern: F.length(F.regexp_replace(t, pattern, ""))
     number = lambda t, pattern: F.regexp_count(t, F.lit(pattern))
 
-    def outside(h: Column) -> Column:
-        return _replace_closed(h, r"(?is)<(script|style|title|h1)\b.*?</\1\s*>|<!--.*?-->", "\n", r"</(?:script|style|title|h1)\s*>|-->")
+    def closed(h: Column) -> Column:
+        """The page, and it up to the end of the last block in it: nothing after that can end a block."""
+        return F.struct(h.alias("page"), F.regexp_extract(h, r"(?is)^.*(?:</(?:script|style|title|h1)\s*>|-->)", 0).alias("head"))
+
+    def outside(c: Column) -> Column:
+        blocks = F.regexp_replace(c["head"], r"(?is)<(script|style|title|h1)\b.*?</\1\s*>|<!--.*?-->", "\n")
+        return F.concat(blocks, F.substring(c["page"], F.length(c["head"]) + 1, F.length(c["page"])))
 
     def plain(t: Column) -> Column:
-        return F.regexp_replace(_replace_closed(t, r"<[^>]*>", "\n", ">"), r"&[A-Za-z]+;|&#[0-9A-Za-z]+;", " ")
+        """Without tags and entities. What follows the last > is not searched for tags."""
+        tail = F.substring_index(t, ">", -1)
+        tagless = lambda text: F.regexp_replace(text, r"<[^>]*>", "\n")
+        cut = F.concat(tagless(F.substring(t, F.lit(1), F.length(t) - F.length(tail))), tail)
+        return F.regexp_replace(F.when(tail.contains("<"), cut).otherwise(tagless(t)), r"&[A-Za-z]+;|&#[0-9A-Za-z]+;", " ")
 
     def both(t: Column) -> Column:
         """The text, and the text with one letter for each run of letters and digits: blanks, signs and words are as many there."""
@@ -112,7 +115,7 @@ def junk(html: Column) -> Column:
         return F.when(c["words"] > 0, (bad | (c["lines"] - c["kinds"] > c["lines"] * REPEATS)).cast("int"))
 
     # as elements of arrays, what each step gives is worked out once, however often the next one names it
-    return F.get(functools.reduce(F.transform, (outside, plain, both, counts, verdict), F.array(html)), F.lit(0))
+    return F.get(functools.reduce(F.transform, (closed, outside, plain, both, counts, verdict), F.array(html)), F.lit(0))
 
 
 def _rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> tuple[Column, Column]:
